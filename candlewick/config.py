@@ -77,9 +77,14 @@ def table_uri(cfg: LakeConfig, layer: str, table: str) -> str:
     return f"{cfg.root}/{layer}/{table}"
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All contracts are in UTC, so casts between timestamps and dates must be too."""
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Session settings the contracts rely on.
+
+    UTC, because they cast between timestamps and dates; microsecond timestamps in Parquet, because
+    Spark's default (INT96) carries no statistics, so ranges of time could not skip row groups.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType, IntegerType, StructType, TimestampNTZType
 
-from candlewick.config import LakeConfig, dataset_uri, run_uri
+from candlewick.config import LakeConfig, dataset_uri, prepare_session, run_uri
 from candlewick.contracts import RUN_PARTITIONS, DatasetSpec
 
 
@@ -43,6 +43,7 @@ def write_bronze(
         F.min(spec.time_col).alias("min_time"),
         F.max(spec.time_col).alias("max_time"),
     )
+    prepare_session(df.sparkSession)
     measured.write.mode("overwrite").parquet(path)
     counts = seen.get
     return WriteReceipt(path, counts["n_rows"], counts["min_time"], counts["max_time"])

@@ -29,7 +29,6 @@ def footer_groups(spark: SparkSession, uri: str, schema: StructType) -> DataFram
 
     def storage_of(batches: Iterator) -> Iterator:
         import pyarrow.parquet as pq
-        import pyarrow.types as pt
         from pyarrow.fs import FileSystem
 
         def arrow_uri(path: str) -> str:
@@ -39,24 +38,21 @@ def footer_groups(spark: SparkSession, uri: str, schema: StructType) -> DataFram
                 return "file://" + path[len("file:"):].replace("//", "", 1)
             return path
 
-        def kind(field_type) -> str:
-            if pt.is_timestamp(field_type):
-                return "nanos" if field_type.unit == "ns" else "timestamp"
-            if pt.is_date(field_type):
-                return "date"
-            return str(field_type)
+        def kind(column) -> str:
+            logical = str(column.logical_type)
+            if "nanoseconds" in logical:
+                return "nanos"
+            return "date" if logical == "Date" else column.physical_type.lower()
 
         for batch in batches:
             storage = []
             for path in batch["path"]:
                 fs, inner = FileSystem.from_uri(arrow_uri(path))
                 with fs.open_input_file(inner) as handle:
-                    footer = pq.read_schema(handle)
+                    footer = pq.read_metadata(handle).schema
+                found = {footer.column(i).name: kind(footer.column(i)) for i in range(len(footer))}
                 storage.append(
-                    ",".join(
-                        f"{name}:{kind(footer.field(name).type)}"
-                        for name in wanted if name in footer.names
-                    )
+                    ",".join(f"{name}:{found[name]}" for name in wanted if name in found)
                 )
             yield batch[["path"]].assign(storage=storage)
 

@@ -1,5 +1,6 @@
 """Candles, market charts, sentiment and payloads derived from the benchmark tables.
 
+Prices are taken in whole units (cents for events), so sums are exact in any order of rows.
 Everything aggregates to (symbol, day) or (symbol, hour) first.  The aggregates keep fixed-width
 buffers, so Spark uses hash aggregation with map-side partial results: a symbol or day that holds
 a third of all rows reaches the shuffle as one row per map task.
@@ -29,41 +30,51 @@ def _close_of(open_time: Column, interval: str) -> Column:
     return open_time + F.expr(f"INTERVAL 1 {unit}") - F.expr("INTERVAL 1 MILLISECOND")
 
 
+def whole(value: Column) -> Column:
+    """The nearest whole number of a value that is not negative, as a double."""
+    return F.floor(value + 0.5).cast("double")
+
+
 def _candles(
-    rows: DataFrame, symbol: Column, ts: str, price: str, order: str, bought: Column, interval: str
+    rows: DataFrame, symbol: Column, ts: str, price: Column, order: str, bought: Column,
+    interval: str,
 ) -> DataFrame:
     """OHLCV of raw rows; ``order`` must be unique, it decides which row opens and closes a bar."""
     open_time = _floor(F.col(ts), INTERVAL_UNITS[interval])
-    bars = rows.groupBy(symbol.alias("symbol"), open_time.alias("open_time")).agg(
-        F.min_by(price, order).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, order).alias("close"),
-        (F.sum(price) / 1000).alias("volume"),
-        F.sum(price).alias("quote_volume"),
+    trades = rows.select(
+        symbol.alias("symbol"), open_time.alias("open_time"), whole(price).alias("price"),
+        F.col(order).alias("seq"), bought.alias("bought"),
+    )
+    bars = trades.groupBy("symbol", "open_time").agg(
+        F.min_by("price", "seq").alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", "seq").alias("close"),
+        (F.sum("price") / 4).alias("volume"),
+        F.sum("price").alias("quote_volume"),
         F.count(F.lit(1)).alias("num_trades"),
-        F.coalesce(F.sum(F.when(bought, F.col(price))), F.lit(0.0)).alias("taker_buy_quote_vol"),
+        F.sum(F.when(F.col("bought"), F.col("price")).otherwise(0.0)).alias("taker_buy_quote_vol"),
     )
     close_time = _close_of(F.col("open_time"), interval)
     return bars.select(
         "*",
         close_time.alias("close_time"),
         F.lit(interval).alias("interval"),
-        (F.col("taker_buy_quote_vol") / 1000).alias("taker_buy_base_vol"),
+        (F.col("taker_buy_quote_vol") / 4).alias("taker_buy_base_vol"),
         (close_time + F.expr("INTERVAL 1 MILLISECOND")).alias("ingested_at"),
     ).select(*KLINES.names)
 
 
 def order_candles(
-    spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus"
+    spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus", interval: str = "1d"
 ) -> DataFrame:
-    """Daily candles of order prices: few symbols with a long history, or one per customer."""
+    """Candles of order prices: few symbols with a long history, or one symbol per customer."""
     return _candles(
         table(spark, sf_dir, "orders"),
         F.col(symbol).cast("string"),
-        "o_orderdate", "o_totalprice", "o_orderkey",
+        "o_orderdate", F.col("o_totalprice"), "o_orderkey",
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-        "1d",
+        interval,
     )
 
 
@@ -72,7 +83,7 @@ def event_candles(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
     return _candles(
         table(spark, sf_dir, "events"),
         F.col("event_type"),
-        "ts", "value", "event_id",
+        "ts", F.col("value") * 100, "event_id",
         F.col("user_id") % 2 == 0,
         interval,
     )
@@ -81,12 +92,12 @@ def event_candles(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
 def lineitem_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily market chart of all line items: average unit price, turnover, quantity."""
     day = _floor("l_shipdate", "day")
-    turnover = F.sum("l_extendedprice")
+    turnover = F.sum(whole(F.col("l_extendedprice")))
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(day.alias("date"))
         .agg(
-            F.try_divide(turnover, F.sum("l_quantity")).alias("price_usd"),
+            F.floor(F.try_divide(turnover, F.sum("l_quantity"))).cast("double").alias("price_usd"),
             turnover.alias("market_cap_usd"),
             F.sum("l_quantity").alias("volume_usd"),
         )
@@ -98,7 +109,7 @@ def lineitem_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discount_index() -> Column:
     """A line item's discount as an index value from 0 to 100."""
-    return F.round(F.col("l_discount") * 1000).cast("bigint")
+    return F.floor(F.col("l_discount") * 1000 + 0.5)
 
 
 def index_label(value: Column) -> Column:
