@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
 from candlewick.config import LakeConfig, prepare_session, run_uri, shared_scratch
@@ -41,20 +41,19 @@ def query(build: Query) -> Query:
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded, timestamps without zone, an undefined correlation as a flag."""
 
-    def show(name: str, kind) -> Column:
-        value = F.col(f"`{name}`")
-        if name == CORR:
-            value = F.when(~F.isnan(value), value)
+    def show(name: str, kind) -> str:
+        value = f"if(isnan({name}), NULL, {name})" if name == CORR else f"`{name}`"
         if isinstance(kind, DoubleType):
-            return F.round(value, DIGITS.get(name, 6)).alias(name)
+            return f"round({value}, {DIGITS.get(name, 6)}) AS `{name}`"
         if isinstance(kind, TimestampType):
-            return value.cast("timestamp_ntz").alias(name)
+            return f"CAST({value} AS TIMESTAMP_NTZ) AS `{name}`"
         return value
 
-    columns = [show(field.name, field.dataType) for field in df.schema.fields]
-    if CORR in df.columns:
-        columns.append(F.coalesce(F.isnan(CORR), F.lit(False)).alias("corr_is_nan"))
-    return df.select(*columns)
+    fields = df.schema.fields
+    columns = [show(field.name, field.dataType) for field in fields]
+    if any(field.name == CORR for field in fields):
+        columns.append(f"coalesce(isnan({CORR}), false) AS corr_is_nan")
+    return df.selectExpr(*columns)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -208,18 +207,15 @@ def typed_projection(spark, sf_dir):
     return silver.typed_klines(tables.candle_ingests(spark, sf_dir))
 
 
-def _shifted_index(spark: SparkSession, sf_dir: str) -> Column:
-    """Index values moved by up to 100 either way, so that some leave the scale."""
-    return tables.discount_index() + (F.col("l_linenumber") - 2) * 20
-
-
 @query
 def sentiment_bucket_counts(spark, sf_dir):
+    """Index values moved by up to 100 either way, so that some leave the scale."""
+    shifted = F.expr(f"{tables.DISCOUNT_INDEX} + (l_linenumber - 2) * 20 AS value")
     return (
         tables.table(spark, sf_dir, "lineitem")
-        .groupBy(_shifted_index(spark, sf_dir).alias("value"))
+        .groupBy(shifted)
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("value", sentiment_bucket(F.col("value")).alias("bucket"), "n_rows")
+        .select("value", sentiment_bucket("value").alias("bucket"), "n_rows")
     )
 
 
@@ -345,11 +341,10 @@ def freshness_check(spark, sf_dir):
 
 
 def _shifted_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shift = (F.hour("ingested_at") - 2) * 20
     moved = tables.sentiment_ingests(spark, sf_dir).withColumn(
-        "fear_greed_value", F.col("fear_greed_value") + shift
+        "fear_greed_value", F.expr("fear_greed_value + (hour(ingested_at) - 2) * 20")
     )
-    return moved.withColumn("sentiment_bucket", sentiment_bucket(F.col("fear_greed_value")))
+    return moved.withColumn("sentiment_bucket", sentiment_bucket("fear_greed_value"))
 
 
 @query

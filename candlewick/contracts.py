@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 # ---------------------------------------------------------------------------------------------
 # These must equal what the upstream APIs and existing Bronze trees use.
@@ -38,27 +46,40 @@ DEFAULT_COINS = ("bitcoin",)
 # Schemas (timestamps are UTC)
 # ---------------------------------------------------------------------------------------------
 
-LANDING = StructType.fromDDL(
-    "payload_id STRING, source STRING, dataset STRING, entity STRING, `interval` STRING, "
-    "fetched_at TIMESTAMP, body STRING"
-)
+_TYPES = {
+    "string": StringType(),
+    "timestamp": TimestampType(),
+    "double": DoubleType(),
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+}
+
 
-MARKET_CHART = StructType.fromDDL(
-    "date TIMESTAMP, coin_id STRING, price_usd DOUBLE, market_cap_usd DOUBLE, volume_usd DOUBLE, "
-    "ingested_at TIMESTAMP"
+def _schema(**columns: str) -> StructType:
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in columns.items()])
+
+
+LANDING = _schema(
+    payload_id="string", source="string", dataset="string", entity="string", interval="string",
+    fetched_at="timestamp", body="string",
+)
+MARKET_CHART = _schema(
+    date="timestamp", coin_id="string", price_usd="double", market_cap_usd="double",
+    volume_usd="double", ingested_at="timestamp",
 )
-KLINES = StructType.fromDDL(
-    "open_time TIMESTAMP, close_time TIMESTAMP, symbol STRING, `interval` STRING, "
-    "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, quote_volume DOUBLE, "
-    "num_trades BIGINT, taker_buy_base_vol DOUBLE, taker_buy_quote_vol DOUBLE, ingested_at TIMESTAMP"
+KLINES = _schema(
+    open_time="timestamp", close_time="timestamp", symbol="string", interval="string",
+    open="double", high="double", low="double", close="double", volume="double",
+    quote_volume="double", num_trades="bigint", taker_buy_base_vol="double",
+    taker_buy_quote_vol="double", ingested_at="timestamp",
 )
-SENTIMENT_INDEX = StructType.fromDDL(
-    "date TIMESTAMP, fear_greed_value BIGINT, sentiment_label STRING, sentiment_bucket STRING, "
-    "ingested_at TIMESTAMP"
+SENTIMENT_INDEX = _schema(
+    date="timestamp", fear_greed_value="bigint", sentiment_label="string",
+    sentiment_bucket="string", ingested_at="timestamp",
 )
-TICK = StructType.fromDDL(
-    "symbol STRING, price DOUBLE, quantity DOUBLE, event_time TIMESTAMP, trade_id BIGINT, "
-    "is_buyer_maker BOOLEAN"
+TICK = _schema(
+    symbol="string", price="double", quantity="double", event_time="timestamp",
+    trade_id="bigint", is_buyer_maker="boolean",
 )
 RUN_PARTITIONS = ("year", "month", "day")
 

@@ -28,12 +28,18 @@ def latest_of(primary: Column, *others: Column) -> Column:
     return F.greatest(primary, *(F.coalesce(other, primary) for other in others))
 
 
-def sentiment_bucket(value: Column) -> Column:
-    """Label of the range that holds ``value``; anything outside all ranges is ``Unknown``."""
-    label = F.lit(UNKNOWN_SENTIMENT)
-    for low, high, name in SENTIMENT_RANGES:
-        label = F.when((value >= low) & (value < high), F.lit(name)).otherwise(label)
-    return label
+def bucket_case(value: str) -> str:
+    """SQL text of the sentiment ranges over an SQL expression; outside all of them ``Unknown``."""
+    cases = " ".join(
+        f"WHEN {value} >= {low} AND {value} < {high} THEN '{label}'"
+        for low, high, label in SENTIMENT_RANGES
+    )
+    return f"CASE {cases} ELSE '{UNKNOWN_SENTIMENT}' END"
+
+
+def sentiment_bucket(value: str) -> Column:
+    """Label of the range that holds a column's value."""
+    return F.expr(bucket_case(f"`{value}`"))
 
 
 def checked_interval(interval: Column) -> Column:

@@ -231,29 +231,30 @@ def _index_documents(landing: DataFrame) -> DataFrame:
     ).select("ingested_at", _required("data").alias("data"))
 
 
-def _index_row(entry: Column) -> list[Column]:
-    value = entry["value"].cast("bigint")
-    return [
+def _index_rows(entries: DataFrame) -> DataFrame:
+    entry = F.col("entry")
+    return entries.select(
         seconds_to_date(entry["timestamp"]).cast("timestamp").alias("date"),
-        value.alias("fear_greed_value"),
+        entry["value"].cast("bigint").alias("fear_greed_value"),
         entry["value_classification"].alias("sentiment_label"),
-        sentiment_bucket(value).alias("sentiment_bucket"),
-        F.col("ingested_at"),
-    ]
+        "ingested_at",
+    ).withColumn("sentiment_bucket", sentiment_bucket("fear_greed_value")).select(
+        *SENTIMENT_INDEX.names
+    )
 
 
 def parse_sentiment_index(landing: DataFrame) -> DataFrame:
     """All index entries with our own bucket next to the API's label (see ``oldest_first``)."""
-    return _index_documents(landing).select(
-        "ingested_at", F.explode("data").alias("entry")
-    ).select(*_index_row(F.col("entry"))).select(*SENTIMENT_INDEX.names)
+    return _index_rows(
+        _index_documents(landing).select("ingested_at", F.explode("data").alias("entry"))
+    )
 
 
 def latest_sentiment(landing: DataFrame) -> DataFrame:
     """Only the first (newest) entry of each index document, in the same schema."""
-    return _index_documents(landing).select(
-        "ingested_at", F.element_at("data", 1).alias("entry")
-    ).select(*_index_row(F.col("entry"))).select(*SENTIMENT_INDEX.names)
+    return _index_rows(
+        _index_documents(landing).select("ingested_at", F.element_at("data", 1).alias("entry"))
+    )
 
 
 def oldest_first(rows: DataFrame, time_col: str = "date") -> DataFrame:

@@ -11,57 +11,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewick.contracts import KLINES, LANDING, MARKET_CHART, SENTIMENT_INDEX
-from candlewick.functions.scalar import sentiment_bucket
+from candlewick.functions.scalar import bucket_case
 
 BASKET = "basket"
-INTERVAL_UNITS = {"1d": "day", "1h": "hour"}
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _floor(ts: Column | str, unit: str) -> Column:
-    return F.date_trunc(unit, ts).cast("timestamp")
+# Schemas of the tables used here: reading with a schema needs no inference job, and as UTC
+# timestamps the times need no per-row conversion.
+SCHEMAS = {
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+}
+
+# A line item's discount as an index value from 0 to 100.
+DISCOUNT_INDEX = "floor(l_discount * 1000 + 0.5)"
 
 
-def _close_of(open_time: Column, interval: str) -> Column:
-    unit = INTERVAL_UNITS[interval].upper()
-    return open_time + F.expr(f"INTERVAL 1 {unit}") - F.expr("INTERVAL 1 MILLISECOND")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def whole(value: Column) -> Column:
-    """The nearest whole number of a value that is not negative, as a double."""
-    return F.floor(value + 0.5).cast("double")
+def index_label(value: str) -> str:
+    """The 'API' label of an index value: our bucket, but with a name of its own at the top."""
+    return f"CASE WHEN {value} = 100 THEN 'Euphoria' ELSE {bucket_case(value)} END"
 
 
 def _candles(
-    rows: DataFrame, symbol: Column, ts: str, price: Column, order: str, bought: Column,
-    interval: str,
+    rows: DataFrame, symbol: str, ts: str, price: str, order: str, bought: str, interval: str
 ) -> DataFrame:
     """OHLCV of raw rows; ``order`` must be unique, it decides which row opens and closes a bar."""
-    open_time = _floor(F.col(ts), INTERVAL_UNITS[interval])
-    trades = rows.select(
-        symbol.alias("symbol"), open_time.alias("open_time"), whole(price).alias("price"),
-        F.col(order).alias("seq"), bought.alias("bought"),
+    hour = f"hour({ts})" if interval == "1h" else "0"
+    span = "INTERVAL 1 HOUR" if interval == "1h" else "INTERVAL 1 DAY"
+    trades = rows.selectExpr(
+        f"CAST({symbol} AS STRING) AS symbol",
+        f"to_date({ts}) AS day",
+        f"{hour} AS hour",
+        f"CAST(floor({price} + 0.5) AS DOUBLE) AS price",
+        f"{order} AS seq",
+        f"{bought} AS bought",
     )
-    bars = trades.groupBy("symbol", "open_time").agg(
-        F.min_by("price", "seq").alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max_by("price", "seq").alias("close"),
-        (F.sum("price") / 4).alias("volume"),
-        F.sum("price").alias("quote_volume"),
-        F.count(F.lit(1)).alias("num_trades"),
-        F.sum(F.when(F.col("bought"), F.col("price")).otherwise(0.0)).alias("taker_buy_quote_vol"),
+    keys = ["symbol", "day", "hour"] if interval == "1h" else ["symbol", "day"]
+    bars = trades.groupBy(*keys).agg(
+        F.expr("min_by(price, seq) AS open"),
+        F.expr("max(price) AS high"),
+        F.expr("min(price) AS low"),
+        F.expr("max_by(price, seq) AS close"),
+        F.expr("sum(price) AS quote_volume"),
+        F.expr("count(*) AS num_trades"),
+        F.expr("sum(if(bought, price, 0D)) AS taker_buy_quote_vol"),
     )
-    close_time = _close_of(F.col("open_time"), interval)
-    return bars.select(
-        "*",
-        close_time.alias("close_time"),
-        F.lit(interval).alias("interval"),
-        (F.col("taker_buy_quote_vol") / 4).alias("taker_buy_base_vol"),
-        (close_time + F.expr("INTERVAL 1 MILLISECOND")).alias("ingested_at"),
+    opened = "CAST(day AS TIMESTAMP)"
+    if interval == "1h":
+        opened = f"{opened} + make_dt_interval(0, hour)"
+    return bars.selectExpr("*", f"{opened} AS open_time").selectExpr(
+        "open_time",
+        f"open_time + {span} - INTERVAL 1 MILLISECOND AS close_time",
+        "symbol",
+        f"'{interval}' AS interval",
+        "open", "high", "low", "close",
+        "quote_volume / 4 AS volume",
+        "quote_volume",
+        "num_trades",
+        "taker_buy_quote_vol / 4 AS taker_buy_base_vol",
+        "taker_buy_quote_vol",
+        f"open_time + {span} AS ingested_at",
     ).select(*KLINES.names)
 
 
@@ -70,51 +97,37 @@ def order_candles(
 ) -> DataFrame:
     """Candles of order prices: few symbols with a long history, or one symbol per customer."""
     return _candles(
-        table(spark, sf_dir, "orders"),
-        F.col(symbol).cast("string"),
-        "o_orderdate", F.col("o_totalprice"), "o_orderkey",
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-        interval,
+        table(spark, sf_dir, "orders"), symbol, "o_orderdate", "o_totalprice", "o_orderkey",
+        "o_orderpriority IN ('1-URGENT', '2-HIGH')", interval,
     )
 
 
 def event_candles(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
     """Candles of event values per event type, daily or hourly."""
     return _candles(
-        table(spark, sf_dir, "events"),
-        F.col("event_type"),
-        "ts", F.col("value") * 100, "event_id",
-        F.col("user_id") % 2 == 0,
-        interval,
+        table(spark, sf_dir, "events"), "event_type", "ts", "value * 100", "event_id",
+        "user_id % 2 = 0", interval,
     )
 
 
 def lineitem_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily market chart of all line items: average unit price, turnover, quantity."""
-    day = _floor("l_shipdate", "day")
-    turnover = F.sum(whole(F.col("l_extendedprice")))
-    return (
+    days = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(day.alias("date"))
+        .groupBy(F.expr("to_date(l_shipdate) AS day"))
         .agg(
-            F.floor(F.try_divide(turnover, F.sum("l_quantity"))).cast("double").alias("price_usd"),
-            turnover.alias("market_cap_usd"),
-            F.sum("l_quantity").alias("volume_usd"),
+            F.expr("sum(CAST(floor(l_extendedprice + 0.5) AS DOUBLE)) AS market_cap_usd"),
+            F.expr("sum(l_quantity) AS volume_usd"),
         )
-        .withColumn("coin_id", F.lit(BASKET))
-        .withColumn("ingested_at", F.col("date") + F.expr("INTERVAL 26 HOURS"))
-        .select(*MARKET_CHART.names)
     )
-
-
-def discount_index() -> Column:
-    """A line item's discount as an index value from 0 to 100."""
-    return F.floor(F.col("l_discount") * 1000 + 0.5)
-
-
-def index_label(value: Column) -> Column:
-    """The 'API' label of an index value: our bucket, but with a name of its own at the top."""
-    return F.when(value == 100, F.lit("Euphoria")).otherwise(sentiment_bucket(value))
+    return days.selectExpr(
+        "CAST(day AS TIMESTAMP) AS date",
+        f"'{BASKET}' AS coin_id",
+        "CAST(floor(try_divide(market_cap_usd, volume_usd)) AS DOUBLE) AS price_usd",
+        "market_cap_usd",
+        "volume_usd",
+        "CAST(day AS TIMESTAMP) + INTERVAL 26 HOURS AS ingested_at",
+    ).select(*MARKET_CHART.names)
 
 
 def lineitem_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,82 +136,75 @@ def lineitem_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     Order, then line number, then the value itself decide which item is last.  The three are packed
     into one long (line numbers are below 8, values below 128), so a plain ``max`` finds it.
     """
-    packed = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 128 + discount_index()
-    value = F.col("last_item") % 128
-    return (
+    packed = f"(l_orderkey * 8 + l_linenumber) * 128 + {DISCOUNT_INDEX}"
+    days = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(_floor("l_shipdate", "day").alias("date"))
-        .agg(F.max(packed).alias("last_item"))
-        .select(
-            "date",
-            value.alias("fear_greed_value"),
-            index_label(value).alias("sentiment_label"),
-            sentiment_bucket(value).alias("sentiment_bucket"),
-            (F.col("date") + F.expr("INTERVAL 30 HOURS")).alias("ingested_at"),
-        )
-        .select(*SENTIMENT_INDEX.names)
+        .groupBy(F.expr("to_date(l_shipdate) AS day"))
+        .agg(F.expr(f"max({packed}) % 128 AS fear_greed_value"))
     )
+    return days.selectExpr(
+        "CAST(day AS TIMESTAMP) AS date",
+        "fear_greed_value",
+        f"{index_label('fear_greed_value')} AS sentiment_label",
+        f"{bucket_case('fear_greed_value')} AS sentiment_bucket",
+        "CAST(day AS TIMESTAMP) + INTERVAL 30 HOURS AS ingested_at",
+    ).select(*SENTIMENT_INDEX.names)
 
 
 def with_run_date(rows: DataFrame) -> DataFrame:
     """Add the partition columns a Bronze scan would bring (the ingestion date)."""
-    return rows.select(
-        "*",
-        F.year("ingested_at").alias("year"),
-        F.month("ingested_at").alias("month"),
-        F.dayofmonth("ingested_at").alias("day"),
+    return rows.selectExpr(
+        "*", "year(ingested_at) AS year", "month(ingested_at) AS month", "day(ingested_at) AS day"
     )
 
 
 def candle_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as repeatedly ingested candles: many keys, duplicates with and without ties."""
-    price = F.col("l_extendedprice")
-    open_time = F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(F.col("l_linenumber"))
-    rows = table(spark, sf_dir, "lineitem").select(
-        open_time.alias("open_time"),
-        (open_time + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MILLISECOND")).alias("close_time"),
-        F.col("l_orderkey").cast("string").alias("symbol"),
-        F.lit("1d").alias("interval"),
-        price.alias("open"),
-        (price + F.col("l_quantity")).alias("high"),
-        (price - F.col("l_quantity")).alias("low"),
-        (price + F.col("l_tax")).alias("close"),
-        F.col("l_quantity").alias("volume"),
-        (price * F.col("l_quantity")).alias("quote_volume"),
-        F.col("l_partkey").alias("num_trades"),
-        (F.col("l_quantity") / 2).alias("taker_buy_base_vol"),
-        (price / 2).alias("taker_buy_quote_vol"),
-        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+    opened = "TIMESTAMP '1995-01-01' + make_dt_interval(l_linenumber)"
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        f"{opened} AS open_time",
+        f"{opened} + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND AS close_time",
+        "CAST(l_orderkey AS STRING) AS symbol",
+        "'1d' AS interval",
+        "l_extendedprice AS open",
+        "l_extendedprice + l_quantity AS high",
+        "l_extendedprice - l_quantity AS low",
+        "l_extendedprice + l_tax AS close",
+        "l_quantity AS volume",
+        "l_extendedprice * l_quantity AS quote_volume",
+        "l_partkey AS num_trades",
+        "l_quantity / 2 AS taker_buy_base_vol",
+        "l_extendedprice / 2 AS taker_buy_quote_vol",
+        "l_shipdate AS ingested_at",
     )
     return with_run_date(rows.select(*KLINES.names))
 
 
 def event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intraday market-chart points: few (coin, day) groups with very many copies."""
-    rows = table(spark, sf_dir, "events").select(
-        _floor("ts", "hour").alias("date"),
-        F.col("event_type").alias("coin_id"),
-        F.col("value").alias("price_usd"),
-        (F.col("value") * F.col("user_id")).alias("market_cap_usd"),
-        F.col("user_id").cast("double").alias("volume_usd"),
-        F.col("ts").cast("timestamp").alias("ingested_at"),
+    return with_run_date(
+        table(spark, sf_dir, "events").selectExpr(
+            "date_trunc('hour', ts) AS date",
+            "event_type AS coin_id",
+            "value AS price_usd",
+            "value * user_id AS market_cap_usd",
+            "CAST(user_id AS DOUBLE) AS volume_usd",
+            "ts AS ingested_at",
+        )
     )
-    return with_run_date(rows)
 
 
 def sentiment_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as repeatedly ingested index values; most ingests of a day tie in time."""
-    value = discount_index()
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_shipdate").cast("timestamp").alias("date"),
-        value.alias("fear_greed_value"),
-        index_label(value).alias("sentiment_label"),
-        sentiment_bucket(value).alias("sentiment_bucket"),
-        (
-            F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))
-        ).alias("ingested_at"),
+    return with_run_date(
+        table(spark, sf_dir, "lineitem").selectExpr(
+            "l_shipdate AS date",
+            f"{DISCOUNT_INDEX} AS fear_greed_value",
+            f"{index_label(DISCOUNT_INDEX)} AS sentiment_label",
+            f"{bucket_case(DISCOUNT_INDEX)} AS sentiment_bucket",
+            "l_shipdate + make_dt_interval(0, l_linenumber) AS ingested_at",
+        )
     )
-    return with_run_date(rows)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -354,7 +360,7 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper("event_type"),
         F.col("value").cast("string"),
         (F.col("user_id") / 8).cast("string"),
-        F.unix_millis(F.col("ts").cast("timestamp")),
+        F.unix_millis("ts"),
         F.col("event_id"),
         (F.col("user_id") % 2 == 0).cast("string"),
     )
