@@ -7,7 +7,7 @@ from datetime import date, datetime
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import TimestampType
 
 from candlewick.config import LakeConfig, prepare_session, run_uri, shared_scratch
 from candlewick.contracts import dataset_spec
@@ -23,8 +23,10 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = date(2001, 12, 31)
 SLICE_DAY = date(1998, 3, 9)
-DIGITS = {"volatility_30d_pct": 4, "volume_std30": 4, "volume_z_score": 4}
 CORR = "rolling_30d_sentiment_return_corr"
+# Only deviations and what is derived from them depend on the order of summation; all other
+# doubles are exact or the result of the same few IEEE operations in any engine.
+DIGITS = {"volatility_30d_pct": 4, "volume_std30": 4, "volume_z_score": 4, CORR: 6}
 
 
 def query(build: Query) -> Query:
@@ -39,12 +41,12 @@ def query(build: Query) -> Query:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles rounded, timestamps without zone, an undefined correlation as a flag."""
+    """Inexact doubles rounded, timestamps without zone, an undefined correlation as a flag."""
 
     def show(name: str, kind) -> str:
         value = f"if(isnan({name}), NULL, {name})" if name == CORR else f"`{name}`"
-        if isinstance(kind, DoubleType):
-            return f"round({value}, {DIGITS.get(name, 6)}) AS `{name}`"
+        if name in DIGITS:
+            return f"round({value}, {DIGITS[name]}) AS `{name}`"
         if isinstance(kind, TimestampType):
             return f"CAST({value} AS TIMESTAMP_NTZ) AS `{name}`"
         return value
@@ -65,16 +67,36 @@ def _by_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn("date_day", F.to_date("date"))
 
 
-def _enriched(spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus") -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_enriched(
-        tables.order_candles(spark, sf_dir, symbol),
+        tables.order_candles(spark, sf_dir),
         _by_day(tables.lineitem_chart(spark, sf_dir)),
         _by_day(tables.lineitem_sentiment(spark, sf_dir)),
     )
 
 
-def _price(spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus") -> DataFrame:
-    return gold.price_analysis(_enriched(spark, sf_dir, symbol))
+def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.price_analysis(_enriched(spark, sf_dir))
+
+
+def _customer_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price mart with one symbol per customer, so the candles are the big side.
+
+    The day tables are stored first, as in a real run: the planner then knows their file sizes and
+    broadcasts them (or not) without shuffling the candles by day.
+    """
+    scratch = shared_scratch(spark, "day-tables")
+    days = runs.materialise_all({
+        f"{scratch}/chart": _by_day(tables.lineitem_chart(spark, sf_dir)),
+        f"{scratch}/mood": _by_day(tables.lineitem_sentiment(spark, sf_dir)),
+    })
+    return gold.price_analysis(
+        daily_enriched(
+            tables.order_candles(spark, sf_dir, "o_custkey"),
+            days[f"{scratch}/chart"],
+            days[f"{scratch}/mood"],
+        )
+    )
 
 
 def _correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +129,7 @@ def price_analysis(spark, sf_dir):
 
 @query
 def price_analysis_many_symbols(spark, sf_dir):
-    return _price(spark, sf_dir, "o_custkey")
+    return _customer_prices(spark, sf_dir)
 
 
 @query
@@ -254,8 +276,11 @@ def parse_klines_payload(spark, sf_dir):
 
 @query
 def kline_page_coverage(spark, sf_dir):
+    pages = runs.materialise(
+        payloads.kline_pages(_hourly_pages(spark, sf_dir)), shared_scratch(spark, "pages")
+    )
     end = F.lit("2024-01-30").cast("timestamp")
-    return payloads.page_coverage(_hourly_pages(spark, sf_dir), end, page_size=24)
+    return payloads.page_coverage(pages, end, page_size=24)
 
 
 @query
@@ -361,9 +386,7 @@ def positive_check(spark, sf_dir):
         {"close": F.col("close") - 20000, "volume": F.col("volume") - 5}
     )
     return quality.implausible_candles(candles).select(
-        "symbol", "interval", "open_time",
-        F.round("close", 4).alias("close"), F.round("quote_volume", 4).alias("quote_volume"),
-        "volume", "ingested_at",
+        "symbol", "interval", "open_time", "close", "quote_volume", "volume", "ingested_at"
     )
 
 
@@ -410,6 +433,8 @@ def output_test_results(spark, sf_dir):
     )
     enriched = stored("enriched", daily_enriched(klines, chart, mood))
     price = stored("price", gold.price_analysis(enriched))
+    correlation = stored("correlation", gold.sentiment_correlation(price))
+    anomalies = stored("anomalies", gold.volume_anomalies(price))
     return quality.output_tests(
         {
             "silver_klines": klines,
@@ -417,8 +442,8 @@ def output_test_results(spark, sf_dir):
             "silver_sentiment": mood,
             "daily_enriched": enriched,
             "mart_price_analysis": price,
-            "mart_sentiment_correlation": gold.sentiment_correlation(price),
-            "mart_volume_anomalies": gold.volume_anomalies(price),
+            "mart_sentiment_correlation": correlation,
+            "mart_volume_anomalies": anomalies,
         },
         AS_OF,
     )
@@ -436,7 +461,7 @@ def kpi_latest(spark, sf_dir):
 
 @query
 def kpi_by_symbol(spark, sf_dir):
-    return serving.kpi_by_symbol(_price(spark, sf_dir, "o_custkey"))
+    return serving.kpi_by_symbol(_customer_prices(spark, sf_dir))
 
 
 @query

@@ -163,7 +163,7 @@ def with_tables(names: str, body: str, **replaced: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def rounded(columns: str, digits: int = 6) -> str:
+def rounded(columns: str, digits: int) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())
 
 
@@ -183,7 +183,7 @@ _CORR = _NAN_SPLIT.format(c="rolling_30d_sentiment_return_corr")
 PRICE_OUT = (
     f"{PRICE_KEYS}, open, high, low, close, volume, quote_volume, num_trades, market_cap_usd, "
     f"coingecko_volume_usd, {CARRIED}, price_change_usd, latest_ingested_at, "
-    + rounded("daily_return_pct ma7_close ma30_close")
+    + "daily_return_pct, ma7_close, ma30_close"
     + ", "
     + rounded("volatility_30d_pct", 4)
 )
@@ -209,9 +209,6 @@ _ONE_CHART_A_MONTH = """(SELECT * FROM ({fetched})
 
 _CHART_ROWS = 'date, coin_id, price_usd, market_cap_usd, volume_usd, ingested_at'
 _KLINE_ROWS = f"{KLINE_KEYS}, close_time, {KLINE_VALUES}, ingested_at"
-_INGEST_ROWS = f"{KLINE_KEYS}, close_time, num_trades, ingested_at, " + rounded(
-    "open high low close volume quote_volume taker_buy_base_vol taker_buy_quote_vol"
-)
 
 
 def _suite(source: str, table: str, rules: list[tuple[str, ...]]) -> str:
@@ -395,25 +392,25 @@ ORACLES: dict[str, str] = {
     "sentiment_correlation": with_tables(
         "mood_corr",
         f"SELECT {PRICE_KEYS}, close, {CARRIED}, sentiment_change, latest_ingested_at, "
-        f"{rounded('daily_return_pct next_day_return_pct')}, {_CORR} FROM mood_corr",
+        f"daily_return_pct, next_day_return_pct, {_CORR} FROM mood_corr",
     ),
     "volume_anomalies": with_tables(
         "anomalies",
         f"SELECT {PRICE_KEYS}, close, volume, quote_volume, num_trades, fear_greed_value, "
         f"sentiment_label, is_volume_anomaly, latest_ingested_at, "
-        f"{rounded('daily_return_pct volume_ma30')}, {rounded('volume_std30 volume_z_score', 4)} "
+        f"daily_return_pct, volume_ma30, {rounded('volume_std30 volume_z_score', 4)} "
         "FROM anomalies",
     ),
     "day_over_day_change": _price("price_change_usd"),
-    "daily_return_pct": _price(rounded("daily_return_pct")),
-    "moving_average_7": _price(rounded("ma7_close")),
-    "moving_average_30": _price(rounded("ma30_close")),
+    "daily_return_pct": _price("daily_return_pct"),
+    "moving_average_7": _price("ma7_close"),
+    "moving_average_30": _price("ma30_close"),
     "volatility_30": _price(rounded("volatility_30d_pct", 4)),
     "sentiment_change": with_tables(
         "mood_corr", f"SELECT {PRICE_KEYS}, sentiment_change FROM mood_corr"
     ),
     "next_day_return": with_tables(
-        "mood_corr", f"SELECT {PRICE_KEYS}, {rounded('next_day_return_pct')} FROM mood_corr"
+        "mood_corr", f"SELECT {PRICE_KEYS}, next_day_return_pct FROM mood_corr"
     ),
     "rolling_corr_30": with_tables("mood_corr", f"SELECT {PRICE_KEYS}, {_CORR} FROM mood_corr"),
     "volume_zscore": with_tables(
@@ -422,20 +419,16 @@ ORACLES: dict[str, str] = {
     ),
     "dedup_klines": with_tables(
         "candle_ingests",
-        f"SELECT {_INGEST_ROWS}, {RUN_DATE} FROM ({_DEDUP_KLINES})",
-    ),
-    "dedup_latest_in_day": with_tables(
-        "snapshots",
-        "SELECT * REPLACE (round(market_cap_usd, 6) AS market_cap_usd, "
-        f"round(price_usd, 6) AS price_usd) FROM ({_DEDUP_CHART})",
+        f"SELECT {_KLINE_ROWS}, {RUN_DATE} FROM ({_DEDUP_KLINES})",
     ),
+    "dedup_latest_in_day": with_tables("snapshots", _DEDUP_CHART),
     "dedup_sentiment": with_tables("mood_ingests", _DEDUP_MOOD),
     "union_intervals": with_tables(
         "event_1d event_1h",
         f"SELECT {_KLINE_ROWS} FROM event_1d UNION ALL SELECT {_KLINE_ROWS} FROM event_1h",
     ),
     "typed_projection": with_tables(
-        "candle_ingests", f"SELECT {_INGEST_ROWS}, {RUN_DATE} FROM candle_ingests"
+        "candle_ingests", f"SELECT {_KLINE_ROWS}, {RUN_DATE} FROM candle_ingests"
     ),
     "sentiment_bucket": f"""
         SELECT value, {_bucket('value')} AS bucket, count(*) AS n_rows
@@ -521,7 +514,7 @@ ORACLES: dict[str, str] = {
                ingested_at
         FROM shifted WHERE fear_greed_value < 0 OR fear_greed_value > 100""", shifted=_SHIFTED),
     "positive_check": with_tables("candle_ingests", f"""
-        SELECT {KLINE_KEYS}, {rounded('close quote_volume', 4)}, volume, ingested_at
+        SELECT {KLINE_KEYS}, close, quote_volume, volume, ingested_at
         FROM (SELECT * REPLACE (close - 20000 AS close, volume - 5 AS volume) FROM candle_ingests)
         WHERE close <= 0 OR volume < 0 OR quote_volume < 0"""),
     "suite_results": with_tables("candles chart mood_ingests shifted", _SUITES, shifted=_SHIFTED),
@@ -544,16 +537,16 @@ ORACLES: dict[str, str] = {
             SELECT *, max(latest_ingested_at) OVER (PARTITION BY symbol) AS freshness,
                    row_number() OVER (PARTITION BY symbol ORDER BY date_day DESC) AS nth
             FROM price) WHERE nth = 1""", candles=_CTES["customer_candles"]),
-    "close_vs_ma_series": _price("close, " + rounded("ma7_close ma30_close")),
+    "close_vs_ma_series": _price("close, " + "ma7_close, ma30_close"),
     "sentiment_vs_return_series": with_tables("price", f"""
-        SELECT {PRICE_KEYS}, fear_greed_value, {rounded('daily_return_pct')} FROM price
+        SELECT {PRICE_KEYS}, fear_greed_value, daily_return_pct FROM price
         WHERE fear_greed_value IS NOT NULL"""),
     "volume_anomaly_series": with_tables(
         "anomalies", f"SELECT {PRICE_KEYS}, volume, is_volume_anomaly FROM anomalies"
     ),
     "recent_anomalies": with_tables("anomalies", f"""
         SELECT symbol, date_day, close, volume, {rounded('volume_z_score', 4)},
-               {rounded('daily_return_pct')}, sentiment_label
+               daily_return_pct, sentiment_label
         FROM anomalies WHERE is_volume_anomaly ORDER BY date_day DESC, symbol LIMIT 10"""),
     "rolling_corr_series": with_tables("mood_corr", f"SELECT {PRICE_KEYS}, {_CORR} FROM mood_corr"),
     "sentiment_distribution": with_tables("price", """

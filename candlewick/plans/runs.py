@@ -30,18 +30,22 @@ from candlewick.plans.gold import price_analysis, sentiment_correlation, volume_
 from candlewick.plans.serving import publish
 from candlewick.plans.silver import silver_klines, silver_market_chart, silver_sentiment
 from candlewick.sources.bronze import (
+    WriteReceipt,
     kline_run_window,
     logical_date_slice,
     read_bronze,
     write_bronze,
+    write_bronze_if_any,
 )
 from candlewick.sources.payloads import (
-    latest_sentiment,
     parse_klines,
     parse_market_chart,
     parse_sentiment_index,
 )
 
+INGEST_LOG = (
+    "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING"
+)
 SUMMARY = (
     "source STRING, dataset STRING, status STRING, row_count BIGINT, min_time TIMESTAMP, "
     "max_time TIMESTAMP, path STRING, errors ARRAY<STRING>"
@@ -62,6 +66,13 @@ def parse_dataset(landing: DataFrame, dataset: str) -> DataFrame:
     return _parser(dataset)(_payloads(landing, dataset_spec(dataset)))
 
 
+def materialise_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rebuild several independent tables at the same time; keys are their URIs."""
+    return _in_parallel({
+        uri: (lambda rows=rows, uri=uri: materialise(rows, uri)) for uri, rows in tables.items()
+    })
+
+
 def _in_parallel(tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
     """Submit independent Spark jobs together; results under their names."""
     with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
@@ -89,35 +100,31 @@ def transform(
     def bronze(dataset: str) -> DataFrame:
         return read_bronze(spark, cfg, dataset_spec(dataset))
 
-    def silver(name: str, rows: DataFrame) -> Callable[[], DataFrame]:
-        return lambda: materialise(rows, table_uri(cfg, "silver", name))
+    def rebuild(layer: str, **tables: DataFrame) -> dict[str, DataFrame]:
+        uris = {name: table_uri(cfg, layer, name) for name in tables}
+        stored = materialise_all({uris[name]: rows for name, rows in tables.items()})
+        return {name: stored[uri] for name, uri in uris.items()}
 
-    def gold(name: str, rows: DataFrame) -> Callable[[], DataFrame]:
-        return lambda: materialise(rows, table_uri(cfg, "gold", name))
-
-    klines = silver_klines(bronze("klines_1d"), bronze("klines_1h"))
-    tables = _in_parallel({
-        "silver_klines": silver("silver_klines", klines),
-        "silver_market_chart": silver(
-            "silver_market_chart", silver_market_chart(bronze("market_chart"))
-        ),
-        "silver_sentiment": silver("silver_sentiment", silver_sentiment(bronze("index"))),
-    })
-    tables["daily_enriched"] = silver(
-        "daily_enriched",
-        daily_enriched(
+    tables = rebuild(
+        "silver",
+        silver_klines=silver_klines(bronze("klines_1d"), bronze("klines_1h")),
+        silver_market_chart=silver_market_chart(bronze("market_chart")),
+        silver_sentiment=silver_sentiment(bronze("index")),
+    )
+    tables |= rebuild(
+        "silver",
+        daily_enriched=daily_enriched(
             tables["silver_klines"], tables["silver_market_chart"], tables["silver_sentiment"],
             coin_of_symbol,
         ),
-    )()
-    price = gold("mart_price_analysis", price_analysis(tables["daily_enriched"]))()
-    tables["mart_price_analysis"] = price
-    tables |= _in_parallel({
-        "mart_sentiment_correlation": gold(
-            "mart_sentiment_correlation", sentiment_correlation(price)
-        ),
-        "mart_volume_anomalies": gold("mart_volume_anomalies", volume_anomalies(price)),
-    })
+    )
+    tables |= rebuild("gold", mart_price_analysis=price_analysis(tables["daily_enriched"]))
+    price = tables["mart_price_analysis"]
+    tables |= rebuild(
+        "gold",
+        mart_sentiment_correlation=sentiment_correlation(price),
+        mart_volume_anomalies=volume_anomalies(price),
+    )
     return tables
 
 
@@ -144,22 +151,34 @@ def daily_slice(landing: DataFrame, dataset: str, day: date) -> DataFrame:
     return logical_date_slice(parse_dataset(landing, dataset), day, spec.time_col)
 
 
-def latest_index(landing: DataFrame) -> DataFrame:
-    """The newest entry of each index document, whatever the logical date."""
-    return latest_sentiment(_payloads(landing, dataset_spec("index")))
-
-
-def ingest_day(landing: DataFrame, cfg: LakeConfig, run_ts: datetime) -> dict[str, str]:
+def ingest_day(
+    spark: SparkSession, landing: DataFrame, cfg: LakeConfig, run_ts: datetime
+) -> dict[str, str]:
     """Write one logical date of every dataset; the path is "" where the date has no rows."""
 
-    def ingest(spec: DatasetSpec) -> Callable[[], str]:
-        def write() -> str:
-            rows = daily_slice(landing, spec.dataset, run_ts.date())
-            return "" if rows.isEmpty() else write_bronze(rows, cfg, spec, run_ts).path
+    def ingest(spec: DatasetSpec) -> Callable[[], WriteReceipt | None]:
+        rows = daily_slice(landing, spec.dataset, run_ts.date())
+        return lambda: write_bronze_if_any(rows, cfg, spec, run_ts)
+
+    receipts = _in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
+    log_ingest(spark, cfg, receipts, run_ts)
+    return {name: receipt.path if receipt else "" for name, receipt in receipts.items()}
 
-        return write
 
-    return _in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
+def log_ingest(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    receipts: Mapping[str, WriteReceipt | None],
+    run_ts: datetime,
+) -> None:
+    """Keep what a run stored (source, dataset, time, rows, path) in the ``ingest_log`` table."""
+    rows = [
+        (dataset_spec(name).source, name, run_ts, receipt.row_count, receipt.path)
+        for name, receipt in receipts.items() if receipt
+    ]
+    if rows:
+        uri = f"{table_uri(cfg, 'quality', 'ingest_log')}/run_{run_ts:%Y%m%d_%H%M%S}"
+        materialise(spark.createDataFrame(rows, INGEST_LOG).coalesce(1), uri)
 
 
 def run_daily(
@@ -178,7 +197,7 @@ def run_daily(
     anything is published.  Both leave their results in the ``dq_results`` tables.
     """
     prepare_session(spark)
-    written = ingest_day(landing, cfg, run_ts)
+    written = ingest_day(spark, landing, cfg, run_ts)
     input_results = gate(
         spark, written, dict(suites or default_suites()),
         table_uri(cfg, "quality", "input_results"), run_ts,
@@ -209,20 +228,21 @@ class BackfillReport:
 
 def backfill_dataset(
     landing: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime, since: date | None
-) -> tuple:
+) -> tuple[tuple, WriteReceipt | None]:
     """Validate and write one dataset's whole history; any error becomes its summary row."""
     try:
         rows = parse_dataset(landing, spec.dataset)
         if since is not None:
             rows = rows.filter(F.col(spec.time_col) >= F.lit(since.isoformat()).cast("timestamp"))
         found = profile(rows, spec)
-        path = None if found.errors else write_bronze(rows, cfg, spec, run_ts).path
-        return (
-            spec.source, spec.dataset, found.status, found.row_count, found.min_time,
-            found.max_time, path, list(found.errors),
-        )
+        receipt = None if found.errors else write_bronze(rows, cfg, spec, run_ts)
     except Exception as problem:  # one dataset must not stop the others
-        return (spec.source, spec.dataset, "ERROR", 0, None, None, None, [str(problem)])
+        return (spec.source, spec.dataset, "ERROR", 0, None, None, None, [str(problem)]), None
+    path = receipt.path if receipt else None
+    return (
+        spec.source, spec.dataset, found.status, found.row_count, found.min_time, found.max_time,
+        path, list(found.errors),
+    ), receipt
 
 
 def run_backfill(
@@ -235,10 +255,17 @@ def run_backfill(
 ) -> BackfillReport:
     """Write the full history of every dataset under the run date; Silver absorbs the overlap."""
     prepare_session(spark)
-    since = since or {}
-    rows = [
-        backfill_dataset(landing, cfg, spec, run_ts, since.get(spec.dataset)) for spec in specs
-    ]
+    starts = since or {}
+    outcome = _in_parallel({
+        spec.dataset: (
+            lambda spec=spec: backfill_dataset(
+                landing, cfg, spec, run_ts, starts.get(spec.dataset)
+            )
+        )
+        for spec in specs
+    })
+    log_ingest(spark, cfg, {name: receipt for name, (_, receipt) in outcome.items()}, run_ts)
+    rows = [row for row, _ in outcome.values()]
     return BackfillReport(
         spark.createDataFrame(rows, SUMMARY), all(row[2] == "PASS" for row in rows)
     )

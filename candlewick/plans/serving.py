@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -64,15 +65,17 @@ def publish(marts: Mapping[str, DataFrame], sink: tuple[Replace, Count]) -> dict
     executor was lost may insert its rows twice, and that must not go unnoticed.
     """
     replace, count = sink
-    published = {}
-    for name, rows in marts.items():
-        expected = rows.count()
-        replace(name, rows)
+
+    def load(name: str) -> int:
+        expected = marts[name].count()
+        replace(name, marts[name])
         stored = count(name)
         if stored != expected:
             raise RuntimeError(f"{name}: published {stored} rows instead of {expected}")
-        published[name] = stored
-    return published
+        return stored
+
+    with ThreadPoolExecutor(max_workers=max(len(marts), 1)) as pool:
+        return dict(zip(marts, pool.map(load, marts)))
 
 
 # ---------------------------------------------------------------------------------------------

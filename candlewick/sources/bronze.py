@@ -49,22 +49,11 @@ def write_bronze(
     return WriteReceipt(path, counts["n_rows"], counts["min_time"], counts["max_time"])
 
 
-def write_bronze_slice(
+def write_bronze_if_any(
     df: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime
-) -> str:
-    """Store only the run's logical date; an empty slice writes nothing and returns ``""``."""
-    sliced = logical_date_slice(df, run_ts.date(), spec.time_col)
-    if sliced.isEmpty():
-        return ""
-    return write_bronze(sliced, cfg, spec, run_ts).path
-
-
-def ingest_log(spark: SparkSession, spec: DatasetSpec, receipt: WriteReceipt, run_ts: datetime):
-    """The write's metadata as a one-row DataFrame, to append to a log table."""
-    return spark.createDataFrame(
-        [(spec.source, spec.dataset, run_ts, receipt.row_count, receipt.path)],
-        "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING",
-    )
+) -> WriteReceipt | None:
+    """Store a run unless it has no rows (then nothing is written)."""
+    return None if df.isEmpty() else write_bronze(df, cfg, spec, run_ts)
 
 
 def with_run_partitions(schema: StructType) -> StructType:

@@ -104,27 +104,23 @@ def kline_pages(landing: DataFrame) -> DataFrame:
 
 
 def page_coverage(
-    landing: DataFrame, end: Column, page_size: int = KLINE_PAGE_SIZE
+    pages: DataFrame, end: Column, page_size: int = KLINE_PAGE_SIZE
 ) -> DataFrame:
     """Does every page that must be followed by another one have its follow-up?
 
+    ``pages`` are page summaries (``kline_pages``); they are read twice, so store them first.
     Paging stops at an empty or short page, or once a page reaches ``end``.  Any other page needs
     a next one that starts 1 ms after its last close.  The follow-up is found by an equi-join on
     that instant, so no symbol's pages have to meet in one task.
     """
-    pages = kline_pages(landing)
     starts = pages.filter(F.col("n_bars") > 0).select(
         "symbol", "interval", F.col("first_open").alias("next_start"),
     ).distinct()
-    expected = (
-        pages.withColumn("next_start", F.col("last_close") + F.expr("INTERVAL 1 MILLISECOND"))
-        .withColumn(
-            "is_last",
-            F.coalesce(
-                (F.col("n_bars") < page_size) | (F.col("last_close") >= end), F.lit(True)
-            ),
-        )
-    )
+    is_last = (F.col("n_bars") < page_size) | (F.col("last_close") >= end)
+    expected = pages.withColumns({
+        "next_start": F.col("last_close") + F.expr("INTERVAL 1 MILLISECOND"),
+        "is_last": F.coalesce(is_last, F.lit(True)),
+    })
     found = starts.withColumn("followed", F.lit(True))
     return expected.join(found, ["symbol", "interval", "next_start"], "left").select(
         "payload_id", "symbol", "interval", "n_bars", "first_open", "last_close", "is_last",
@@ -136,8 +132,9 @@ def parse_market_chart(landing: DataFrame) -> DataFrame:
     """Three parallel ``[ts, value]`` lists, inner-joined on their timestamps.
 
     Usually the lists carry the same distinct timestamps in the same order; then the join is a
-    positional zip inside the row and nothing is shuffled.  All other documents are really joined
-    (unmatched timestamps drop out, repeated ones multiply).  A document takes exactly one way.
+    positional zip inside the row and nothing is shuffled.  The points of all other documents meet
+    by (document, timestamp) in one shuffle: timestamps that a list lacks drop out, repeated ones
+    multiply.  A document takes exactly one of the two ways.
     """
     lists = landing.select(
         "payload_id",
@@ -172,19 +169,34 @@ def parse_market_chart(landing: DataFrame) -> DataFrame:
         )
     )
 
-    ragged = lists.filter(~is_aligned)
-
-    def points(name: str, value: str, *carried: str) -> DataFrame:
-        return ragged.select("payload_id", *carried, F.explode(name).alias("point")).select(
-            "payload_id", *carried, F.col("point")[0].alias("ts"), F.col("point")[1].alias(value)
+    def tagged(name: str, column: str) -> Column:
+        point = lambda p: F.struct(
+            F.lit(column).alias("list"), p[0].alias("ts"), p[1].alias("value")
         )
+        return F.transform(F.col(name), point)
 
+    names = {
+        "prices": "price_usd", "market_caps": "market_cap_usd", "total_volumes": "volume_usd",
+    }
+    points = lists.filter(~is_aligned).select(
+        "payload_id", "coin_id", "ingested_at",
+        F.inline(F.concat(*(tagged(name, column) for name, column in names.items()))),
+    )
     joined = (
-        points("prices", "price_usd", "coin_id", "ingested_at")
-        .join(points("market_caps", "market_cap_usd"), ["payload_id", "ts"])
-        .join(points("total_volumes", "volume_usd"), ["payload_id", "ts"])
-        .drop("payload_id")
+        points.filter(F.col("ts").isNotNull())
+        .groupBy("payload_id", "coin_id", "ingested_at", "ts")
+        .agg(
+            *(
+                F.collect_list(F.when(F.col("list") == column, F.struct("value"))).alias(column)
+                for column in names.values()
+            )
+        )
     )
+    for column in names.values():
+        joined = joined.withColumn(column, F.explode(column)).withColumn(
+            column, F.col(column)["value"]
+        )
+    joined = joined.drop("payload_id")
     return (
         aligned.unionByName(joined)
         .withColumn("date", millis_to_timestamp(F.col("ts")))
