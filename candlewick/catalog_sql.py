@@ -51,6 +51,10 @@ def _events(unit: str) -> str:
 
 _INDEX = "CAST(floor(l_discount * 1000 + 0.5) AS BIGINT)"
 
+_RUN_DATE = ", ".join(
+    f"CAST({part}(ingested_at) AS INTEGER) AS partition_{part}" for part in ("year", "month", "day")
+)
+
 _CTES = {
     "candles": _orders("o_orderstatus"),
     "customer_candles": _orders("o_custkey"),
@@ -112,10 +116,9 @@ _CTES = {
                      stddev_samp(volume) OVER (series ROWS 29 PRECEDING) AS volume_std30
               FROM price
               WINDOW series AS (PARTITION BY symbol ORDER BY date_day))""",
-    "candle_ingests": """
+    "candle_ingests": f"""
         SELECT *, open_time + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND AS close_time,
-               year(ingested_at) AS partition_year, month(ingested_at) AS partition_month,
-               day(ingested_at) AS partition_day
+               {_RUN_DATE}
         FROM (SELECT CAST(l_orderkey AS VARCHAR) AS symbol, '1d' AS "interval",
                      TIMESTAMP '1995-01-01' + to_days(l_linenumber) AS open_time,
                      l_extendedprice AS open, l_extendedprice + l_quantity AS high,
@@ -124,17 +127,16 @@ _CTES = {
                      CAST(l_partkey AS INTEGER) AS num_trades, l_quantity / 2 AS taker_buy_base_vol,
                      l_extendedprice / 2 AS taker_buy_quote_vol, l_shipdate AS ingested_at
               FROM lineitem)""",
-    "snapshots": """
+    "snapshots": f"""
         SELECT CAST(ts AS DATE) AS date_day, date_trunc('hour', ts) AS observed_at,
                event_type AS coin_id, value AS price_usd, value * user_id AS market_cap_usd,
                CAST(user_id AS DOUBLE) AS volume_usd, ts AS ingested_at,
-               year(ts) AS partition_year, month(ts) AS partition_month, day(ts) AS partition_day
+               {_RUN_DATE.replace('ingested_at', 'ts')}
         FROM events""",
     "mood_ingests": f"""
         SELECT *, {_label('fear_greed_value')} AS sentiment_label,
                {_bucket('fear_greed_value')} AS sentiment_bucket,
-               year(ingested_at) AS partition_year, month(ingested_at) AS partition_month,
-               day(ingested_at) AS partition_day
+               {_RUN_DATE}
         FROM (SELECT CAST(l_shipdate AS DATE) AS date_day, CAST({_INDEX} AS INTEGER) AS fear_greed_value,
                      l_shipdate + to_hours(l_linenumber) AS ingested_at
               FROM lineitem)""",
@@ -449,7 +451,7 @@ ORACLES: dict[str, str] = {
         , pages AS (
             SELECT 'klines_1h/' || symbol || '/' || strftime(date_trunc('day', open_time),
                        '%Y-%m-%d 00:00:00') AS payload_id, symbol, "interval",
-                   count(*) AS n_bars, min(open_time) AS first_open, max(close_time) AS last_close
+                   CAST(count(*) AS INTEGER) AS n_bars, min(open_time) AS first_open, max(close_time) AS last_close
             FROM event_1h GROUP BY symbol, "interval", date_trunc('day', open_time))
         SELECT *, NOT is_last AND NOT EXISTS (
                    SELECT 1 FROM pages n WHERE n.symbol = p.symbol
@@ -558,8 +560,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'mart_sentiment_correlation', count(*) FROM mood_corr
         UNION ALL SELECT 'mart_volume_anomalies', count(*) FROM anomalies"""),
     "bronze_roundtrip": with_tables("candles", f"""
-        SELECT {_KLINE_ROWS}, year, month, day FROM candles,
-            (VALUES (2024, 3, 9), (2024, 3, 9), (2024, 12, 31)) runs(year, month, day)"""),
+        SELECT {_KLINE_ROWS}, 2024 AS year, 3 AS month, 9 AS day FROM candles
+        UNION ALL SELECT {_KLINE_ROWS}, 2024, 3, 9 FROM candles
+        UNION ALL SELECT {_KLINE_ROWS}, 2024, 12, 31 FROM candles"""),
     "schema_drift_read": with_tables("mood", """
         SELECT date, fear_greed_value, sentiment_label, sentiment_bucket, ingested_at,
                2024 AS year, 3 AS month, 9 AS day FROM mood
@@ -584,7 +587,10 @@ ORACLES: dict[str, str] = {
               UNION ALL SELECT 'feargreed', 'index', count(*), min(date), max(date) FROM mood)"""),
     "daily_run": with_tables(
         "base_candles base_chart base_mood price",
-        f"SELECT {PRICE_OUT} FROM price", **_RUN_TABLES,
+        "SELECT * REPLACE (CAST(num_trades AS INTEGER) AS num_trades, "
+        "CAST(fear_greed_value AS INTEGER) AS fear_greed_value) "
+        f"FROM (SELECT {PRICE_OUT} FROM price)",
+        **_RUN_TABLES,
     ),
     "tick_parse": f"SELECT * EXCLUDE (event_at), event_at AS event_time FROM ({_TICKS})",
     "tick_parse_stream": f"SELECT * EXCLUDE (event_at), event_at AS event_time FROM ({_TICKS})",

@@ -77,6 +77,11 @@ def table_uri(cfg: LakeConfig, layer: str, table: str) -> str:
     return f"{cfg.root}/{layer}/{table}"
 
 
+def run_partition(table: str, run_ts: datetime) -> str:
+    """One run's partition of a log or result table; writing it again replaces it."""
+    return f"{table}/run={run_ts:%Y%m%d_%H%M%S}"
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Session settings the contracts rely on.
 

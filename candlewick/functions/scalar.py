@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
 
 from candlewick.contracts import SENTIMENT_RANGES, UNKNOWN_SENTIMENT, VALID_INTERVALS
 
@@ -70,13 +69,6 @@ def iso_utc(ts: Column) -> Column:
     return F.when(F.unix_micros(ts) % 1_000_000 == 0, whole).otherwise(precise)
 
 
-def is_missing(column: Column, data_type: DataType) -> Column:
-    """Null, or NaN for floating-point columns."""
-    if isinstance(data_type, (DoubleType, FloatType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
-
-
 def or_na(text: Column) -> Column:
     return F.coalesce(text, F.lit("n/a"))
 

@@ -1,7 +1,8 @@
 """Data quality: row rules compiled into one aggregation, suites, output tests and the gate.
 
 All row rules of a suite become ``count_if`` columns of a single ``agg``: one scan with map-side
-partial results, whatever the number of rules.  Results are DataFrames of the ``RESULT`` schema.
+partial results, whatever the number of rules.  Results have one row per rule: source, rule,
+column, severity, n_rows, n_bad, success.
 """
 
 from __future__ import annotations
@@ -11,9 +12,16 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    FloatType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
+from candlewick.config import run_partition
 from candlewick.contracts import (
     DEFAULT_COINS,
     DEFAULT_SYMBOLS,
@@ -21,14 +29,11 @@ from candlewick.contracts import (
     STORED_INTERVALS,
     DatasetSpec,
 )
-from candlewick.functions.scalar import is_missing
 from candlewick.operators.grain import duplicate_keys, orphan_values
+from candlewick.sources.bronze import read_run
 
 ERROR, WARN = "error", "warn"
-RESULT = (
-    "source STRING, rule STRING, column STRING, severity STRING, n_rows BIGINT, n_bad BIGINT, "
-    "success BOOLEAN"
-)
+IMPLAUSIBLE = "close <= 0 OR volume < 0 OR quote_volume < 0"
 
 
 class QualityGateError(RuntimeError):
@@ -41,11 +46,11 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Rule:
-    """A row rule: ``bad(schema)`` is true for rows that break it."""
+    """A row rule: ``violation(schema)`` is an SQL condition, true for rows that break it."""
 
     name: str
     column: str
-    bad: Callable[[StructType], Column]
+    violation: Callable[[StructType], str]
     severity: str = ERROR
 
 
@@ -61,18 +66,21 @@ class Suite:
 # ---------------------------------------------------------------------------------------------
 
 
+def _missing(schema: StructType, column: str) -> str:
+    """Null, or NaN for floating-point columns."""
+    if isinstance(schema[column].dataType, (DoubleType, FloatType)):
+        return f"(`{column}` IS NULL OR isnan(`{column}`))"
+    return f"(`{column}` IS NULL)"
+
+
 def not_null(column: str, severity: str = ERROR) -> Rule:
-    return Rule(
-        "not_null", column, lambda s: is_missing(F.col(column), s[column].dataType), severity
-    )
+    return Rule("not_null", column, lambda schema: _missing(schema, column), severity)
 
 
 def in_set(column: str, values: Sequence[str], severity: str = ERROR) -> Rule:
     """Nulls pass; ``not_null`` is their rule."""
-    return Rule(
-        "in_set", column,
-        lambda s: F.col(column).isNotNull() & ~F.col(column).isin(*values), severity,
-    )
+    literals = ", ".join("'" + value.replace("'", "\\'") + "'" for value in values)
+    return Rule("in_set", column, lambda schema: f"`{column}` NOT IN ({literals})", severity)
 
 
 def between(
@@ -83,31 +91,24 @@ def between(
     severity: str = ERROR,
 ) -> Rule:
     """``low``/``high`` are inclusive bounds, ``above`` a strict lower one; missing values pass."""
-
-    def bad(schema: StructType) -> Column:
-        value = F.col(column)
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (value >= low)
-        if above is not None:
-            inside = inside & (value > above)
-        if high is not None:
-            inside = inside & (value <= high)
-        return ~is_missing(value, schema[column].dataType) & ~inside
-
-    return Rule("positive" if above == 0 and high is None else "between", column, bad, severity)
+    limits = {"<": low, "<=": above, ">": high}
+    outside = " OR ".join(
+        f"`{column}` {op} {bound}" for op, bound in limits.items() if bound is not None
+    )
+    return Rule(
+        "positive" if above == 0 and high is None else "between", column,
+        lambda schema: f"NOT {_missing(schema, column)} AND ({outside})", severity,
+    )
 
 
 def at_least(column: str, other: str, severity: str = ERROR) -> Rule:
     """``column >= other``; passes if both are missing, fails if only one is."""
 
-    def bad(schema: StructType) -> Column:
-        a_gone = is_missing(F.col(column), schema[column].dataType)
-        b_gone = is_missing(F.col(other), schema[other].dataType)
-        holds = ~a_gone & ~b_gone & (F.col(column) >= F.col(other))
-        return ~(a_gone & b_gone) & ~F.coalesce(holds, F.lit(False))
+    def violation(schema: StructType) -> str:
+        gone, other_gone = _missing(schema, column), _missing(schema, other)
+        return f"{gone} != {other_gone} OR (NOT {gone} AND `{column}` < `{other}`)"
 
-    return Rule("at_least", f"{column},{other}", bad, severity)
+    return Rule("at_least", f"{column},{other}", violation, severity)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -175,57 +176,36 @@ def suite_for(source: str, **parameters) -> Suite:
 # ---------------------------------------------------------------------------------------------
 
 
-def _result(
-    source: str, rule: str, column: str, severity: str, n_rows: Column, n_bad: Column, ok: Column
-) -> Column:
-    return F.struct(
-        F.lit(source).alias("source"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column"),
-        F.lit(severity).alias("severity"),
-        n_rows.alias("n_rows"),
-        n_bad.alias("n_bad"),
-        ok.alias("success"),
+def _result(source: str, rule: str, column: str, severity: str, n_rows: str, n_bad: str) -> str:
+    return (
+        f"named_struct('source', '{source}', 'rule', '{rule}', 'column', '{column}', "
+        f"'severity', '{severity}', 'n_rows', {n_rows}, 'n_bad', {n_bad}, 'success', {n_bad} = 0)"
     )
 
 
 def evaluate(rows: DataFrame, suite: Suite) -> DataFrame:
     """One result row per rule, from a single aggregation over the rows."""
+    schema = rows.schema
     counts = [
-        F.count_if(F.coalesce(rule.bad(rows.schema), F.lit(False))).alias(f"_bad{i}")
+        F.expr(f"count_if({rule.violation(schema)}) AS bad_{i}")
         for i, rule in enumerate(suite.rules)
     ]
-    totals = rows.agg(F.count(F.lit(1)).alias("_rows"), *counts)
-    n_rows = F.col("_rows")
     results = [
-        _result(
-            suite.source, rule.name, rule.column, rule.severity, n_rows,
-            F.col(f"_bad{i}"), F.col(f"_bad{i}") == 0,
-        )
+        _result(suite.source, rule.name, rule.column, rule.severity, "total", f"bad_{i}")
         for i, rule in enumerate(suite.rules)
     ]
     if suite.min_rows > 0:
-        short = F.greatest(F.lit(suite.min_rows) - n_rows, F.lit(0)).cast("bigint")
-        results.insert(
-            0,
-            _result(suite.source, "row_count", "*", ERROR, n_rows, short, n_rows >= suite.min_rows),
-        )
-    return totals.select(F.inline(F.array(*results)))
+        short = f"greatest({suite.min_rows} - total, 0L)"
+        results.insert(0, _result(suite.source, "row_count", "*", ERROR, "total", short))
+    totals = rows.agg(F.expr("count(*) AS total"), *counts)
+    return totals.selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def _check(source: str, rule: str, column: str, severity: str, failures: DataFrame) -> DataFrame:
     """One result row of a set-level check, from its failing groups and their row counts."""
-    bad = F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint")
-    return failures.agg(bad.alias("n_bad")).select(
-        F.inline(
-            F.array(
-                _result(
-                    source, rule, column, severity, F.lit(None).cast("bigint"),
-                    F.col("n_bad"), F.col("n_bad") == 0,
-                )
-            )
-        )
-    )
+    result = _result(source, rule, column, severity, "CAST(NULL AS BIGINT)", "n_bad")
+    bad = failures.agg(F.expr("coalesce(sum(n_rows), 0L) AS n_bad"))
+    return bad.selectExpr(f"inline(array({result}))")
 
 
 def check_unique(
@@ -257,9 +237,7 @@ def out_of_range_sentiment(silver_sentiment: DataFrame) -> DataFrame:
 
 def implausible_candles(silver_klines: DataFrame) -> DataFrame:
     """Candles with a close that is not positive or a negative volume."""
-    return silver_klines.filter(
-        (F.col("close") <= 0) | (F.col("volume") < 0) | (F.col("quote_volume") < 0)
-    )
+    return silver_klines.filter(IMPLAUSIBLE)
 
 
 def output_tests(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
@@ -276,10 +254,7 @@ def output_tests(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
     def keys(*names: str) -> list[Rule]:
         return [not_null(name) for name in names]
 
-    plausible = Rule(
-        "plausible", "close,volume,quote_volume",
-        lambda s: (F.col("close") <= 0) | (F.col("volume") < 0) | (F.col("quote_volume") < 0),
-    )
+    plausible = Rule("plausible", "close,volume,quote_volume", lambda schema: IMPLAUSIBLE)
     stale = stale_days(price, as_of).select(F.lit(1).cast("bigint").alias("n_rows"))
     results = [
         row_tests("silver_market_chart", chart, *keys("date_day", "coin_id", "price_usd", "volume_usd")),
@@ -338,8 +313,7 @@ def profile(rows: DataFrame, spec: DatasetSpec) -> Profile:
     nullable = [name for name in spec.non_null if name in present]
     stats = [F.count(F.lit(1)).alias("_rows")]
     stats += [
-        F.count_if(is_missing(F.col(name), rows.schema[name].dataType)).alias(f"_null_{name}")
-        for name in nullable
+        F.expr(f"count_if({_missing(rows.schema, name)}) AS _null_{name}") for name in nullable
     ]
     if spec.time_col in present:
         stats += [F.min(spec.time_col).alias("_min"), F.max(spec.time_col).alias("_max")]
@@ -401,8 +375,6 @@ def gate(
     A missing path fails before anything is read.  Results are appended to ``results_uri`` (also
     when the gate fails) and returned.
     """
-    from candlewick.sources.bronze import read_run
-
     missing = sorted(name for name in suites if not written.get(name))
     if missing:
         raise QualityGateError(f"Bronze validation failed, missing paths for: {missing}", missing)
@@ -412,8 +384,8 @@ def gate(
     )
     if results_uri:
         stamped = results.withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
-        run_dir = f"{results_uri}/run_{run_ts:%Y%m%d_%H%M%S}"
+        run_dir = run_partition(results_uri, run_ts)
         stamped.write.mode("overwrite").parquet(run_dir)
-        results = spark.read.parquet(run_dir).drop("run_ts")
+        results = spark.read.schema(results.schema).parquet(run_dir)
     enforce(results)
     return results

@@ -13,7 +13,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.config import LakeConfig, prepare_session, table_uri
+from candlewick.config import LakeConfig, prepare_session, run_partition, table_uri
 from candlewick.contracts import DATASETS, MARTS, DatasetSpec, dataset_spec
 from candlewick.operators.enrich import daily_enriched
 from candlewick.operators.quality import (
@@ -177,7 +177,7 @@ def log_ingest(
         for name, receipt in receipts.items() if receipt
     ]
     if rows:
-        uri = f"{table_uri(cfg, 'quality', 'ingest_log')}/run_{run_ts:%Y%m%d_%H%M%S}"
+        uri = run_partition(table_uri(cfg, "quality", "ingest_log"), run_ts)
         materialise(spark.createDataFrame(rows, INGEST_LOG).coalesce(1), uri)
 
 
@@ -205,7 +205,7 @@ def run_daily(
     tables = transform(spark, cfg, coin_of_symbol)
     output_results = materialise(
         output_tests(tables, as_of or run_ts.date()).withColumn("run_ts", F.lit(run_ts)),
-        f"{table_uri(cfg, 'quality', 'output_results')}/run_{run_ts:%Y%m%d_%H%M%S}",
+        run_partition(table_uri(cfg, "quality", "output_results"), run_ts),
     ).drop("run_ts")
     enforce(output_results)
     if sink is not None:

@@ -77,6 +77,8 @@ def read_run(spark: SparkSession, path: str) -> DataFrame:
     """Read one written run back (what the gate checks)."""
     if not path:
         raise ValueError("Cannot read Bronze from an empty path")
+    if path.startswith("s3://"):
+        path = f"s3a://{path[len('s3://'):]}"
     return spark.read.parquet(path)
 
 

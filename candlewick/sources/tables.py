@@ -355,13 +355,8 @@ def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw trade messages (keys ``T``/``t`` differ only in case)."""
     event = table(spark, sf_dir, "events")
-    value = F.format_string(
-        '{"e":"trade","s":"%s","p":"%s","q":"%s","T":%d,"t":%d,"m":%s}',
-        F.upper("event_type"),
-        F.col("value").cast("string"),
-        (F.col("user_id") / 8).cast("string"),
-        F.unix_millis("ts"),
-        F.col("event_id"),
-        (F.col("user_id") % 2 == 0).cast("string"),
+    return event.selectExpr(
+        """concat('{"e":"trade","s":"', upper(event_type), '","p":"', value,
+                  '","q":"', user_id / 8, '","T":', unix_millis(ts), ',"t":', event_id,
+                  ',"m":', user_id % 2 = 0, '}') AS value"""
     )
-    return event.select(value.alias("value"))

@@ -22,6 +22,12 @@ def connect(sf_dir):
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(value):
     if isinstance(value, float):
         if math.isnan(value):
@@ -47,6 +53,11 @@ def differences(spark_df, con, sql, show=3):
     found = spark_df.collect()
     if sorted(spark_df.columns) != sorted(sql_columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(sql_columns)}"
+    sql_types = {d[0]: str(d[1]) for d in reply.description}
+    spark_types = {name: TYPES[kind] for name, kind in spark_df.dtypes}
+    if sql_types != spark_types:
+        wrong = {n: (spark_types[n], t) for n, t in sql_types.items() if spark_types[n] != t}
+        return f"types (Spark, DuckDB): {wrong}"
     a, b = _bag(spark_df.columns, found), _bag(sql_columns, expected)
     if a == b:
         return ""

@@ -150,7 +150,7 @@ def test_gate_keeps_results_of_a_failed_run(spark, tmp_path):
     with pytest.raises(q.QualityGateError) as stop:
         q.gate(spark, written, suites, uri, RUN)
     assert stop.value.sources == ["coingecko"]
-    kept = spark.read.parquet(f"{uri}/run_20240309_083000")
+    kept = spark.read.parquet(f"{uri}/run=20240309_083000")
     assert kept.count() == 15 and {r["run_ts"] for r in kept.select("run_ts").distinct().collect()} == {RUN}
 
 

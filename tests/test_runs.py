@@ -43,7 +43,7 @@ def test_daily_run_slices_gates_builds_and_publishes(spark, cfg):
     assert result["output_results"].count() == 38
     assert result["input_results"].count() == 9 + 12 + 12 + 6
     assert all(sink[1](name) == 1 for name in MARTS)
-    log = spark.read.parquet(f"{table_uri(cfg, 'quality', 'ingest_log')}/*")
+    log = spark.read.parquet(table_uri(cfg, "quality", "ingest_log"))
     assert {(r["dataset"], r["row_count"]) for r in log.collect()} == {
         ("market_chart", 1), ("klines_1d", 1), ("klines_1h", 3), ("index", 1),
     }
