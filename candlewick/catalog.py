@@ -63,40 +63,37 @@ def comparable(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------------
 
 
-def _by_day(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("date_day", F.to_date("date"))
+def _stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day table behind market chart and sentiment, stored as a real run would store Silver.
 
-
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_enriched(
-        tables.order_candles(spark, sf_dir),
-        _by_day(tables.lineitem_chart(spark, sf_dir)),
-        _by_day(tables.lineitem_sentiment(spark, sf_dir)),
+    Line items are scanned once for both, and the planner knows the stored size: it broadcasts the
+    day tables while they are small and shuffles them otherwise.
+    """
+    return runs.materialise(
+        tables.lineitem_days(spark, sf_dir), shared_scratch(spark, "line-item-days")
     )
 
 
-def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.price_analysis(_enriched(spark, sf_dir))
+def _enrich(days: DataFrame, candles: DataFrame) -> DataFrame:
+    return daily_enriched(candles, tables.market_chart(days), tables.sentiment_index(days))
+
+
+def _enriched(spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus") -> DataFrame:
+    return _enrich(_stored_days(spark, sf_dir), tables.order_candles(spark, sf_dir, symbol))
 
 
-def _customer_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The price mart with one symbol per customer, so the candles are the big side.
+def _price(spark: SparkSession, sf_dir: str, symbol: str = "o_orderstatus") -> DataFrame:
+    return gold.price_analysis(_enriched(spark, sf_dir, symbol))
 
-    The day tables are stored first, as in a real run: the planner then knows their file sizes and
-    broadcasts them (or not) without shuffling the candles by day.
+
+def _price_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price mart for queries that need only its price columns.
+
+    Both joins are left joins on the unique key of an aggregation, so the optimizer drops them
+    (and the scan of the line items) when nothing from their side is used.
     """
-    scratch = shared_scratch(spark, "day-tables")
-    days = runs.materialise_all({
-        f"{scratch}/chart": _by_day(tables.lineitem_chart(spark, sf_dir)),
-        f"{scratch}/mood": _by_day(tables.lineitem_sentiment(spark, sf_dir)),
-    })
-    return gold.price_analysis(
-        daily_enriched(
-            tables.order_candles(spark, sf_dir, "o_custkey"),
-            days[f"{scratch}/chart"],
-            days[f"{scratch}/mood"],
-        )
-    )
+    days = tables.lineitem_days(spark, sf_dir)
+    return gold.price_analysis(_enrich(days, tables.order_candles(spark, sf_dir)))
 
 
 def _correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +126,7 @@ def price_analysis(spark, sf_dir):
 
 @query
 def price_analysis_many_symbols(spark, sf_dir):
-    return _customer_prices(spark, sf_dir)
+    return _price(spark, sf_dir, "o_custkey")
 
 
 @query
@@ -152,27 +149,27 @@ QUERIES["daily_enriched"] = QUERIES.pop("daily_enriched_table")
 
 @query
 def day_over_day_change(spark, sf_dir):
-    return _price(spark, sf_dir).select("date_day", "symbol", "price_change_usd")
+    return _price_measures(spark, sf_dir).select("date_day", "symbol", "price_change_usd")
 
 
 @query
 def daily_return_pct(spark, sf_dir):
-    return _price(spark, sf_dir).select("date_day", "symbol", "daily_return_pct")
+    return _price_measures(spark, sf_dir).select("date_day", "symbol", "daily_return_pct")
 
 
 @query
 def moving_average_7(spark, sf_dir):
-    return _price(spark, sf_dir).select("date_day", "symbol", "ma7_close")
+    return _price_measures(spark, sf_dir).select("date_day", "symbol", "ma7_close")
 
 
 @query
 def moving_average_30(spark, sf_dir):
-    return _price(spark, sf_dir).select("date_day", "symbol", "ma30_close")
+    return _price_measures(spark, sf_dir).select("date_day", "symbol", "ma30_close")
 
 
 @query
 def volatility_30(spark, sf_dir):
-    return _price(spark, sf_dir).select("date_day", "symbol", "volatility_30d_pct")
+    return _price_measures(spark, sf_dir).select("date_day", "symbol", "volatility_30d_pct")
 
 
 @query
@@ -192,7 +189,7 @@ def rolling_corr_30(spark, sf_dir):
 
 @query
 def volume_zscore(spark, sf_dir):
-    return _anomalies(spark, sf_dir).select(
+    return gold.volume_anomalies(_price_measures(spark, sf_dir)).select(
         "date_day", "symbol", "volume_z_score", "is_volume_anomaly"
     )
 
@@ -285,9 +282,8 @@ def kline_page_coverage(spark, sf_dir):
 
 @query
 def parse_market_chart_payload(spark, sf_dir):
-    return payloads.parse_market_chart(
-        tables.chart_payloads(tables.lineitem_chart(spark, sf_dir))
-    )
+    docs = tables.chart_payloads(tables.market_chart(tables.lineitem_days(spark, sf_dir)))
+    return payloads.parse_market_chart(runs.materialise(docs, shared_scratch(spark, "charts")))
 
 
 @query
@@ -295,17 +291,18 @@ def parse_ohlc_payload(spark, sf_dir):
     return payloads.parse_ohlc(tables.ohlc_payloads(tables.order_candles(spark, sf_dir)))
 
 
+def _index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.index_payloads(tables.sentiment_index(tables.lineitem_days(spark, sf_dir)))
+
+
 @query
 def parse_index_payload(spark, sf_dir):
-    docs = tables.index_payloads(tables.lineitem_sentiment(spark, sf_dir))
-    return payloads.oldest_first(payloads.parse_sentiment_index(docs))
+    return payloads.oldest_first(payloads.parse_sentiment_index(_index_docs(spark, sf_dir)))
 
 
 @query
 def latest_index_entry(spark, sf_dir):
-    return payloads.latest_sentiment(
-        tables.index_payloads(tables.lineitem_sentiment(spark, sf_dir))
-    )
+    return payloads.latest_sentiment(_index_docs(spark, sf_dir))
 
 
 @query
@@ -356,13 +353,13 @@ def grain_check(spark, sf_dir):
 @query
 def relationships_check(spark, sf_dir):
     return grain.orphan_values(
-        _candle_days(spark, sf_dir), "date_day", _by_day(tables.lineitem_chart(spark, sf_dir))
+        _candle_days(spark, sf_dir), "date_day", tables.lineitem_days(spark, sf_dir)
     )
 
 
 @query
 def freshness_check(spark, sf_dir):
-    return quality.stale_days(_price(spark, sf_dir), AS_OF)
+    return quality.stale_days(_price_measures(spark, sf_dir), AS_OF)
 
 
 def _shifted_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,9 +371,8 @@ def _shifted_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def range_check(spark, sf_dir):
-    rows = _by_day(_shifted_sentiment(spark, sf_dir))
-    return quality.out_of_range_sentiment(rows).select(
-        "date_day", "fear_greed_value", "sentiment_bucket", "ingested_at"
+    return quality.out_of_range_sentiment(_shifted_sentiment(spark, sf_dir)).select(
+        F.to_date("date").alias("date_day"), "fear_greed_value", "sentiment_bucket", "ingested_at"
     )
 
 
@@ -393,7 +389,10 @@ def positive_check(spark, sf_dir):
 def _suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = [
         (tables.order_candles(spark, sf_dir), quality.klines_suite(symbols=("F", "O"))),
-        (tables.lineitem_chart(spark, sf_dir), quality.market_chart_suite(coins=(tables.BASKET,))),
+        (
+            tables.market_chart(tables.lineitem_days(spark, sf_dir)),
+            quality.market_chart_suite(coins=(tables.BASKET,)),
+        ),
         (_shifted_sentiment(spark, sf_dir), quality.sentiment_suite()),
     ]
     first, *others = [quality.evaluate(rows, suite) for rows, suite in checked]
@@ -417,24 +416,24 @@ def output_test_results(spark, sf_dir):
     """All 38 output tests; the tables are stored first, as the tests read each of them often."""
     scratch = shared_scratch(spark, "output-tests")
 
-    def stored(name: str, rows: DataFrame) -> DataFrame:
-        return runs.materialise(rows, f"{scratch}/{name}")
+    def stored(**frames: DataFrame) -> list[DataFrame]:
+        return list(
+            runs.materialise_all({f"{scratch}/{k}": rows for k, rows in frames.items()}).values()
+        )
 
+    days = _stored_days(spark, sf_dir)
     candles = tables.with_run_date(tables.order_candles(spark, sf_dir))
     hourly = tables.with_run_date(tables.event_candles(spark, sf_dir, "1h"))
-    klines = stored("klines", silver.silver_klines(candles, hourly))
-    chart = stored(
-        "chart",
-        silver.silver_market_chart(tables.with_run_date(tables.lineitem_chart(spark, sf_dir))),
+    klines, chart, mood = stored(
+        klines=silver.silver_klines(candles, hourly),
+        chart=silver.silver_market_chart(tables.with_run_date(tables.market_chart(days))),
+        mood=silver.silver_sentiment(tables.with_run_date(tables.sentiment_index(days))),
     )
-    mood = stored(
-        "mood",
-        silver.silver_sentiment(tables.with_run_date(tables.lineitem_sentiment(spark, sf_dir))),
+    [enriched] = stored(enriched=daily_enriched(klines, chart, mood))
+    [price] = stored(price=gold.price_analysis(enriched))
+    correlation, anomalies = stored(
+        correlation=gold.sentiment_correlation(price), anomalies=gold.volume_anomalies(price)
     )
-    enriched = stored("enriched", daily_enriched(klines, chart, mood))
-    price = stored("price", gold.price_analysis(enriched))
-    correlation = stored("correlation", gold.sentiment_correlation(price))
-    anomalies = stored("anomalies", gold.volume_anomalies(price))
     return quality.output_tests(
         {
             "silver_klines": klines,
@@ -461,12 +460,12 @@ def kpi_latest(spark, sf_dir):
 
 @query
 def kpi_by_symbol(spark, sf_dir):
-    return serving.kpi_by_symbol(_customer_prices(spark, sf_dir))
+    return serving.kpi_by_symbol(_price(spark, sf_dir, "o_custkey"))
 
 
 @query
 def close_vs_ma_series(spark, sf_dir):
-    return serving.close_vs_averages(_price(spark, sf_dir))
+    return serving.close_vs_averages(_price_measures(spark, sf_dir))
 
 
 @query
@@ -476,7 +475,7 @@ def sentiment_vs_return_series(spark, sf_dir):
 
 @query
 def volume_anomaly_series(spark, sf_dir):
-    return serving.volume_bars(_anomalies(spark, sf_dir))
+    return serving.volume_bars(gold.volume_anomalies(_price_measures(spark, sf_dir)))
 
 
 @query
@@ -530,7 +529,7 @@ def schema_drift_read(spark, sf_dir):
     """Runs whose files store the index differently: extra column, plain date, other names."""
     cfg = LakeConfig(data_dir=shared_scratch(spark, "drift"))
     spec = dataset_spec("index")
-    mood = tables.lineitem_sentiment(spark, sf_dir)
+    mood = tables.sentiment_index(_stored_days(spark, sf_dir)).select(*spec.schema.names)
 
     def store(rows: DataFrame, day: int) -> None:
         rows.write.mode("overwrite").parquet(
@@ -556,8 +555,9 @@ def serving_publish(spark, sf_dir):
 
 def _landing_table(spark: SparkSession, sf_dir: str, uri: str) -> DataFrame:
     """All datasets' payload documents, stored once and partitioned by dataset."""
+    days = _stored_days(spark, sf_dir)
     landing = (
-        tables.chart_payloads(tables.lineitem_chart(spark, sf_dir))
+        tables.chart_payloads(tables.market_chart(days))
         .unionByName(
             tables.kline_payloads(tables.order_candles(spark, sf_dir), "1d", "month")
         )
@@ -566,7 +566,7 @@ def _landing_table(spark: SparkSession, sf_dir: str, uri: str) -> DataFrame:
                 tables.order_candles(spark, sf_dir, interval="1h"), "1h", "month"
             )
         )
-        .unionByName(tables.index_payloads(tables.lineitem_sentiment(spark, sf_dir)))
+        .unionByName(tables.index_payloads(tables.sentiment_index(days)))
     )
     landing.write.mode("overwrite").partitionBy("dataset").parquet(uri)
     return spark.read.schema(landing.schema).parquet(uri)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from candlewick.contracts import KLINES, LANDING, MARKET_CHART, SENTIMENT_INDEX
+from candlewick.contracts import KLINES, LANDING
 from candlewick.functions.scalar import bucket_case
 
 BASKET = "basket"
@@ -110,45 +110,50 @@ def event_candles(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
     )
 
 
-def lineitem_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily market chart of all line items: average unit price, turnover, quantity."""
-    days = (
+def lineitem_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per ship day: turnover, quantity and the discount index of the last line item; one scan.
+
+    Order, then line number, then the value itself decide which item is last.  The three are packed
+    into one long (line numbers are below 8, values below 128), so a plain ``max`` finds it.
+    """
+    packed = f"(l_orderkey * 8 + l_linenumber) * 128 + {DISCOUNT_INDEX}"
+    return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.expr("to_date(l_shipdate) AS day"))
+        .groupBy(F.expr("to_date(l_shipdate) AS date_day"))
         .agg(
             F.expr("sum(CAST(floor(l_extendedprice + 0.5) AS DOUBLE)) AS market_cap_usd"),
             F.expr("sum(l_quantity) AS volume_usd"),
+            F.expr(f"max({packed}) % 128 AS fear_greed_value"),
         )
     )
+
+
+def market_chart(days: DataFrame) -> DataFrame:
+    """Daily market chart of all line items: average unit price, turnover, quantity.
+
+    ``date_day`` is the grouping key itself, so the optimizer knows that it is unique.
+    """
     return days.selectExpr(
-        "CAST(day AS TIMESTAMP) AS date",
+        "date_day",
+        "CAST(date_day AS TIMESTAMP) AS date",
         f"'{BASKET}' AS coin_id",
         "CAST(floor(try_divide(market_cap_usd, volume_usd)) AS DOUBLE) AS price_usd",
         "market_cap_usd",
         "volume_usd",
-        "CAST(day AS TIMESTAMP) + INTERVAL 26 HOURS AS ingested_at",
-    ).select(*MARKET_CHART.names)
-
+        "CAST(date_day AS TIMESTAMP) + INTERVAL 26 HOURS AS ingested_at",
+    )
 
-def lineitem_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sentiment index: the discount of the day's last line item.
 
-    Order, then line number, then the value itself decide which item is last.  The three are packed
-    into one long (line numbers are below 8, values below 128), so a plain ``max`` finds it.
-    """
-    packed = f"(l_orderkey * 8 + l_linenumber) * 128 + {DISCOUNT_INDEX}"
-    days = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.expr("to_date(l_shipdate) AS day"))
-        .agg(F.expr(f"max({packed}) % 128 AS fear_greed_value"))
-    )
+def sentiment_index(days: DataFrame) -> DataFrame:
+    """Daily sentiment index with the API's label and our bucket."""
     return days.selectExpr(
-        "CAST(day AS TIMESTAMP) AS date",
+        "date_day",
+        "CAST(date_day AS TIMESTAMP) AS date",
         "fear_greed_value",
         f"{index_label('fear_greed_value')} AS sentiment_label",
         f"{bucket_case('fear_greed_value')} AS sentiment_bucket",
-        "CAST(day AS TIMESTAMP) + INTERVAL 30 HOURS AS ingested_at",
-    ).select(*SENTIMENT_INDEX.names)
+        "CAST(date_day AS TIMESTAMP) + INTERVAL 30 HOURS AS ingested_at",
+    )
 
 
 def with_run_date(rows: DataFrame) -> DataFrame:
