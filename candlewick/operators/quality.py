@@ -73,8 +73,13 @@ def _missing(schema: StructType, column: str) -> str:
     return f"(`{column}` IS NULL)"
 
 
-def not_null(column: str, severity: str = ERROR) -> Rule:
-    return Rule("not_null", column, lambda schema: _missing(schema, column), severity)
+def not_null(column: str, severity: str = ERROR, nan_is_null: bool = True) -> Rule:
+    """Raw input counts NaN as missing; modelled tables are tested for null alone."""
+
+    def violation(schema: StructType) -> str:
+        return _missing(schema, column) if nan_is_null else f"`{column}` IS NULL"
+
+    return Rule("not_null", column, violation, severity)
 
 
 def in_set(column: str, values: Sequence[str], severity: str = ERROR) -> Rule:
@@ -252,7 +257,7 @@ def output_tests(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
         return evaluate(frame, Suite(name, rules, min_rows=0))
 
     def keys(*names: str) -> list[Rule]:
-        return [not_null(name) for name in names]
+        return [not_null(name, nan_is_null=False) for name in names]
 
     plausible = Rule("plausible", "close,volume,quote_volume", lambda schema: IMPLAUSIBLE)
     stale = stale_days(price, as_of).select(F.lit(1).cast("bigint").alias("n_rows"))
@@ -275,7 +280,9 @@ def output_tests(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
         row_tests("mart_price_analysis", price, *keys("date_day", "symbol", "close")),
         row_tests("mart_sentiment_correlation", corr, *keys("date_day", "symbol")),
         row_tests("mart_volume_anomalies", volume, *keys("date_day", "symbol", "is_volume_anomaly")),
-        check_unique(mood, ["date_day"], "silver_sentiment", rule="unique"),
+        check_unique(
+            mood.filter("date_day IS NOT NULL"), ["date_day"], "silver_sentiment", rule="unique"
+        ),
         check_unique(klines, ["symbol", "interval", "open_time"], "silver_klines"),
         check_unique(chart, ["coin_id", "date_day"], "silver_market_chart"),
         check_unique(daily, ["symbol", "date_day"], "daily_enriched"),

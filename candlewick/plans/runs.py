@@ -43,6 +43,7 @@ from candlewick.sources.payloads import (
     parse_sentiment_index,
 )
 
+BronzeReader = Callable[[SparkSession, LakeConfig, DatasetSpec], DataFrame]
 INGEST_LOG = (
     "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING"
 )
@@ -93,12 +94,20 @@ def materialise(df: DataFrame, uri: str) -> DataFrame:
 
 
 def transform(
-    spark: SparkSession, cfg: LakeConfig, coin_of_symbol: DataFrame | None = None
+    spark: SparkSession,
+    cfg: LakeConfig,
+    coin_of_symbol: DataFrame | None = None,
+    reader: BronzeReader = read_bronze,
 ) -> dict[str, DataFrame]:
-    """Rebuild Silver, the enriched table and the marts from all of Bronze."""
+    """Rebuild Silver, the enriched table and the marts from all of Bronze.
+
+    ``reader`` is ``read_bronze`` for trees written here; use ``drift.read_drifted`` for trees that
+    (also) hold files of other writers.
+    """
+    prepare_session(spark)
 
     def bronze(dataset: str) -> DataFrame:
-        return read_bronze(spark, cfg, dataset_spec(dataset))
+        return reader(spark, cfg, dataset_spec(dataset))
 
     def rebuild(layer: str, **tables: DataFrame) -> dict[str, DataFrame]:
         uris = {name: table_uri(cfg, layer, name) for name in tables}
@@ -190,6 +199,7 @@ def run_daily(
     coin_of_symbol: DataFrame | None = None,
     sink=None,
     as_of: date | None = None,
+    reader: BronzeReader = read_bronze,
 ) -> dict[str, DataFrame]:
     """Ingest one date, gate it, rebuild the models, test them and publish the marts.
 
@@ -202,7 +212,7 @@ def run_daily(
         spark, written, dict(suites or default_suites()),
         table_uri(cfg, "quality", "input_results"), run_ts,
     )
-    tables = transform(spark, cfg, coin_of_symbol)
+    tables = transform(spark, cfg, coin_of_symbol, reader)
     output_results = materialise(
         output_tests(tables, as_of or run_ts.date()).withColumn("run_ts", F.lit(run_ts)),
         run_partition(table_uri(cfg, "quality", "output_results"), run_ts),

@@ -1,7 +1,7 @@
 """Reading a Bronze tree whose files disagree on their schema.
 
-Other writers store nanosecond timestamps, plain dates where we store timestamps, miss columns or
-add some.  Spark refuses to merge those footers, so files are grouped by how they store the
+Other writers store nanosecond timestamps, plain dates where we store timestamps, doubles where we
+store whole numbers, miss columns or add some.  Spark refuses to merge those footers, so files are grouped by how they store the
 contract's columns; each group is read with its own schema, brought to the contract, and unioned.
 """
 
@@ -10,7 +10,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from candlewick.config import LakeConfig, dataset_uri
 from candlewick.contracts import RUN_PARTITIONS, DatasetSpec
@@ -78,21 +87,31 @@ def footer_groups(spark: SparkSession, uri: str, schema: StructType) -> DataFram
     return uniform.unionByName(single)
 
 
+# How a stored kind is read where it differs from the contract's type.
+_READ_AS = {
+    "nanos": LongType(),
+    "date": DateType(),
+    "int32": IntegerType(),
+    "int64": LongType(),
+    "float": FloatType(),
+    "double": DoubleType(),
+}
+
+
 def _stored_field(field: StructField, kind: str) -> StructField:
-    if isinstance(field.dataType, TimestampType):
-        if kind == "nanos":
-            return StructField(field.name, LongType())
-        if kind == "date":
-            return StructField(field.name, DateType())
-    return field
+    if isinstance(field.dataType, TimestampType) and kind not in ("nanos", "date"):
+        return field
+    return StructField(field.name, _READ_AS.get(kind, field.dataType))
 
 
 def _to_contract(field: StructField, kind: str | None) -> Column:
-    column = F.col(field.name)
     if kind is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
+    column = F.col(field.name)
     if kind == "nanos":
-        return F.timestamp_micros(F.expr(f"`{field.name}` DIV 1000")).alias(field.name)
+        column = F.timestamp_micros(F.expr(f"`{field.name}` DIV 1000"))
+    elif kind in ("float", "double") and isinstance(field.dataType, LongType):
+        column = F.bround(column)  # whole numbers that became doubles beside missing values
     return column.cast(field.dataType).alias(field.name)
 
 

@@ -147,7 +147,15 @@ def test_drifted_files_are_brought_to_the_contract(spark, cfg):
     )
     bronze.write_bronze(ours, cfg, INDEX, datetime(2024, 3, 9, 5))
 
+    floats = pd.DataFrame({"date": [date(2024, 3, 6)] * 2, **base, "fear_greed_value": [2.5, None]}
+                          | {k: list(v) * 2 for k, v in base.items() if k.startswith("sent")}
+                          | {"ingested_at": pd.concat([base["ingested_at"]] * 2).values})
+    _store(floats, cfg, "index_20240312_000000.parquet", 12)
+
     df = drift.read_drifted(spark, cfg, INDEX)
+    floats_read = df.filter("day = 12").orderBy("fear_greed_value").collect()
+    assert [r["fear_greed_value"] for r in floats_read] == [None, 2]
+    df = df.filter("day < 12")
     assert df.columns == [*INDEX.schema.names, "year", "month", "day"]
     assert [f.dataType for f in df.schema.fields[:5]] == [f.dataType for f in INDEX.schema.fields]
     rows = df.orderBy("date").collect()
@@ -161,6 +169,12 @@ def test_drifted_files_are_brought_to_the_contract(spark, cfg):
     assert {r["ingested_at"] for r in rows} == {datetime(2024, 3, 9, 1, 2, 3, 123456)}
 
 
+def test_empty_run_can_be_written(spark, cfg, chart):
+    receipt = bronze.write_bronze(chart.limit(0), cfg, CHART, RUN)
+    assert (receipt.row_count, receipt.min_time) == (0, None)
+    assert bronze.read_bronze(spark, cfg, CHART).count() == 0
+
+
 def test_shared_scratch_uses_the_session_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_scratch(spark, "x"), shared_scratch(spark, "x")

@@ -1,14 +1,17 @@
 from datetime import date, datetime
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from helpers import DAY1, DAY2, chart_doc, kline, landing
 from pyspark.sql import functions as F
 
-from candlewick.config import table_uri
+from candlewick.config import dataset_uri, table_uri
 from candlewick.contracts import MARTS, dataset_spec
 from candlewick.operators.quality import QualityGateError
 from candlewick.plans import runs, serving
 from candlewick.sources import bronze
+from candlewick.sources.drift import read_drifted
 
 RUN = datetime(2024, 1, 2, 8, 30)
 INDEX = {
@@ -96,6 +99,49 @@ def test_backfill_datasets_are_independent(spark, cfg):
     assert bronze.read_run(spark, rows["klines_1h"]["path"]).count() == 3
 
 
+def test_transform_of_a_tree_of_another_writer(spark, cfg):
+    """Files as pandas writes them: nanoseconds, one loose file per run, dates without time."""
+
+    def store(frame, source, dataset):
+        folder = Path(dataset_uri(cfg, source, dataset)) / "year=2024" / "month=01" / "day=03"
+        folder.mkdir(parents=True)
+        for name in ("open_time", "close_time", "ingested_at"):
+            if name in frame:
+                frame[name] = pd.to_datetime(frame[name], utc=True).astype("datetime64[ns, UTC]")
+        frame.to_parquet(folder / f"{dataset}_20240103_000000.parquet", index=False)
+
+    stamp = datetime(2024, 1, 3)
+    days = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
+    candle = dict(
+        symbol="BTCUSDT", open=1.0, high=3.0, low=0.5, volume=10.0, quote_volume=20.0, num_trades=4,
+        taker_buy_base_vol=1.0, taker_buy_quote_vol=2.0, ingested_at=stamp,
+    )
+    for interval in ("1d", "1h"):
+        rows = [
+            dict(open_time=d, close_time=d, interval=interval, close=2.0 + i, **candle)
+            for i, d in enumerate(days)
+        ]
+        store(pd.DataFrame(rows), "binance", f"klines_{interval}")
+    chart = pd.DataFrame(
+        dict(date=pd.to_datetime(days, utc=True), coin_id="bitcoin", price_usd=5.0, market_cap_usd=6.0,
+             volume_usd=7.0, ingested_at=stamp)
+    )
+    store(chart, "coingecko", "market_chart")
+    index = pd.DataFrame(
+        dict(date=[d.date() for d in days], fear_greed_value=[20, 72], sentiment_label="x",
+             sentiment_bucket=["Extreme Fear", "Greed"], ingested_at=stamp)
+    )
+    store(index, "feargreed", "index")
+
+    tables = runs.transform(spark, cfg, reader=read_drifted)
+    rows = tables["mart_price_analysis"].orderBy("date_day").collect()
+    assert [(r["date_day"].day, r["close"], r["market_cap_usd"], r["fear_greed_value"]) for r in rows] == [
+        (1, 2.0, 6.0, 20), (2, 3.0, 6.0, 72),
+    ]
+    assert rows[1]["daily_return_pct"] == 50.0 and rows[0]["latest_ingested_at"] == stamp
+    assert tables["mart_sentiment_correlation"].orderBy("date_day").first()["sentiment_change"] is None
+
+
 def test_silver_absorbs_a_correction(spark, cfg):
     runs.run_backfill(spark, cfg, all_payloads(spark), RUN)
     fixed = all_payloads(spark, daily=[kline(DAY1, 50_000.0)])
