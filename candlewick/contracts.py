@@ -121,11 +121,11 @@ DATASETS = (
 
 
 def dataset_spec(dataset: str) -> DatasetSpec:
-    """Return the spec of a dataset; unknown names raise ``KeyError`` listing the known ones."""
+    """Return the spec of a dataset; unknown names raise ``KeyError``."""
     for spec in DATASETS:
         if spec.dataset == dataset:
             return spec
-    raise KeyError(f"Unknown dataset '{dataset}'. Known: {sorted(s.dataset for s in DATASETS)}")
+    raise KeyError(f"Unknown dataset '{dataset}'; there are {[s.dataset for s in DATASETS]}")
 
 
 # Grain of each modelled table.

@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.config import LakeConfig, prepare_session, run_partition, table_uri
-from candlewick.contracts import DATASETS, MARTS, DatasetSpec, dataset_spec
+from candlewick.contracts import DATASETS, GRAINS, MARTS, DatasetSpec, dataset_spec
 from candlewick.operators.enrich import daily_enriched
 from candlewick.operators.quality import (
     Suite,
@@ -137,6 +137,17 @@ def transform(
     return tables
 
 
+def stored_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
+    """The Silver and Gold tables of the last transform, as stored."""
+    prepare_session(spark)
+    return {
+        name: spark.read.parquet(
+            table_uri(cfg, "gold" if name.startswith("mart_") else "silver", name)
+        )
+        for name in GRAINS
+    }
+
+
 # ---------------------------------------------------------------------------------------------
 # Daily run
 # ---------------------------------------------------------------------------------------------

@@ -78,14 +78,22 @@ def publish(marts: Mapping[str, DataFrame], sink: tuple[Replace, Count]) -> dict
         return dict(zip(marts, pool.map(load, marts)))
 
 
+def register_views(
+    tables: Mapping[str, DataFrame], names: Mapping[str, str] | None = None
+) -> None:
+    """Make tables available to ``spark.sql``, under other names where ``names`` gives them."""
+    for name, rows in tables.items():
+        rows.createOrReplaceTempView((names or {}).get(name, name))
+
+
 # ---------------------------------------------------------------------------------------------
 # Dashboard queries
 # ---------------------------------------------------------------------------------------------
 
 
 def by_day(mart: DataFrame) -> DataFrame:
-    """A mart in day order."""
-    return mart.orderBy(F.col("date_day").asc_nulls_last())
+    """A mart in day order; the symbol as second key lets a day's rows spread over sort ranges."""
+    return mart.orderBy(F.col("date_day").asc_nulls_last(), "symbol")
 
 
 def require_rows(mart: DataFrame, name: str) -> DataFrame:

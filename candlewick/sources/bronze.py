@@ -76,7 +76,7 @@ def read_bronze(spark: SparkSession, cfg: LakeConfig, spec: DatasetSpec) -> Data
 def read_run(spark: SparkSession, path: str) -> DataFrame:
     """Read one written run back (what the gate checks)."""
     if not path:
-        raise ValueError("Cannot read Bronze from an empty path")
+        raise ValueError("No path given: nothing was written for this dataset")
     if path.startswith("s3://"):
         path = f"s3a://{path[len('s3://'):]}"
     return spark.read.parquet(path)

@@ -270,4 +270,5 @@ def latest_sentiment(landing: DataFrame) -> DataFrame:
 
 
 def oldest_first(rows: DataFrame, time_col: str = "date") -> DataFrame:
-    return rows.orderBy(F.col(time_col).asc_nulls_last())
+    """In time order; re-ingested copies of a time follow by ingestion."""
+    return rows.orderBy(F.col(time_col).asc_nulls_last(), "ingested_at")

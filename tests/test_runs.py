@@ -55,6 +55,10 @@ def test_daily_run_slices_gates_builds_and_publishes(spark, cfg):
 def test_running_a_date_twice_changes_nothing(spark, cfg):
     runs.run_daily(spark, cfg, all_payloads(spark), RUN)
     first = spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis")).collect()
+    tables = runs.stored_tables(spark, cfg)
+    serving.register_views(tables, {"mart_price_analysis": "prices"})
+    assert spark.sql("SELECT * FROM prices ORDER BY date_day").collect() == first
+    assert spark.sql("SELECT count(*) FROM silver_klines").first()[0] == 4
     runs.run_daily(spark, cfg, all_payloads(spark), RUN)
     second = spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis")).collect()
     assert first == second
@@ -81,7 +85,7 @@ def test_failing_gate_blocks_the_transform(spark, cfg):
 
 
 def test_a_date_without_rows_is_a_missing_path(spark, cfg):
-    with pytest.raises(QualityGateError, match="missing paths for: \\['index', 'klines_1d'"):
+    with pytest.raises(QualityGateError, match="No Bronze run was written for: \\['index', 'klines_1d'"):
         runs.run_daily(spark, cfg, all_payloads(spark), datetime(2024, 2, 1))
 
 
