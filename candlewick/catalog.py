@@ -606,18 +606,13 @@ def daily_run(spark, sf_dir):
 
 @query
 def tick_parse(spark, sf_dir):
-    return ticks.parse_ticks(tables.trade_messages(spark, sf_dir))
-
-
-def _message_stream(spark: SparkSession, sf_dir: str, scratch: str) -> DataFrame:
-    tables.trade_messages(spark, sf_dir).write.text(f"{scratch}/messages")
-    return spark.readStream.text(f"{scratch}/messages")
+    return ticks.parse_ticks(tables.trade_messages(tables.table(spark, sf_dir, "events")))
 
 
 @query
 def tick_parse_stream(spark, sf_dir):
     scratch = shared_scratch(spark, "tick-parse")
-    parsed = ticks.parse_ticks(_message_stream(spark, sf_dir, scratch))
+    parsed = ticks.parse_ticks(tables.trade_messages(tables.event_stream(spark, sf_dir)))
     (
         parsed.writeStream.format("parquet")
         .option("checkpointLocation", f"{scratch}/checkpoint")
@@ -632,8 +627,8 @@ def tick_parse_stream(spark, sf_dir):
 def tick_publish_stream(spark, sf_dir):
     scratch = shared_scratch(spark, "tick-publish")
     ticks.publish_ticks(
-        _message_stream(spark, sf_dir, scratch), "parquet", f"{scratch}/checkpoint",
-        {"path": f"{scratch}/topic"}, available_now=True,
+        tables.trade_messages(tables.event_stream(spark, sf_dir)),
+        "parquet", f"{scratch}/checkpoint", {"path": f"{scratch}/topic"}, available_now=True,
     ).awaitTermination()
     record = F.from_json(
         "value",

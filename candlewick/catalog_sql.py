@@ -359,7 +359,8 @@ _DEDUP_KLINES = f"""
 _DEDUP_CHART = """
     SELECT * EXCLUDE (nth, observed_at) FROM (
         SELECT *, row_number() OVER (PARTITION BY coin_id, date_day
-            ORDER BY observed_at DESC, ingested_at DESC) AS nth
+            ORDER BY observed_at DESC, ingested_at DESC, price_usd DESC, market_cap_usd DESC,
+                     volume_usd DESC) AS nth
         FROM snapshots)
     WHERE nth = 1"""
 _DEDUP_MOOD = """

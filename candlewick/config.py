@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -62,14 +62,19 @@ def dataset_uri(cfg: LakeConfig, source: str, dataset: str, layer: str = "bronze
     return f"{cfg.root}/{layer}/{source}/{dataset}"
 
 
+def as_utc(ts: datetime) -> datetime:
+    """A time with zone UTC; times without a zone are UTC already, whatever the driver's zone."""
+    return ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts.astimezone(timezone.utc)
+
+
 def run_uri(
     cfg: LakeConfig, source: str, dataset: str, run_ts: datetime, layer: str = "bronze"
 ) -> str:
     """Where one run of a dataset is stored: zero-padded run-date partitions, then the run."""
+    at = as_utc(run_ts)
     return (
-        f"{dataset_uri(cfg, source, dataset, layer)}"
-        f"/year={run_ts:%Y}/month={run_ts:%m}/day={run_ts:%d}"
-        f"/{dataset}_{run_ts:%Y%m%d_%H%M%S}.parquet"
+        f"{dataset_uri(cfg, source, dataset, layer)}/year={at:%Y}/month={at:%m}/day={at:%d}"
+        f"/{dataset}_{at:%Y%m%d_%H%M%S}.parquet"
     )
 
 
@@ -79,7 +84,7 @@ def table_uri(cfg: LakeConfig, layer: str, table: str) -> str:
 
 def run_partition(table: str, run_ts: datetime) -> str:
     """One run's partition of a log or result table; writing it again replaces it."""
-    return f"{table}/run={run_ts:%Y%m%d_%H%M%S}"
+    return f"{table}/run={as_utc(run_ts):%Y%m%d_%H%M%S}"
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:

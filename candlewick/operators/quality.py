@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from candlewick.config import run_partition
+from candlewick.config import as_utc, run_partition
 from candlewick.contracts import (
     DEFAULT_COINS,
     DEFAULT_SYMBOLS,
@@ -390,7 +390,7 @@ def gate(
         [evaluate(read_run(spark, written[name]), suite) for name, suite in suites.items()],
     )
     if results_uri:
-        stamped = results.withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
+        stamped = results.withColumn("run_ts", F.lit(as_utc(run_ts)))
         run_dir = run_partition(results_uri, run_ts)
         stamped.write.mode("overwrite").parquet(run_dir)
         results = spark.read.schema(results.schema).parquet(run_dir)

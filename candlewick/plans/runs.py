@@ -13,7 +13,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.config import LakeConfig, prepare_session, run_partition, table_uri
+from candlewick.config import LakeConfig, as_utc, prepare_session, run_partition, table_uri
 from candlewick.contracts import DATASETS, GRAINS, MARTS, DatasetSpec, dataset_spec
 from candlewick.operators.enrich import daily_enriched
 from candlewick.operators.quality import (
@@ -177,7 +177,7 @@ def ingest_day(
     """Write one logical date of every dataset; the path is "" where the date has no rows."""
 
     def ingest(spec: DatasetSpec) -> Callable[[], WriteReceipt | None]:
-        rows = daily_slice(landing, spec.dataset, run_ts.date())
+        rows = daily_slice(landing, spec.dataset, as_utc(run_ts).date())
         return lambda: write_bronze_if_any(rows, cfg, spec, run_ts)
 
     receipts = _in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
@@ -193,7 +193,7 @@ def log_ingest(
 ) -> None:
     """Keep what a run stored (source, dataset, time, rows, path) in the ``ingest_log`` table."""
     rows = [
-        (dataset_spec(name).source, name, run_ts, receipt.row_count, receipt.path)
+        (dataset_spec(name).source, name, as_utc(run_ts), receipt.row_count, receipt.path)
         for name, receipt in receipts.items() if receipt
     ]
     if rows:
@@ -225,7 +225,7 @@ def run_daily(
     )
     tables = transform(spark, cfg, coin_of_symbol, reader)
     output_results = materialise(
-        output_tests(tables, as_of or run_ts.date()).withColumn("run_ts", F.lit(run_ts)),
+        output_tests(tables, as_of or as_utc(run_ts).date()).withColumn("run_ts", F.lit(as_utc(run_ts))),
         run_partition(table_uri(cfg, "quality", "output_results"), run_ts),
     ).drop("run_ts")
     enforce(output_results)

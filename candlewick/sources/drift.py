@@ -1,8 +1,9 @@
 """Reading a Bronze tree whose files disagree on their schema.
 
 Other writers store nanosecond timestamps, plain dates where we store timestamps, doubles where we
-store whole numbers, miss columns or add some.  Spark refuses to merge those footers, so files are grouped by how they store the
-contract's columns; each group is read with its own schema, brought to the contract, and unioned.
+store whole numbers, miss columns or add some.  Spark refuses to merge those footers, so files are
+grouped by how they store the contract's columns; each group is read with its own schema, brought to
+the contract, and unioned.
 """
 
 from __future__ import annotations

@@ -357,10 +357,14 @@ def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landing(docs, "coingecko", "coin", F.lit(None).cast("string"))
 
 
-def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw trade messages (keys ``T``/``t`` differ only in case)."""
-    event = table(spark, sf_dir, "events")
-    return event.selectExpr(
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event files as a stream (a pattern, as a stream's plain path must be a directory)."""
+    return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
+
+
+def trade_messages(events: DataFrame) -> DataFrame:
+    """Events (batch or stream) as raw trade messages; keys ``T``/``t`` differ only in case."""
+    return events.selectExpr(
         """concat('{"e":"trade","s":"', upper(event_type), '","p":"', value,
                   '","q":"', user_id / 8, '","T":', unix_millis(ts), ',"t":', event_id,
                   ',"m":', user_id % 2 = 0, '}') AS value"""
