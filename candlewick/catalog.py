@@ -147,6 +147,20 @@ def daily_enriched_table(spark, sf_dir):
 QUERIES["daily_enriched"] = QUERIES.pop("daily_enriched_table")
 
 
+@query
+def daily_enriched_by_coin(spark, sf_dir):
+    """Several coins: each symbol joins the market data of its own coin."""
+    coin_of_symbol = spark.createDataFrame(
+        [("F", "A"), ("O", "N"), ("P", "R")], "symbol STRING, coin_id STRING"
+    )
+    return daily_enriched(
+        tables.order_candles(spark, sf_dir),
+        tables.coin_charts(spark, sf_dir),
+        tables.sentiment_index(_stored_days(spark, sf_dir)),
+        coin_of_symbol,
+    )
+
+
 @query
 def day_over_day_change(spark, sf_dir):
     return _price_measures(spark, sf_dir).select("date_day", "symbol", "price_change_usd")
@@ -357,6 +371,17 @@ def relationships_check(spark, sf_dir):
     )
 
 
+@query
+def null_counts(spark, sf_dir):
+    """Null counts of a dataset's non-null columns; cheap line items have no close or open."""
+    candles = tables.candle_ingests(spark, sf_dir).selectExpr(
+        "* EXCEPT (open, close)",
+        "if(volume < 5, NULL, close) AS close",
+        "if(volume < 3, double('NaN'), open) AS open",
+    )
+    return quality.null_counts(candles, dataset_spec("klines_1d").non_null)
+
+
 @query
 def freshness_check(spark, sf_dir):
     return quality.stale_days(_price_measures(spark, sf_dir), AS_OF)

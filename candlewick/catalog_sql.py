@@ -392,6 +392,24 @@ ORACLES: dict[str, str] = {
         "enriched",
         "SELECT * FROM enriched",
     ),
+    "daily_enriched_by_coin": with_tables(
+        "candles mood", """
+        SELECT CAST(k.open_time AS DATE) AS date_day, k.symbol, k.open, k.high, k.low, k.close,
+               k.volume, k.quote_volume, k.num_trades,
+               floor(c.turnover / c.quantity) AS coingecko_price_usd,
+               c.turnover AS market_cap_usd, c.quantity AS coingecko_volume_usd,
+               m.fear_greed_value, m.sentiment_label, m.sentiment_bucket,
+               greatest(k.ingested_at, c.date_day + INTERVAL 26 HOUR, m.ingested_at)
+                   AS latest_ingested_at
+        FROM candles k
+        LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS date_day, l_returnflag,
+                          sum(l_quantity) AS quantity,
+                          sum(floor(l_extendedprice + 0.5)) AS turnover
+                   FROM lineitem GROUP BY ALL) c
+            ON c.date_day = CAST(k.open_time AS DATE)
+            AND c.l_returnflag = CASE k.symbol WHEN 'F' THEN 'A' WHEN 'O' THEN 'N' ELSE 'R' END
+        LEFT JOIN mood m ON m.date_day = CAST(k.open_time AS DATE)""",
+    ),
     "sentiment_correlation": with_tables(
         "mood_corr",
         f"SELECT {PRICE_KEYS}, close, {CARRIED}, sentiment_change, latest_ingested_at, "
@@ -509,6 +527,15 @@ ORACLES: dict[str, str] = {
     "relationships_check": with_tables("candles chart", """
         SELECT CAST(open_time AS DATE) AS date_day, count(*) AS n_rows FROM candles
         WHERE CAST(open_time AS DATE) NOT IN (SELECT date_day FROM chart) GROUP BY ALL"""),
+    "null_counts": with_tables("candle_ingests", " UNION ALL ".join(
+        f"SELECT '{column}' AS \"column\", count(*) AS n_rows, "
+        f"count(*) FILTER ({missing}) AS n_null FROM candle_ingests"
+        for column, missing in {
+            "open_time": "open_time IS NULL", "close_time": "close_time IS NULL",
+            "symbol": "symbol IS NULL", "open": "volume < 3", "close": "volume < 5",
+            "ingested_at": "ingested_at IS NULL",
+        }.items()
+    )),
     "freshness_check": with_tables("price", """
         SELECT max(date_day) AS latest_day, DATE '2001-12-31' AS today FROM price
         HAVING max(date_day) < DATE '2001-12-31' - 3"""),

@@ -144,6 +144,26 @@ def market_chart(days: DataFrame) -> DataFrame:
     )
 
 
+def coin_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily market charts of several coins: the line items of each return flag."""
+    days = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.expr("to_date(l_shipdate) AS date_day"), F.expr("l_returnflag AS coin_id"))
+        .agg(
+            F.expr("sum(CAST(floor(l_extendedprice + 0.5) AS DOUBLE)) AS market_cap_usd"),
+            F.expr("sum(l_quantity) AS volume_usd"),
+        )
+    )
+    return days.selectExpr(
+        "date_day",
+        "coin_id",
+        "CAST(floor(try_divide(market_cap_usd, volume_usd)) AS DOUBLE) AS price_usd",
+        "market_cap_usd",
+        "volume_usd",
+        "CAST(date_day AS TIMESTAMP) + INTERVAL 26 HOURS AS ingested_at",
+    )
+
+
 def sentiment_index(days: DataFrame) -> DataFrame:
     """Daily sentiment index with the API's label and our bucket."""
     return days.selectExpr(
@@ -359,7 +379,11 @@ def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event files as a stream (a pattern, as a stream's plain path must be a directory)."""
-    return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
+    return (
+        spark.readStream.schema(SCHEMAS["events"])
+        .option("maxFilesPerTrigger", 1000)
+        .parquet(f"{sf_dir}/events.parque[t]")
+    )
 
 
 def trade_messages(events: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pandas as pd
@@ -6,7 +6,7 @@ import pytest
 from helpers import chart_doc, landing, plan_of
 from pyspark.sql import functions as F
 
-from candlewick.config import LakeConfig, dataset_uri, run_uri, shared_scratch
+from candlewick.config import LakeConfig, as_utc, dataset_uri, run_uri, shared_scratch
 from candlewick.contracts import dataset_spec
 from candlewick.sources import bronze, drift
 from candlewick.sources.payloads import parse_market_chart
@@ -33,6 +33,13 @@ def test_local_layout(spark, cfg, chart):
     assert bronze.read_run(spark, receipt.path).count() == 2
 
 
+def test_run_times_are_utc():
+    cfg = LakeConfig(data_dir="/lake")
+    evening = datetime(2024, 3, 9, 23, 30, tzinfo=timezone(timedelta(hours=-2)))
+    assert run_uri(cfg, "s", "d", evening).endswith("month=03/day=10/d_20240310_013000.parquet")
+    assert as_utc(RUN) == RUN.replace(tzinfo=timezone.utc)
+
+
 def test_object_store_route_and_options():
     cfg = LakeConfig(bucket="b", endpoint_url="http://store:9000", access_key="k", secret_key="s")
     assert run_uri(cfg, "binance", "klines_1d", RUN).startswith("s3a://b/bronze/binance/klines_1d/")
