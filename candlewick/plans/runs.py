@@ -44,6 +44,8 @@ from candlewick.sources.payloads import (
 )
 
 BronzeReader = Callable[[SparkSession, LakeConfig, DatasetSpec], DataFrame]
+# The daily models read one interval only and must not scan the hourly candles.
+TABLE_PARTITIONS = {"silver_klines": ("interval",)}
 INGEST_LOG = (
     "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING"
 )
@@ -67,11 +69,15 @@ def parse_dataset(landing: DataFrame, dataset: str) -> DataFrame:
     return _parser(dataset)(_payloads(landing, dataset_spec(dataset)))
 
 
-def materialise_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def materialise_all(
+    tables: Mapping[str, DataFrame], partitions: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, DataFrame]:
     """Rebuild several independent tables at the same time; keys are their URIs."""
-    return _in_parallel({
-        uri: (lambda rows=rows, uri=uri: materialise(rows, uri)) for uri, rows in tables.items()
-    })
+
+    def rebuild(uri: str, rows: DataFrame) -> Callable[[], DataFrame]:
+        return lambda: materialise(rows, uri, (partitions or {}).get(uri, ()))
+
+    return _in_parallel({uri: rebuild(uri, rows) for uri, rows in tables.items()})
 
 
 def _in_parallel(tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
@@ -81,11 +87,11 @@ def _in_parallel(tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]
         return {name: future.result() for name, future in futures.items()}
 
 
-def materialise(df: DataFrame, uri: str) -> DataFrame:
+def materialise(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Rebuild a table and read it back: later plans start from files, with known sizes."""
     spark = prepare_session(df.sparkSession)
-    df.write.mode("overwrite").parquet(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(uri)
+    return spark.read.schema(df.schema).parquet(uri).select(*df.columns)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -111,7 +117,10 @@ def transform(
 
     def rebuild(layer: str, **tables: DataFrame) -> dict[str, DataFrame]:
         uris = {name: table_uri(cfg, layer, name) for name in tables}
-        stored = materialise_all({uris[name]: rows for name, rows in tables.items()})
+        stored = materialise_all(
+            {uris[name]: rows for name, rows in tables.items()},
+            {uris[name]: TABLE_PARTITIONS.get(name, ()) for name in tables},
+        )
         return {name: stored[uri] for name, uri in uris.items()}
 
     tables = rebuild(

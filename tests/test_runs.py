@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from helpers import DAY1, DAY2, chart_doc, kline, landing
+from helpers import DAY1, DAY2, chart_doc, kline, landing, plan_of
 from pyspark.sql import functions as F
 
 from candlewick.config import dataset_uri, table_uri
@@ -59,6 +59,8 @@ def test_running_a_date_twice_changes_nothing(spark, cfg):
     serving.register_views(tables, {"mart_price_analysis": "prices"})
     assert spark.sql("SELECT * FROM prices ORDER BY date_day").collect() == first
     assert spark.sql("SELECT count(*) FROM silver_klines").first()[0] == 4
+    daily = spark.table("silver_klines").filter("interval = '1d'").select("close")
+    assert "PartitionFilters: [isnotnull(interval" in plan_of(daily) and daily.count() == 1
     runs.run_daily(spark, cfg, all_payloads(spark), RUN)
     second = spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis")).collect()
     assert first == second
