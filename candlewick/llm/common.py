@@ -80,8 +80,8 @@ def map_texts(
 
     chosen = ship(docs).select(*keep, whole_text().alias("__text"))
     types = dict(docs.dtypes)
-    head = ", ".join(f"`{c}` {types[c]}" for c in keep)
-    return chosen.mapInPandas(batches, f"{head}, {schema}")
+    head = [f"`{c}` {types[c]}" for c in keep]
+    return chosen.mapInPandas(batches, ", ".join([*head, schema]))
 
 
 def held_out(modulus: int, remainder: int) -> Column:
