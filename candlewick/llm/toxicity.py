@@ -237,6 +237,18 @@ def score(docs: DataFrame, cues: Cues) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", predicted)
 
 
+def without_toxic(docs: DataFrame, cues: Cues) -> DataFrame:
+    """docs, whole rows, without those whose score reaches THRESHOLD; equal rows fare alike."""
+    sent = docs.sparkSession.sparkContext.broadcast(cues)
+
+    def clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = frame["text"].where(frame["text"].notna(), "")
+            yield frame[[sent.value.score(t) < THRESHOLD for t in texts]]
+
+    return ship(docs).mapInPandas(clean, docs.schema)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return score(docs, learnt(docs, labels))
