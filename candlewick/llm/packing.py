@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +33,11 @@ MEMO_WORDS = 600_000
 ROWS = 50_000  # pieces in a batch of results
 # White space of the tokenizer's pattern \s; str.split() would also split at \x1c to \x1f.
 SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
-SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, ids binary"
+SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
+
+
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are kept as little-endian 32-bit numbers")
 
 
 class Encoder:
@@ -48,16 +54,15 @@ class Encoder:
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
         words = SPACES.split(text) if odd else text.split()
         memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            pass
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            memo[word] = b"".join(i.to_bytes(4, "little") for i in coded.ids)
-        return b"".join(map(memo.__getitem__, words))
+        parts = list(map(memo.get, words))
+        if None in parts:
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            new = list(dict.fromkeys(w for w, ids in zip(words, parts, strict=True) if ids is None))
+            for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                memo[word] = array("I", coded.ids).tobytes()
+            parts = [memo[w] if ids is None else ids for w, ids in zip(words, parts, strict=True)]
+        return b"".join(parts)
 
 
 @lru_cache(2)
@@ -117,8 +122,10 @@ class Bins:
             yield from self._closed(held)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
+def pack(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True
+) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if wanted, ids.
 
     Every document ends with end_id, so null and empty texts are one token; repeated rows are packed
     each; other columns are ignored.  A sequence is capacity long and padded by whoever writes it,
@@ -134,12 +141,12 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
         def frame(pieces: list[tuple]) -> pd.DataFrame:
             doc, start, length, ids, total, sequence, offset = zip(*pieces, strict=True)
-            return pd.DataFrame(
-                {"doc_id": pd.Series(doc, dtype=kind), "start": start, "length": length, "ids_crc32": [zlib.crc32(i) for i in ids],
-                 "doc_tokens": total, "sequence_id": sequence, "offset": offset, "ids": ids}
-            )
+            columns = {
+                "doc_id": pd.Series(doc, dtype=object), "start": start, "length": length, "ids_crc32": list(map(zlib.crc32, ids)),
+                "doc_tokens": total, "sequence_id": sequence, "offset": offset,
+            }
+            return pd.DataFrame(columns | ({"ids": ids} if with_ids else {}))
 
-        kind = object
         for part in frames:
             for doc, text in zip(part["doc_id"].astype(object).where(part["doc_id"].notna(), None), part["__text"], strict=True):
                 ids = code.encode(text) + end
@@ -155,10 +162,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
             yield frame(rows)
 
     chosen = ship(docs).select("doc_id", whole_text().alias("__text"))
-    return chosen.mapInPandas(batches, SCHEMA.format(dict(docs.dtypes)["doc_id"]))
+    schema = SCHEMA.format(dict(docs.dtypes)["doc_id"])
+    return chosen.mapInPandas(batches, schema + ", ids binary" * with_ids)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
