@@ -9,8 +9,10 @@ similarity is at least THRESHOLD, and classes are what links connect.
 
 Exact copies are one text from the start.  In each bucket of a band, texts are compared with one text of
 it (a star), in ROUNDS rounds with other centres for those that are not yet in the centre's class; texts
-of a bucket that are still in different classes are then compared pairwise, where their total weights
-and draws leave a link possible.  So no link is lost and a class of copies costs a few comparisons each.
+of a bucket that are still in different classes are then paired, where their total weights and draws
+leave a link possible.  Buckets of more than SMALL texts are paired block by block with MORE_SAMPLES
+draws, and the likely links are verified first, as they join classes whose other pairs then need none.
+So no link is lost, and a class of copies costs a few comparisons each.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ ROUNDS = 3
 #: Agreeing draws that a link has at least: below the threshold's mean by more than four deviations.
 MIN_AGREE = int(SAMPLES * 0.54)
 BLOCK = 4096  # shingles sampled at a time, so that memory doesn't grow with a text
+#: Larger buckets are paired in blocks of BLOCK_TEXTS texts with MORE_SAMPLES draws each.
+SMALL, BLOCK_TEXTS, MORE_SAMPLES = 50, 400, 448
+#: Of these draws, links have fewer with a chance of 1 in 10,000 at the threshold.
+MORE_AGREE = int(MORE_SAMPLES * 0.73)
 _KNOTS = 4096
 
 
@@ -80,14 +86,17 @@ def features(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) & (FEATURES - 1)
 
 
-def sampled(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """SAMPLES draws of a weighted set, each the hash of (element, quantized weight)."""
-    best, chosen = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64)
+MORE_SEEDS = _mixed(np.arange(1, MORE_SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def sampled(hashes: np.ndarray, weights: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
+    """A draw of a weighted set for each seed: the hash of (element, quantized weight)."""
+    best, chosen = np.full(len(seeds), np.inf, np.float32), np.zeros(len(seeds), np.uint64)
     log_w = np.log(weights).astype(np.float32)
-    rows = np.arange(SAMPLES)
+    rows = np.arange(len(seeds))
     for i in range(0, len(hashes), BLOCK):
         h, lw = hashes[i : i + BLOCK], log_w[i : i + BLOCK]
-        x = _mixed(SEEDS[:, None] ^ h[None, :])
+        x = _mixed(seeds[:, None] ^ h[None, :])
         spot = (x >> np.uint64(52)).astype(np.int32)
         part = ((x >> np.uint64(28)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
         low = LOG_C[spot]
@@ -175,7 +184,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     """The pairs (u, v) whose texts have a weighted Jaccard similarity of THRESHOLD or more."""
-    ids = stored(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "ids")
+    ids = stored(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "ids")
     texts = docs.select("doc_id", whole_text().alias("text")).join(sized(ids), "doc_id", "left_semi")
     first = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
     second = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a"))
@@ -199,6 +208,46 @@ def _agree(a: str, b: str) -> Column:
     return F.aggregate(same, F.lit(0), lambda n, x: n + x)
 
 
+def _block_pairs(placed: DataFrame, docs: DataFrame, idf) -> DataFrame:
+    """(u, v, agree): pairs of texts in one bucket and different classes whose draws leave a link possible.
+
+    A bucket's texts are dealt to blocks; a task pairs two blocks, so it never holds a whole bucket.  A
+    pair is named by the first band that its texts share.
+    """
+
+    def draw(texts: list[str]) -> dict:
+        sets = [(h, n * idf.value[features(h)]) for h, n in shingled(texts)]
+        return {"more": [sampled(h, w, MORE_SEEDS).astype(np.uint8).tobytes() for h, w in sets]}
+
+    def pair(rows: pd.DataFrame) -> pd.DataFrame:
+        draws = np.stack([np.frombuffer(x, np.uint8) for x in rows["more"]])
+        bands = np.stack(rows["bands"].to_list())
+        ids, classes, weights, block = (rows[k].to_numpy() for k in ("id", "class", "weight", "i"))
+        band, crossing, out = rows["band"].iloc[0], rows["low"].iloc[0] != rows["high"].iloc[0], []
+        for k in range(len(rows)):
+            other = (classes != classes[k]) & (ids > ids[k])
+            if crossing:
+                other &= block != block[k]
+            other &= np.minimum(weights, weights[k]) >= np.maximum(weights, weights[k]) * (THRESHOLD - 1e-9)
+            at = np.flatnonzero(other)
+            agree = (draws[at] == draws[k]).sum(axis=1)
+            at, agree = at[agree >= MORE_AGREE], agree[agree >= MORE_AGREE]
+            if len(at):
+                same = bands[at] == bands[k]
+                first = bands[k][same.argmax(axis=1)] == band
+                out.append(pd.DataFrame({"u": ids[at][first], "v": ids[k], "agree": agree[first]}))
+        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": [], "agree": []})
+
+    ids = stored(placed.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    more = map_texts(docs.join(sized(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]), draw, "more binary")
+    count = F.ceil(F.col("n") / BLOCK_TEXTS).cast("int")
+    dealt = placed.join(more.withColumnRenamed("doc_id", "id"), "id").withColumn("i", F.pmod(F.xxhash64("id"), count).cast("int"))
+    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), count - 1)))
+    dealt = dealt.withColumn("low", F.least("i", "j")).withColumn("high", F.greatest("i", "j"))
+    kind = dict(docs.dtypes)["doc_id"]
+    return dealt.groupBy("band", "low", "high").applyInPandas(pair, f"u {kind}, v {kind}, agree int")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, class_id (the least doc_id of its class), copy_of (the least doc_id with
     the same text), kept (whether it is its class's first).
@@ -215,7 +264,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         marks.groupBy("key").agg(F.min("doc_id").alias("id"), F.min(F.struct("weight", "bands", "draws")).alias("s"))
         .select("key", "id", "s.weight", "s.bands", F.hex("s.draws").alias("draws")), "texts"
     )
-    members = texts.select("id", "weight", "draws", F.explode("bands").alias("band"))
+    members = texts.select("id", "weight", "draws", "bands", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     members = stored(members.join(shared, "band"), "members")
     classes = members.select("id").distinct().select("id", F.col("id").alias("class"))
@@ -241,14 +290,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         joined(pairs)
 
-    cell = F.floor(F.log("weight") / -F.log(F.lit(THRESHOLD)))
-    placed = members.join(classes, "id").withColumn("cell", cell)
-    mixed = placed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    placed = stored(placed.join(mixed.select("band"), "band"), "rest")
-    right = placed.select("band", F.explode(F.array("cell", F.col("cell") + 1)).alias("cell"),
-                          F.col("id").alias("v"), F.col("class").alias("vc"), F.col("weight").alias("vw"), F.col("draws").alias("vd"))
-    pairs = placed.join(right, ["band", "cell"]).where("class <> vc").where(_possible())
-    pairs = stored(pairs.select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")).distinct(), "pairs")
+    placed = members.join(classes, "id")
+    mixed = placed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+    placed = placed.join(mixed.where("low <> high").select("band", "n"), "band")
+    placed = stored(placed, "rest")
+    small = placed.where(F.col("n") <= SMALL)
+    right = small.select("band", F.col("id").alias("v"), F.col("class").alias("vc"), F.col("weight").alias("vw"), F.col("draws").alias("vd"))
+    pairs = small.join(right, "band").where("class < vc").where(_possible()).select(F.col("id").alias("u"), "v")
+    blocked = stored(_block_pairs(placed.where(F.col("n") > SMALL), known, idf), "blocks")
+    likely = blocked.where(F.col("agree") >= MORE_SAMPLES * THRESHOLD)
+    pairs = stored(pairs.union(likely.select("u", "v")).distinct(), "pairs")
+    if not pairs.isEmpty():
+        joined(pairs)
+    own, other = (classes.toDF(k, f"{k}c") for k in "uv")
+    rest = blocked.where(F.col("agree") < MORE_SAMPLES * THRESHOLD).join(own, "u").join(other, "v").where("uc <> vc")
+    pairs = stored(rest.select("u", "v").distinct(), "pairs")
     if not pairs.isEmpty():
         joined(pairs)
 
