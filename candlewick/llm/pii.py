@@ -118,7 +118,7 @@ def _scored(kind: str, rank: int) -> Column:
 
 
 def findings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, __text and findings: array of (start, rank, end, kind, value, score) by start,
+    """The kept columns, __text and __findings: array of (start, rank, end, kind, value, score) by start,
     then kind, in code points, end exclusive.  Null and empty texts have none; rows are independent."""
     out = docs.select(*keep, whole_text().alias("__text"))
     out = out.select("*", *(_found(kind).alias(f"__{kind}") for kind in PATTERNS))
@@ -126,7 +126,7 @@ def findings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     for rank, kind in enumerate(PATTERNS):
         scored = _scored(kind, rank)
         parts.append(scored if kind in BASE else F.filter(scored, lambda s: s["score"] >= THRESHOLD))
-    return out.select(*keep, "__text", F.array_sort(F.concat(*parts)).alias("findings"))
+    return out.select(*keep, "__text", F.array_sort(F.concat(*parts)).alias("__findings"))
 
 
 def _named(spans: Column) -> Column:
@@ -136,14 +136,14 @@ def _named(spans: Column) -> Column:
 def digests(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, findings."""
     rows = findings(docs)
-    base = F.filter("findings", lambda s: s["rank"] < len(BASE))
+    base = F.filter("__findings", lambda s: s["rank"] < len(BASE))
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter("__findings", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(kind) for kind in BASE]
     return rows.select(
-        "doc_id", *counts, F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("findings")).alias("spans"), "findings"
+        "doc_id", *counts, F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("__findings")).alias("spans"), F.col("__findings").alias("findings")
     )
 
 
@@ -164,9 +164,9 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     rest = F.expr("length(__text)")
     whole = F.aggregate(
-        "findings", begin, add, lambda s: F.concat(s["done"], F.substring("__text", s["at"] + 1, rest - s["at"]))
+        "__findings", begin, add, lambda s: F.concat(s["done"], F.substring("__text", s["at"] + 1, rest - s["at"]))
     )
-    clean = F.when(F.size("findings") == 0, F.col("text")).otherwise(whole).alias("text")
+    clean = F.when(F.size("__findings") == 0, F.col("text")).otherwise(whole).alias("text")
     return rows.select(*(clean if c == "text" else c for c in names))
 
 

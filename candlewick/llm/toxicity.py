@@ -153,7 +153,8 @@ def _counts(texts: DataFrame, channel, name: str, wanted=None) -> DataFrame:
         for frame in frames:
             for text in frame["__text"]:
                 total.update(text_features(text, channel.value, wanted.value if wanted else None))
-        yield pd.DataFrame({"feature": list(total), "n": list(total.values())}, columns=["feature", "n"])
+        if total:
+            yield pd.DataFrame({"feature": list(total), "n": list(total.values())})
 
     return ship(texts).mapInPandas(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
 
@@ -244,7 +245,9 @@ def without_toxic(docs: DataFrame, cues: Cues) -> DataFrame:
     def clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["text"].where(frame["text"].notna(), "")
-            yield frame[[sent.value.score(t) < THRESHOLD for t in texts]]
+            passed = frame[[sent.value.score(t) < THRESHOLD for t in texts]]
+            if len(passed):
+                yield passed
 
     return ship(docs).mapInPandas(clean, docs.schema)
 
