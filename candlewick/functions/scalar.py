@@ -41,12 +41,13 @@ def sentiment_bucket(value: str) -> Column:
     return F.expr(bucket_case(f"`{value}`"))
 
 
-def checked_interval(interval: Column) -> Column:
-    """The interval itself; an interval the exchange does not know fails the query."""
+def known_interval(interval: Column) -> Column:
+    """A filter that every row passes; an interval the exchange does not know fails the query.
+
+    A filter, as an unused column would be dropped together with its check.
+    """
     complaint = F.concat(F.lit("Invalid interval: "), F.coalesce(interval, F.lit("null")))
-    return F.when(interval.isin(*VALID_INTERVALS), interval).otherwise(
-        F.raise_error(complaint).cast("string")
-    )
+    return F.when(interval.isin(*VALID_INTERVALS), True).otherwise(F.raise_error(complaint).cast("boolean"))
 
 
 def millis_to_timestamp(ms: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.contracts import KLINE_PAGE_SIZE, KLINES, MARKET_CHART, SENTIMENT_INDEX
 from candlewick.functions.scalar import (
-    checked_interval,
+    known_interval,
     millis_to_timestamp,
     seconds_to_date,
     sentiment_bucket,
@@ -45,10 +45,13 @@ def _fields(schema: str) -> Column:
     return F.inline(F.array(_json(schema)))
 
 
-def _required(name: str) -> Column:
-    """The column, or a failed job if the document lacks it."""
-    complaint = F.concat(F.lit(f"Missing key '{name}' in payload "), F.col("payload_id"))
-    return F.coalesce(F.col(name), F.raise_error(complaint))
+def _complete(documents: DataFrame, *names: str) -> DataFrame:
+    """The documents; the job fails if one lacks a key, also if its column isn't used later."""
+    for name in names:
+        complaint = F.concat(F.lit(f"Missing key '{name}' in payload "), F.col("payload_id"))
+        missing = F.raise_error(complaint).cast("boolean")
+        documents = documents.filter(F.when(F.col(name).isNotNull(), True).otherwise(missing))
+    return documents
 
 
 def parse_klines(landing: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def parse_klines(landing: DataFrame) -> DataFrame:
     Positions: 0 open time ms, 1-4 open/high/low/close, 5 volume, 6 close time ms, 7 quote volume,
     8 trades, 9-10 taker buy volumes, 11 unused.  An unknown interval fails the job.
     """
-    bars = landing.select(
+    bars = landing.filter(known_interval(F.col("interval"))).select(
         F.col("entity").alias("symbol"),
         "interval",
         F.col("fetched_at").alias("ingested_at"),
@@ -72,7 +75,7 @@ def parse_klines(landing: DataFrame) -> DataFrame:
         millis_to_timestamp(bar[0]).alias("open_time"),
         millis_to_timestamp(bar[6]).alias("close_time"),
         "symbol",
-        checked_interval(F.col("interval")).alias("interval"),
+        "interval",
         number(1, "open"),
         number(2, "high"),
         number(3, "low"),
@@ -136,15 +139,14 @@ def parse_market_chart(landing: DataFrame) -> DataFrame:
     by (document, timestamp) in one shuffle: timestamps that a list lacks drop out, repeated ones
     multiply.  A document takes exactly one of the two ways.
     """
-    lists = landing.select(
+    names = ("prices", "market_caps", "total_volumes")
+    documents = landing.select(
         "payload_id",
         F.col("entity").alias("coin_id"),
         F.col("fetched_at").alias("ingested_at"),
         _fields(_CHART_BODY),
-    ).select(
-        "payload_id", "coin_id", "ingested_at",
-        *(_required(name).alias(name) for name in ("prices", "market_caps", "total_volumes")),
     )
+    lists = _complete(documents, *names).select("payload_id", "coin_id", "ingested_at", *names)
     times = lambda name: F.transform(F.col(name), lambda point: point[0])
     is_aligned = F.coalesce(
         (times("prices") == times("market_caps"))
@@ -224,23 +226,25 @@ def parse_ohlc(landing: DataFrame) -> DataFrame:
 
 def parse_metadata(landing: DataFrame) -> DataFrame:
     """Coin documents to one row each; ``name`` and ``symbol`` are required, the rest is optional."""
-    return landing.select(
+    documents = landing.select(
         "payload_id", F.col("entity").alias("coin_id"), "fetched_at", _fields(_METADATA_BODY)
-    ).select(
+    )
+    return _complete(documents, "name", "symbol", "market_data").select(
         "coin_id",
-        _required("name").alias("name"),
-        _required("symbol").alias("symbol"),
+        "name",
+        "symbol",
         "genesis_date",
         "hashing_algorithm",
-        _required("market_data")["market_cap_rank"].alias("market_cap_rank"),
+        F.col("market_data")["market_cap_rank"].alias("market_cap_rank"),
         "fetched_at",
     )
 
 
 def _index_documents(landing: DataFrame) -> DataFrame:
-    return landing.select(
+    documents = landing.select(
         "payload_id", F.col("fetched_at").alias("ingested_at"), _fields(_INDEX_BODY)
-    ).select("ingested_at", _required("data").alias("data"))
+    )
+    return _complete(documents, "data").select("ingested_at", "data")
 
 
 def _index_rows(entries: DataFrame) -> DataFrame:

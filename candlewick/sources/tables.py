@@ -113,17 +113,17 @@ def event_candles(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
 def lineitem_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per ship day: turnover, quantity and the discount index of the last line item; one scan.
 
-    Order, then line number, then the value itself decide which item is last.  The three are packed
-    into one long (line numbers are below 8, values below 128), so a plain ``max`` finds it.
+    Order, then line number, then the value itself decide which item is last; they are compared as
+    they are, whatever their sizes.
     """
-    packed = f"(l_orderkey * 8 + l_linenumber) * 128 + {DISCOUNT_INDEX}"
+    last = f"struct(l_orderkey, l_linenumber, {DISCOUNT_INDEX} AS value)"
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.expr("to_date(l_shipdate) AS date_day"))
         .agg(
             F.expr("sum(CAST(floor(l_extendedprice + 0.5) AS DOUBLE)) AS market_cap_usd"),
             F.expr("sum(l_quantity) AS volume_usd"),
-            F.expr(f"max({packed}) % 128 AS fear_greed_value"),
+            F.expr(f"max({last}).value AS fear_greed_value"),
         )
     )
 

@@ -95,6 +95,8 @@ def test_klines_pages_are_unioned_and_typed(spark):
 def test_unknown_interval_fails(spark):
     with pytest.raises(Exception, match="Invalid interval: 7d"):
         payloads.parse_klines(klines(spark, [kline(DAY1)], interval="7d")).collect()
+    with pytest.raises(Exception, match="Invalid interval: 7d"):  # also where the column isn't used
+        payloads.parse_klines(klines(spark, [kline(DAY1)], interval="7d")).select("close").collect()
 
 
 def test_page_coverage(spark):

@@ -5,8 +5,9 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from candlewick import catalog, catalog_sql
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog_sql.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_has_rows_and_a_stable_schema(spark):

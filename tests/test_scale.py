@@ -40,9 +40,20 @@ def test_full_mart_scans_each_raw_table_once(spark):
 
 
 def test_candles_and_days_use_hash_aggregation(spark):
-    for rows in (tables.order_candles(spark, SF_DIR), tables.lineitem_days(spark, SF_DIR)):
-        plan = plan_of(rows)
-        assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    plan = plan_of(tables.order_candles(spark, SF_DIR))
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
+def test_last_discount_of_a_day_has_no_size_limit(spark, tmp_path):
+    rows = [(1, 9, 0.05), (2, 1, 0.02), (3, 2, 0.13), (3, 1, 0.01)]
+    days = {1: "1998-01-01", 2: "1998-01-01", 3: "1998-01-02"}
+    items = spark.createDataFrame([(o, n, d, days[o]) for o, n, d in rows], "o long, n int, d double, day string")
+    real = tables.table(spark, SF_DIR, "lineitem")
+    values = {"l_orderkey": "o", "l_linenumber": "n", "l_discount": "d", "l_shipdate": "day", "l_extendedprice": "100", "l_quantity": "1"}
+    columns = [F.expr(f"CAST({v} AS {dict(real.dtypes)[c]}) AS {c}") for c, v in values.items()]
+    items.select(*columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = tables.lineitem_days(spark, str(tmp_path)).orderBy("date_day").collect()
+    assert [r["fear_greed_value"] for r in found] == [20, 130]
 
 
 def test_large_sides_are_joined_without_broadcast(spark):
