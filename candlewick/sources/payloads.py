@@ -46,11 +46,16 @@ def _fields(schema: str) -> Column:
 
 
 def _complete(documents: DataFrame, *names: str) -> DataFrame:
-    """The documents; the job fails if one lacks a key, also if its column isn't used later."""
+    """The documents; the job fails if one lacks a key.
+
+    The filter holds where a column isn't used later, the column itself where the optimizer would
+    drop rows without it first.
+    """
     for name in names:
         complaint = F.concat(F.lit(f"Missing key '{name}' in payload "), F.col("payload_id"))
-        missing = F.raise_error(complaint).cast("boolean")
-        documents = documents.filter(F.when(F.col(name).isNotNull(), True).otherwise(missing))
+        missing = F.raise_error(complaint)
+        present = F.when(F.col(name).isNotNull(), True).otherwise(missing.cast("boolean"))
+        documents = documents.filter(present).withColumn(name, F.coalesce(name, missing))
     return documents
 
 
