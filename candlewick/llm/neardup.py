@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .charmodel import blocks
 from .common import map_texts, read, ship, sized, stored, whole_text
 
 WORDS, THRESHOLD = 5, 0.8
@@ -63,23 +64,25 @@ LOG_C, R, INVERSE_R, BETA = _tables()
 SEEDS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def shingled(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, counts) of the distinct shingles of each text; a text of fewer words has one."""
-    split = [t.split() for t in texts]
-    flat = [w for words in split for w in words]
-    hashes = pd.util.hash_array(np.array(flat, object), categorize=False) if flat else np.zeros(0, np.uint64)
-    out, at = [], 0
-    for words in split:
-        n = len(words)
-        own = hashes[at : at + n]
-        at += n
-        size = min(n, WORDS)
-        h = np.full(max(0, n - size + 1) if n else 0, size, np.uint64)
-        with np.errstate(over="ignore"):
-            for i in range(size):
-                h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(h)])
-        out.append(np.unique(h, return_counts=True))
-    return out
+def shingled(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, counts) of the distinct shingles of each text; a text of fewer words has one.
+
+    Texts are split some at a time, as words take much more memory than their text.
+    """
+    for group in blocks(texts):
+        split = [t.split() for t in group]
+        flat = [w for words in split for w in words]
+        hashes = pd.util.hash_array(np.array(flat, object), categorize=False) if flat else np.zeros(0, np.uint64)
+        at = 0
+        for n in map(len, split):
+            own = hashes[at : at + n]
+            at += n
+            size = min(n, WORDS)
+            h = np.full(max(0, n - size + 1) if n else 0, size, np.uint64)
+            with np.errstate(over="ignore"):
+                for i in range(size):
+                    h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(h)])
+            yield np.unique(h, return_counts=True)
 
 
 def features(hashes: np.ndarray) -> np.ndarray:
