@@ -36,6 +36,16 @@ SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
 
 
+def plain(word: str) -> tuple[str, ...]:
+    """Parts with the same ids as a word: a full stop or comma after a letter is a token of its own, and
+    the tokenizer folds case, so words that differ in these are encoded once."""
+    if "A" <= word[:1] <= "Z":
+        word = word[0].lower() + word[1:]
+    # letters below U+0130 stay one letter when they are composed and folded
+    ends = word[-1:] in (".", ",") and word[-2:-1].isalpha() and word[-2] < "\u0130"
+    return (word[:-1], word[-1]) if ends else (word,)
+
+
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit numbers")
 
@@ -58,9 +68,12 @@ class Encoder:
         if None in parts:
             if len(memo) > MEMO_WORDS:
                 memo.clear()
-            new = list(dict.fromkeys(w for w, ids in zip(words, parts, strict=True) if ids is None))
-            for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                memo[word] = array("I", coded.ids).tobytes()
+            new = {w: plain(w) for w, ids in zip(words, parts, strict=True) if ids is None}
+            stems = list(dict.fromkeys(s for own in new.values() for s in own if s not in memo))
+            for stem, coded in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False), strict=True):
+                memo[stem] = array("I", coded.ids).tobytes()
+            for word, own in new.items():
+                memo[word] = b"".join([memo[s] for s in own])
             parts = [memo[w] if ids is None else ids for w, ids in zip(words, parts, strict=True)]
         return b"".join(parts)
 

@@ -255,6 +255,8 @@ def test_packing_is_an_exact_round_trip(docs, texts):
         assert own.offset.tolist() == [0, *own.length.cumsum()[:-1]] and own.length.sum() <= 4096
     used = found.groupby("sequence_id").length.sum()
     assert sum(0 if n & (n - 1) == 0 else 4096 - n for n in used) < 0.02 * used.sum()
+    odd = "A. B, 'S. it's, É. e\u0301. Á, x<|endoftext|>, ., ,. a.. 日本. İ. Σ. ΟΔΟΣ, \u0958. ²."
+    assert tokenizer.encode(odd, add_special_tokens=False).ids == list(np.frombuffer(packing.encoder(path).encode(odd), "<u4"))
     assert tokenizer.encode("a<|endoftext|>b\x1cc", add_special_tokens=False).ids == list(
         np.frombuffer(packing.encoder(path).encode("a<|endoftext|>b\x1cc"), "<u4")
     )
