@@ -237,19 +237,23 @@ def _nulls(columns: str) -> list[tuple[str, str, str]]:
 
 _LABELS = "(" + ", ".join(f"'{label}'" for _, _, label in SENTIMENT_RANGES) + ")"
 
-_KLINE_SUITE = _suite("binance", "candles", [
-    ("in_set", "symbol", "symbol NOT IN ('F', 'O')"),
-    ("in_set", "interval", "\"interval\" NOT IN ('1d')"),
-    *_nulls("open"),
-    ("positive", "open", "open <= 0"),
-    ("positive", "high", "high <= 0"),
-    ("positive", "low", "low <= 0"),
-    *_nulls("close"),
-    ("positive", "close", "close <= 0"),
-    ("at_least", "high,low", "high < low"),
-    *_nulls("volume"),
-    ("between", "volume", "volume < 0"),
-])
+def _kline_suite(table: str, symbols: str, interval: str) -> str:
+    return _suite("binance", table, [
+        ("in_set", "symbol", f"symbol NOT IN ({symbols})"),
+        ("in_set", "interval", f"\"interval\" NOT IN ('{interval}')"),
+        *_nulls("open"),
+        ("positive", "open", "open <= 0"),
+        ("positive", "high", "high <= 0"),
+        ("positive", "low", "low <= 0"),
+        *_nulls("close"),
+        ("positive", "close", "close <= 0"),
+        ("at_least", "high,low", "high < low"),
+        *_nulls("volume"),
+        ("between", "volume", "volume < 0"),
+    ])
+
+
+_KLINE_SUITE = _kline_suite("candles", "'F', 'O'", "1d")
 _CHART_SUITE = _suite("coingecko", "chart", [
     *_nulls("date coin_id"),
     ("in_set", "coin_id", "coin_id NOT IN ('basket')"),
@@ -272,8 +276,26 @@ _SHIFTED = f"""
     FROM (SELECT *, fear_greed_value + (date_part('hour', ingested_at) - 2) * 20 AS shifted
           FROM mood_ingests)"""
 
-_SUITES = f"""SELECT *, n_bad = 0 AS success FROM (
-    {_KLINE_SUITE} UNION ALL {_CHART_SUITE} UNION ALL {_MOOD_SUITE})"""
+_SUITES = f"""SELECT *, n_bad = 0 AS success, CASE source WHEN 'binance' THEN 'klines_1d'
+        WHEN 'coingecko' THEN 'market_chart' ELSE 'index' END AS dataset
+    FROM ({_KLINE_SUITE} UNION ALL {_CHART_SUITE} UNION ALL {_MOOD_SUITE})"""
+
+
+def _gated(interval: str, table: str) -> str:
+    """The candle suite over one stored run; the SQL of a positive or bounded check passes nulls."""
+    suite = _kline_suite(table, "'F', 'O', 'P'", interval)
+    return f"""
+        SELECT *, n_bad = 0 AS success, 'klines_{interval}' AS dataset,
+               'bronze/binance/klines_{interval}/year=2024/month=03/day=09/klines_{interval}'
+                   || '_20240309_083000.parquet' AS path
+        FROM ({suite})"""
+
+
+_FAULTY_HOURS = """
+    SELECT * REPLACE (close - 100000 AS close,
+                      CASE WHEN num_trades > 1 THEN low - 1 ELSE high END AS high,
+                      CASE WHEN volume > 20 THEN NULL ELSE volume END AS volume)
+    FROM candles_1h"""
 
 _SILVER_KLINES = f"""
     SELECT {KLINE_KEYS}, close, volume, quote_volume FROM candles
@@ -548,11 +570,16 @@ ORACLES: dict[str, str] = {
         FROM (SELECT * REPLACE (close - 20000 AS close, volume - 5 AS volume) FROM candle_ingests)
         WHERE close <= 0 OR volume < 0 OR quote_volume < 0"""),
     "suite_results": with_tables("candles chart mood_ingests shifted", _SUITES, shifted=_SHIFTED),
+    "gate_failures": with_tables(
+        "candles candles_1h faulty_hours",
+        f"{_gated('1d', 'candles')} UNION ALL {_gated('1h', 'faulty_hours')}",
+        faulty_hours=_FAULTY_HOURS,
+    ),
     "gate_outcomes": with_tables("candles chart mood_ingests shifted", f"""
-        SELECT source, count(*) FILTER (NOT success AND severity = 'error') = 0 AS success,
+        SELECT source, dataset, count(*) FILTER (NOT success AND severity = 'error') = 0 AS success,
                count(*) FILTER (NOT success AND severity = 'error') AS n_failed,
                count(*) FILTER (NOT success AND severity = 'warn') AS n_warned
-        FROM ({_SUITES}) GROUP BY source""", shifted=_SHIFTED),
+        FROM ({_SUITES}) GROUP BY source, dataset""", shifted=_SHIFTED),
     "output_test_results": with_tables(
         "mood_corr anomalies event_1h silver_klines",
         f"SELECT *, n_bad = 0 AS success FROM ({_OUTPUT_TESTS})",

@@ -1,13 +1,14 @@
 """Data quality: row rules compiled into one aggregation, suites, output tests and the gate.
 
 All row rules of a suite become ``count_if`` columns of a single ``agg``: one scan with map-side
-partial results, whatever the number of rules.  Results have one row per rule: source, rule,
-column, severity, n_rows, n_bad, success.
+partial results, whatever the number of rules.  Results have one row per rule: source, dataset, path,
+rule, column, severity, n_rows, n_bad, success; dataset and path are null where rows were not read
+from a stored run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
@@ -25,6 +26,7 @@ from candlewick.config import as_utc, run_partition
 from candlewick.contracts import (
     DEFAULT_COINS,
     DEFAULT_SYMBOLS,
+    GRAINS,
     SENTIMENT_BUCKETS,
     STORED_INTERVALS,
     DatasetSpec,
@@ -181,27 +183,45 @@ def suite_for(source: str, **parameters) -> Suite:
 # ---------------------------------------------------------------------------------------------
 
 
-def _result(source: str, rule: str, column: str, severity: str, n_rows: str, n_bad: str) -> str:
+def _text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _result(
+    source: str, rule: str, column: str, severity: str, n_rows: str, n_bad: str,
+    dataset: str | None = None, path: str | None = None,
+) -> str:
     return (
-        f"named_struct('source', '{source}', 'rule', '{rule}', 'column', '{column}', "
+        f"named_struct('source', '{source}', 'dataset', {_text(dataset)}, 'path', {_text(path)}, "
+        f"'rule', '{rule}', 'column', '{column}', "
         f"'severity', '{severity}', 'n_rows', {n_rows}, 'n_bad', {n_bad}, 'success', {n_bad} = 0)"
     )
 
 
-def evaluate(rows: DataFrame, suite: Suite) -> DataFrame:
-    """One result row per rule, from a single aggregation over the rows."""
+def evaluate(
+    rows: DataFrame, suite: Suite, dataset: str | None = None, path: str | None = None
+) -> DataFrame:
+    """One result row per rule, from a single aggregation over the rows.
+
+    ``dataset`` and ``path`` say what was checked; datasets of one source are told apart by them.
+    """
     schema = rows.schema
     counts = [
         F.expr(f"count_if({rule.violation(schema)}) AS bad_{i}")
         for i, rule in enumerate(suite.rules)
     ]
     results = [
-        _result(suite.source, rule.name, rule.column, rule.severity, "total", f"bad_{i}")
+        _result(suite.source, rule.name, rule.column, rule.severity, "total", f"bad_{i}", dataset, path)
         for i, rule in enumerate(suite.rules)
     ]
     if suite.min_rows > 0:
         short = f"greatest({suite.min_rows} - total, 0L)"
-        results.insert(0, _result(suite.source, "row_count", "*", ERROR, "total", short))
+        results.insert(
+            0, _result(suite.source, "row_count", "*", ERROR, "total", short, dataset, path)
+        )
     totals = rows.agg(F.expr("count(*) AS total"), *counts)
     return totals.selectExpr(f"inline(array({', '.join(results)}))")
 
@@ -245,54 +265,83 @@ def implausible_candles(silver_klines: DataFrame) -> DataFrame:
     return silver_klines.filter(IMPLAUSIBLE)
 
 
-def output_tests(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
-    """The 38 tests on Silver and Gold; the keys of ``tables`` are those of ``contracts.GRAINS``."""
-    chart, klines = tables["silver_market_chart"], tables["silver_klines"]
-    mood, daily = tables["silver_sentiment"], tables["daily_enriched"]
-    price = tables["mart_price_analysis"]
-    corr = tables["mart_sentiment_correlation"]
-    volume = tables["mart_volume_anomalies"]
+def output_tests(
+    tables: dict[str, DataFrame], as_of: date, only: Collection[str] | None = None
+) -> DataFrame:
+    """The 38 tests on Silver and Gold; the keys of ``tables`` are those of ``contracts.GRAINS``.
+
+    ``only`` names the tables whose tests are wanted; these tables and the ones that they refer to
+    have to be there.
+    """
+
+    def row_tests(name: str, *rules: Rule) -> DataFrame:
+        return evaluate(tables[name], Suite(name, rules, min_rows=0))
 
-    def row_tests(name: str, frame: DataFrame, *rules: Rule) -> DataFrame:
-        return evaluate(frame, Suite(name, rules, min_rows=0))
+    def grain(name: str) -> DataFrame:
+        return check_unique(tables[name], GRAINS[name], name)
+
+    def days_of(name: str, parent: str) -> DataFrame:
+        return check_relationship(tables[name], "date_day", tables[parent], name)
 
     def keys(*names: str) -> list[Rule]:
         return [not_null(name, nan_is_null=False) for name in names]
 
+    def no_stale_day() -> DataFrame:
+        stale = stale_days(tables["mart_price_analysis"], as_of)
+        found = stale.select(F.lit(1).cast("bigint").alias("n_rows"))
+        return _check("mart_price_analysis", "freshness", "date_day", WARN, found)
+
+    def one_row_a_day() -> DataFrame:
+        known = tables["silver_sentiment"].filter("date_day IS NOT NULL")
+        return check_unique(known, ["date_day"], "silver_sentiment", rule="unique")
+
     plausible = Rule("plausible", "close,volume,quote_volume", lambda schema: IMPLAUSIBLE)
-    stale = stale_days(price, as_of).select(F.lit(1).cast("bigint").alias("n_rows"))
-    results = [
-        row_tests("silver_market_chart", chart, *keys("date_day", "coin_id", "price_usd", "volume_usd")),
-        row_tests(
-            "silver_klines", klines,
-            *keys("open_time", "symbol", "interval", "close", "volume"),
-            in_set("interval", STORED_INTERVALS),
-            plausible,
-        ),
-        row_tests(
-            "silver_sentiment", mood,
-            *keys("date_day", "fear_greed_value", "sentiment_label", "sentiment_bucket"),
-            in_set("sentiment_label", SENTIMENT_BUCKETS, severity=WARN),
-            in_set("sentiment_bucket", SENTIMENT_BUCKETS),
-            between("fear_greed_value", low=0, high=100),
-        ),
-        row_tests("daily_enriched", daily, *keys("date_day", "symbol", "close")),
-        row_tests("mart_price_analysis", price, *keys("date_day", "symbol", "close")),
-        row_tests("mart_sentiment_correlation", corr, *keys("date_day", "symbol")),
-        row_tests("mart_volume_anomalies", volume, *keys("date_day", "symbol", "is_volume_anomaly")),
-        check_unique(
-            mood.filter("date_day IS NOT NULL"), ["date_day"], "silver_sentiment", rule="unique"
-        ),
-        check_unique(klines, ["symbol", "interval", "open_time"], "silver_klines"),
-        check_unique(chart, ["coin_id", "date_day"], "silver_market_chart"),
-        check_unique(daily, ["symbol", "date_day"], "daily_enriched"),
-        check_unique(price, ["symbol", "date_day"], "mart_price_analysis"),
-        check_relationship(price, "date_day", daily, "mart_price_analysis"),
-        check_relationship(corr, "date_day", price, "mart_sentiment_correlation"),
-        check_relationship(volume, "date_day", price, "mart_volume_anomalies"),
-        _check("mart_price_analysis", "freshness", "date_day", WARN, stale),
-    ]
-    return reduce(DataFrame.unionByName, results)
+    tests: dict[str, Callable[[str], list[DataFrame]]] = {
+        "silver_market_chart": lambda name: [
+            row_tests(name, *keys("date_day", "coin_id", "price_usd", "volume_usd")),
+            grain(name),
+        ],
+        "silver_klines": lambda name: [
+            row_tests(
+                name,
+                *keys("open_time", "symbol", "interval", "close", "volume"),
+                in_set("interval", STORED_INTERVALS),
+                plausible,
+            ),
+            grain(name),
+        ],
+        "silver_sentiment": lambda name: [
+            row_tests(
+                name,
+                *keys("date_day", "fear_greed_value", "sentiment_label", "sentiment_bucket"),
+                in_set("sentiment_label", SENTIMENT_BUCKETS, severity=WARN),
+                in_set("sentiment_bucket", SENTIMENT_BUCKETS),
+                between("fear_greed_value", low=0, high=100),
+            ),
+            one_row_a_day(),
+        ],
+        "daily_enriched": lambda name: [
+            row_tests(name, *keys("date_day", "symbol", "close")),
+            grain(name),
+        ],
+        "mart_price_analysis": lambda name: [
+            row_tests(name, *keys("date_day", "symbol", "close")),
+            grain(name),
+            days_of(name, "daily_enriched"),
+            no_stale_day(),
+        ],
+        "mart_sentiment_correlation": lambda name: [
+            row_tests(name, *keys("date_day", "symbol")),
+            days_of(name, "mart_price_analysis"),
+        ],
+        "mart_volume_anomalies": lambda name: [
+            row_tests(name, *keys("date_day", "symbol", "is_volume_anomaly")),
+            days_of(name, "mart_price_analysis"),
+        ],
+    }
+    wanted = [name for name in tests if only is None or name in only]
+    results = [result for name in wanted for result in tests[name](name)]
+    return reduce(DataFrame.unionByName, results).drop("dataset", "path")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -362,10 +411,14 @@ def profile(rows: DataFrame, spec: DatasetSpec) -> Profile:
 
 
 def outcomes(results: DataFrame) -> DataFrame:
-    """(source, success, n_failed, n_warned): warnings are reported but do not fail a source."""
+    """(source, dataset, success, n_failed, n_warned): warnings are reported but fail nothing.
+
+    Results without a dataset (output tests) are summed up by source alone.
+    """
     failed = ~F.col("success") & (F.col("severity") == ERROR)
     warned = ~F.col("success") & (F.col("severity") == WARN)
-    return results.groupBy("source").agg(
+    checked = [name for name in ("source", "dataset") if name in results.columns]
+    return results.groupBy(*checked).agg(
         (F.count_if(failed) == 0).alias("success"),
         F.count_if(failed).alias("n_failed"),
         F.count_if(warned).alias("n_warned"),
@@ -373,12 +426,15 @@ def outcomes(results: DataFrame) -> DataFrame:
 
 
 def enforce(results: DataFrame) -> None:
-    """Stop the run if any source has a failed error rule (a handful of rows reach the driver)."""
-    bad = sorted(
-        row["source"] for row in outcomes(results).filter(~F.col("success")).collect()
-    )
-    if bad:
-        raise QualityGateError(f"Data-quality checks failed for: {bad}", bad)
+    """Stop the run if any source has a failed error rule (one row per dataset reaches the driver)."""
+    rows = [row.asDict() for row in outcomes(results).filter(~F.col("success")).collect()]
+    if rows:
+        names = sorted(
+            f"{row['source']}/{row['dataset']}" if row.get("dataset") else row["source"] for row in rows
+        )
+        raise QualityGateError(
+            f"Data-quality checks failed for: {names}", sorted({row["source"] for row in rows})
+        )
 
 
 def gate(
@@ -398,7 +454,10 @@ def gate(
         raise QualityGateError(f"No Bronze run was written for: {missing}", missing)
     results = reduce(
         DataFrame.unionByName,
-        [evaluate(read_run(spark, written[name]), suite) for name, suite in suites.items()],
+        [
+            evaluate(read_run(spark, written[name]), suite, name, written[name])
+            for name, suite in suites.items()
+        ],
     )
     if results_uri:
         stamped = results.withColumn("run_ts", F.lit(as_utc(run_ts)))

@@ -6,10 +6,11 @@ called again with the same ``run_ts`` and replaces what it wrote before.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,6 +45,11 @@ from candlewick.sources.payloads import (
 )
 
 BronzeReader = Callable[[SparkSession, LakeConfig, DatasetSpec], DataFrame]
+# Called with all tables built so far and the names of the newest; it raises to stop a transform.
+TableCheck = Callable[[dict[str, DataFrame], Collection[str]], None]
+# A half-open span of fetch times.
+Span = tuple[datetime, datetime]
+FETCH_DATE = "fetch_date"
 # The daily models read one interval only and must not scan the hourly candles.
 TABLE_PARTITIONS = {"silver_klines": ("interval",)}
 INGEST_LOG = (
@@ -65,6 +71,22 @@ def _payloads(landing: DataFrame, spec: DatasetSpec) -> DataFrame:
     return landing.filter((F.col("source") == spec.source) & (F.col("dataset") == spec.dataset))
 
 
+def fetched_within(landing: DataFrame, span: Span | None) -> DataFrame:
+    """Payload documents fetched in a span (all without one).
+
+    Where the landing table is partitioned by ``fetch_date`` (UTC), other dates are never read, so a
+    run neither parses old documents nor fails on a malformed one among them.
+    """
+    if span is None:
+        return landing
+    start, end = (as_utc(moment) for moment in span)
+    chosen = landing.filter((F.col("fetched_at") >= F.lit(start)) & (F.col("fetched_at") < F.lit(end)))
+    if FETCH_DATE in landing.columns:
+        last = (end - timedelta(microseconds=1)).date()
+        chosen = chosen.filter(F.col(FETCH_DATE).between(F.lit(start.date()), F.lit(last)))
+    return chosen
+
+
 def parse_dataset(landing: DataFrame, dataset: str) -> DataFrame:
     return _parser(dataset)(_payloads(landing, dataset_spec(dataset)))
 
@@ -104,9 +126,11 @@ def transform(
     cfg: LakeConfig,
     coin_of_symbol: DataFrame | None = None,
     reader: BronzeReader = read_bronze,
+    check: TableCheck | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild Silver, the enriched table and the marts from all of Bronze.
 
+    ``check`` sees each step's tables before the next step replaces anything.
     ``reader`` is ``read_bronze`` for trees written here; use ``drift.read_drifted`` for trees that
     (also) hold files of other writers.
     """
@@ -115,30 +139,34 @@ def transform(
     def bronze(dataset: str) -> DataFrame:
         return reader(spark, cfg, dataset_spec(dataset))
 
-    def rebuild(layer: str, **tables: DataFrame) -> dict[str, DataFrame]:
-        uris = {name: table_uri(cfg, layer, name) for name in tables}
+    tables: dict[str, DataFrame] = {}
+
+    def rebuild(layer: str, **frames: DataFrame) -> None:
+        uris = {name: table_uri(cfg, layer, name) for name in frames}
         stored = materialise_all(
-            {uris[name]: rows for name, rows in tables.items()},
-            {uris[name]: TABLE_PARTITIONS.get(name, ()) for name in tables},
+            {uris[name]: rows for name, rows in frames.items()},
+            {uris[name]: TABLE_PARTITIONS.get(name, ()) for name in frames},
         )
-        return {name: stored[uri] for name, uri in uris.items()}
+        tables.update({name: stored[uri] for name, uri in uris.items()})
+        if check is not None:
+            check(tables, list(frames))
 
-    tables = rebuild(
+    rebuild(
         "silver",
         silver_klines=silver_klines(bronze("klines_1d"), bronze("klines_1h")),
         silver_market_chart=silver_market_chart(bronze("market_chart")),
         silver_sentiment=silver_sentiment(bronze("index")),
     )
-    tables |= rebuild(
+    rebuild(
         "silver",
         daily_enriched=daily_enriched(
             tables["silver_klines"], tables["silver_market_chart"], tables["silver_sentiment"],
             coin_of_symbol,
         ),
     )
-    tables |= rebuild("gold", mart_price_analysis=price_analysis(tables["daily_enriched"]))
+    rebuild("gold", mart_price_analysis=price_analysis(tables["daily_enriched"]))
     price = tables["mart_price_analysis"]
-    tables |= rebuild(
+    rebuild(
         "gold",
         mart_sentiment_correlation=sentiment_correlation(price),
         mart_volume_anomalies=volume_anomalies(price),
@@ -181,12 +209,17 @@ def daily_slice(landing: DataFrame, dataset: str, day: date) -> DataFrame:
 
 
 def ingest_day(
-    spark: SparkSession, landing: DataFrame, cfg: LakeConfig, run_ts: datetime
+    spark: SparkSession,
+    landing: DataFrame,
+    cfg: LakeConfig,
+    run_ts: datetime,
+    fetched: Span | None = None,
 ) -> dict[str, str]:
     """Write one logical date of every dataset; the path is "" where the date has no rows."""
+    documents = fetched_within(landing, fetched)
 
     def ingest(spec: DatasetSpec) -> Callable[[], WriteReceipt | None]:
-        rows = daily_slice(landing, spec.dataset, as_utc(run_ts).date())
+        rows = daily_slice(documents, spec.dataset, as_utc(run_ts).date())
         return lambda: write_bronze_if_any(rows, cfg, spec, run_ts)
 
     receipts = _in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
@@ -220,24 +253,35 @@ def run_daily(
     sink=None,
     as_of: date | None = None,
     reader: BronzeReader = read_bronze,
+    fetched: Span | None = None,
 ) -> dict[str, DataFrame]:
     """Ingest one date, gate it, rebuild the models, test them and publish the marts.
 
-    A failing gate raises before any model is touched; failing output tests raise before
-    anything is published.  Both leave their results in the ``dq_results`` tables.
+    A failing gate raises before any model is touched.  Each step's tables are tested before the
+    next step: a failing Silver test leaves Gold and the serving store as they were.  Both leave
+    their results in the quality tables.  ``fetched`` limits the run to the documents of a span.
     """
     prepare_session(spark)
-    written = ingest_day(spark, landing, cfg, run_ts)
+    written = ingest_day(spark, landing, cfg, run_ts, fetched)
     input_results = gate(
         spark, written, dict(suites or default_suites()),
         table_uri(cfg, "quality", "input_results"), run_ts,
     )
-    tables = transform(spark, cfg, coin_of_symbol, reader)
-    output_results = materialise(
-        output_tests(tables, as_of or as_utc(run_ts).date()).withColumn("run_ts", F.lit(as_utc(run_ts))),
-        run_partition(table_uri(cfg, "quality", "output_results"), run_ts),
-    ).drop("run_ts")
-    enforce(output_results)
+    results_uri = run_partition(table_uri(cfg, "quality", "output_results"), run_ts)
+    steps: list[DataFrame] = []
+
+    def check(tables: dict[str, DataFrame], names: Collection[str]) -> None:
+        found = output_tests(tables, as_of or as_utc(run_ts).date(), names)
+        stamped = found.withColumns({"run_ts": F.lit(as_utc(run_ts)), "step": F.lit(len(steps))})
+        # the first step replaces what an earlier try of this run left, the others add to it
+        mode = "append" if steps else "overwrite"
+        stamped.write.mode(mode).partitionBy("step").parquet(results_uri)
+        kept = spark.read.schema(stamped.schema).parquet(results_uri)
+        steps.append(kept.filter(F.col("step") == len(steps)).drop("run_ts", "step"))
+        enforce(steps[-1])
+
+    tables = transform(spark, cfg, coin_of_symbol, reader, check)
+    output_results = reduce(DataFrame.unionByName, steps)
     if sink is not None:
         publish({name: tables[name] for name in MARTS}, sink)
     return {**tables, "input_results": input_results, "output_results": output_results}

@@ -149,8 +149,10 @@ def test_gate_keeps_results_of_a_failed_run(spark, tmp_path):
     uri = str(tmp_path / "results")
     with pytest.raises(q.QualityGateError) as stop:
         q.gate(spark, written, suites, uri, RUN)
-    assert stop.value.sources == ["coingecko"]
+    assert stop.value.sources == ["coingecko"] and "coingecko/market_chart" in str(stop.value)
     kept = spark.read.parquet(f"{uri}/run=20240309_083000")
+    named = {(r["dataset"], r["path"]) for r in kept.select("dataset", "path").distinct().collect()}
+    assert named == set(written.items())
     assert kept.count() == 15 and {r["run_ts"] for r in kept.select("run_ts").distinct().collect()} == {RUN}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from candlewick.config import dataset_uri, table_uri
 from candlewick.contracts import MARTS, dataset_spec
-from candlewick.operators.quality import QualityGateError
+from candlewick.operators.quality import QualityGateError, Suite
 from candlewick.plans import runs, serving
 from candlewick.sources import bronze
 from candlewick.sources.drift import read_drifted
@@ -156,3 +156,38 @@ def test_silver_absorbs_a_correction(spark, cfg):
     tables = runs.transform(spark, cfg)
     rows = tables["mart_price_analysis"].orderBy("date_day").collect()
     assert [(r["date_day"].day, r["close"]) for r in rows] == [(1, 50_000.0), (2, 43_000.0)]
+
+
+def test_failing_silver_tests_leave_gold_and_serving_alone(spark, cfg):
+    sink = serving.parquet_sink(spark, f"{cfg.root}/serving")
+    runs.run_daily(spark, cfg, all_payloads(spark), RUN, sink=sink)
+    uri = table_uri(cfg, "gold", "mart_price_analysis")
+    files = sorted(spark.read.parquet(uri).inputFiles())
+    served = sorted(spark.read.parquet(f"{cfg.root}/serving/mart_price_analysis").inputFiles())
+    broken = {"data": [{**INDEX["data"][0], "value": "150"}]}
+    lax = {name: Suite(name, ()) for name in runs.default_suites()}
+    with pytest.raises(QualityGateError) as stop:
+        runs.run_daily(spark, cfg, all_payloads(spark, index=broken), RUN, suites=lax, sink=sink)
+    assert stop.value.sources == ["silver_sentiment"]
+    assert sorted(spark.read.parquet(uri).inputFiles()) == files
+    assert sorted(spark.read.parquet(f"{cfg.root}/serving/mart_price_analysis").inputFiles()) == served
+    kept = spark.read.parquet(table_uri(cfg, "quality", "output_results"))
+    assert {r["source"] for r in kept.select("source").distinct().collect()} == {
+        "silver_klines", "silver_market_chart", "silver_sentiment",
+    }
+
+
+def test_a_run_reads_only_the_documents_of_its_span(spark, cfg, tmp_path):
+    old = landing(spark, "not json", "{", source="binance", dataset="klines_1d", interval="1d")
+    old = old.withColumn("fetched_at", F.expr("fetched_at - INTERVAL 3 DAYS"))
+    whole = all_payloads(spark).unionByName(old).withColumn("fetch_date", F.to_date("fetched_at"))
+    whole.write.partitionBy("dataset", "fetch_date").parquet(str(tmp_path / "landing"))
+    stored = spark.read.parquet(str(tmp_path / "landing"))
+    span = (datetime(2024, 3, 9), datetime(2024, 3, 10))
+    scan = next(x for x in plan_of(runs.fetched_within(stored, span)).splitlines() if "FileScan" in x)
+    assert "fetch_date" in scan.partition("PartitionFilters: ")[2].partition("]")[0]
+    assert runs.fetched_within(stored, span).count() == all_payloads(spark).count()
+    result = runs.run_daily(spark, cfg, stored, RUN, fetched=span)
+    assert result["mart_price_analysis"].count() == 1
+    with pytest.raises(Exception, match="(?i)malformed"):
+        runs.run_daily(spark, cfg, stored, RUN)
