@@ -448,7 +448,7 @@ def gate_failures(spark, sf_dir):
     hourly = tables.order_candles(spark, sf_dir, interval="1h").withColumns({
         "close": F.col("close") - 100000,
         "high": F.expr("if(num_trades > 1, low - 1, high)"),
-        "volume": F.expr("if(volume > 20, NULL, volume)"),
+        "volume": F.expr("if(volume > 100, NULL, volume)"),
     })
     faulty = {"klines_1d": tables.order_candles(spark, sf_dir), "klines_1h": hourly}
     written = {

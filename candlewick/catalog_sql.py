@@ -294,7 +294,7 @@ def _gated(interval: str, table: str) -> str:
 _FAULTY_HOURS = """
     SELECT * REPLACE (close - 100000 AS close,
                       CASE WHEN num_trades > 1 THEN low - 1 ELSE high END AS high,
-                      CASE WHEN volume > 20 THEN NULL ELSE volume END AS volume)
+                      CASE WHEN volume > 100 THEN NULL ELSE volume END AS volume)
     FROM candles_1h"""
 
 _SILVER_KLINES = f"""

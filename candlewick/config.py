@@ -56,6 +56,16 @@ class LakeConfig:
             options["spark.hadoop.fs.s3a.secret.key"] = self.secret_key
         return options
 
+    def arrow_options(self) -> dict[str, str]:
+        """The same store for Arrow's S3 file system, which reads footers; empty when local."""
+        if not self.endpoint_url:
+            return {}
+        scheme, _, host = self.endpoint_url.rpartition("://")
+        options = {"endpoint_override": host, "scheme": scheme or "https", "region": self.region}
+        if self.access_key and self.secret_key:
+            options |= {"access_key": self.access_key, "secret_key": self.secret_key}
+        return options
+
 
 def dataset_uri(cfg: LakeConfig, source: str, dataset: str, layer: str = "bronze") -> str:
     """Root of a dataset; the reader and the writer both use it."""
@@ -87,14 +97,16 @@ def run_partition(table: str, run_ts: datetime) -> str:
     return f"{table}/run={as_utc(run_ts):%Y%m%d_%H%M%S}"
 
 
-def prepare_session(spark: SparkSession) -> SparkSession:
-    """Session settings the contracts rely on.
+def prepare_session(spark: SparkSession, cfg: LakeConfig | None = None) -> SparkSession:
+    """Session settings the contracts rely on, and those of ``cfg``'s object store.
 
     UTC, because they cast between timestamps and dates; microsecond timestamps in Parquet, because
     Spark's default (INT96) carries no statistics, so ranges of time could not skip row groups.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    for name, value in (cfg.s3a_options() if cfg else {}).items():
+        spark.conf.set(name.removeprefix("spark.hadoop."), value)  # a session hands these to Hadoop
     return spark
 
 

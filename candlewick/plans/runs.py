@@ -134,7 +134,7 @@ def transform(
     ``reader`` is ``read_bronze`` for trees written here; use ``drift.read_drifted`` for trees that
     (also) hold files of other writers.
     """
-    prepare_session(spark)
+    prepare_session(spark, cfg)
 
     def bronze(dataset: str) -> DataFrame:
         return reader(spark, cfg, dataset_spec(dataset))
@@ -176,7 +176,7 @@ def transform(
 
 def stored_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """The Silver and Gold tables of the last transform, as stored."""
-    prepare_session(spark)
+    prepare_session(spark, cfg)
     return {
         name: spark.read.parquet(
             table_uri(cfg, "gold" if name.startswith("mart_") else "silver", name)
@@ -261,7 +261,7 @@ def run_daily(
     next step: a failing Silver test leaves Gold and the serving store as they were.  Both leave
     their results in the quality tables.  ``fetched`` limits the run to the documents of a span.
     """
-    prepare_session(spark)
+    prepare_session(spark, cfg)
     written = ingest_day(spark, landing, cfg, run_ts, fetched)
     input_results = gate(
         spark, written, dict(suites or default_suites()),
@@ -328,7 +328,7 @@ def run_backfill(
     specs: Sequence[DatasetSpec] = DATASETS,
 ) -> BackfillReport:
     """Write the full history of every dataset under the run date; Silver absorbs the overlap."""
-    prepare_session(spark)
+    prepare_session(spark, cfg)
     starts = since or {}
     outcome = _in_parallel({
         spec.dataset: (

@@ -98,7 +98,7 @@ def by_day(mart: DataFrame) -> DataFrame:
 
 def require_rows(mart: DataFrame, name: str) -> DataFrame:
     if mart.isEmpty():
-        raise EmptyMartError(f"{name} is empty. Run the ingestion and the transforms first.")
+        raise EmptyMartError(f"{name} is empty: no run has filled it yet")
     return mart
 
 
@@ -126,14 +126,18 @@ def kpi_latest(price: DataFrame) -> DataFrame:
     """The KPI row: values of the latest day and the newest ingestion of all, as display text.
 
     One aggregation without a sort; with several symbols the last symbol of the latest day counts.
+    An empty mart has no latest day: the query then fails instead of showing a row of nulls.
     """
     latest = F.struct("date_day", "symbol")
     return price.agg(
+        F.count(F.lit(1)).alias("n_rows"),
         F.max("date_day").alias("date_day"),
         F.max_by("close", latest).alias("close"),
         F.max_by("fear_greed_value", latest).alias("fear_greed_value"),
         F.max_by("volatility_30d_pct", latest).alias("volatility_30d_pct"),
         F.max("latest_ingested_at").alias("freshness"),
+    ).filter(
+        F.expr("IF(n_rows > 0, true, CAST(raise_error('The price mart is empty') AS BOOLEAN))")
     ).select("date_day", *_kpi_text())
 
 

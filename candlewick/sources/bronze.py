@@ -43,7 +43,7 @@ def write_bronze(
         F.min(spec.time_col).alias("min_time"),
         F.max(spec.time_col).alias("max_time"),
     )
-    prepare_session(df.sparkSession)
+    prepare_session(df.sparkSession, cfg)
     measured.write.mode("overwrite").parquet(path)
     counts = seen.get
     return WriteReceipt(path, counts["n_rows"], counts["min_time"], counts["max_time"])
@@ -70,6 +70,7 @@ def read_bronze(spark: SparkSession, cfg: LakeConfig, spec: DatasetSpec) -> Data
     drifting types go through ``candlewick.sources.drift`` instead.
     """
     uri = dataset_uri(cfg, spec.source, spec.dataset)
+    prepare_session(spark, cfg)
     return spark.read.schema(with_run_partitions(spec.schema)).parquet(uri)
 
 

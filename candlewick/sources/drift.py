@@ -8,7 +8,7 @@ the contract, and unioned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -22,31 +22,35 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from candlewick.config import LakeConfig, dataset_uri
+from candlewick.config import LakeConfig, dataset_uri, prepare_session
 from candlewick.contracts import RUN_PARTITIONS, DatasetSpec
 from candlewick.sources.bronze import with_run_partitions
 
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
-def footer_groups(spark: SparkSession, uri: str, schema: StructType) -> DataFrame:
+def footer_groups(
+    spark: SparkSession, uri: str, schema: StructType, store: Mapping[str, str] | None = None
+) -> DataFrame:
     """(storage, location): how the footers store the contract's columns, and where.
 
     Footers are read in parallel by the executors.  A run directory whose files agree is reported
     as one location; loose files (other writers store one per run) are reported one by one.
+    ``store`` holds the options of an S3-compatible store (``LakeConfig.arrow_options``).
     """
     wanted = list(schema.names)
 
     def storage_of(batches: Iterator) -> Iterator:
         import pyarrow.parquet as pq
-        from pyarrow.fs import FileSystem
+        from pyarrow.fs import FileSystem, S3FileSystem
 
-        def arrow_uri(path: str) -> str:
+        def located(path: str) -> tuple[FileSystem, str]:
             if path.startswith("s3a://"):
-                return "s3://" + path[len("s3a://"):]
+                inner = path[len("s3a://"):]
+                return (S3FileSystem(**store), inner) if store else FileSystem.from_uri(f"s3://{inner}")
             if path.startswith("file:"):
-                return "file://" + path[len("file:"):].replace("//", "", 1)
-            return path
+                path = "file://" + path[len("file:"):].replace("//", "", 1)
+            return FileSystem.from_uri(path)
 
         def kind(column) -> str:
             logical = str(column.logical_type)
@@ -57,7 +61,7 @@ def footer_groups(spark: SparkSession, uri: str, schema: StructType) -> DataFram
         for batch in batches:
             storage = []
             for path in batch["path"]:
-                fs, inner = FileSystem.from_uri(arrow_uri(path))
+                fs, inner = located(path)
                 with fs.open_input_file(inner) as handle:
                     footer = pq.read_metadata(handle).schema
                 found = {footer.column(i).name: kind(footer.column(i)) for i in range(len(footer))}
@@ -123,8 +127,9 @@ def read_drifted(spark: SparkSession, cfg: LakeConfig, spec: DatasetSpec) -> Dat
     setting that makes Spark read them as long; it is switched on when such files are found.
     """
     uri = dataset_uri(cfg, spec.source, spec.dataset)
+    prepare_session(spark, cfg)
     groups: dict[str, list[str]] = {}
-    for row in footer_groups(spark, uri, spec.schema).toLocalIterator():
+    for row in footer_groups(spark, uri, spec.schema, cfg.arrow_options()).toLocalIterator():
         groups.setdefault(row["storage"], []).append(row["location"])
     if not groups:
         return spark.createDataFrame([], with_run_partitions(spec.schema))

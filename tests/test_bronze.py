@@ -6,7 +6,7 @@ import pytest
 from helpers import chart_doc, landing, plan_of
 from pyspark.sql import functions as F
 
-from candlewick.config import LakeConfig, as_utc, dataset_uri, run_uri, shared_scratch
+from candlewick.config import LakeConfig, as_utc, dataset_uri, prepare_session, run_uri, shared_scratch
 from candlewick.contracts import dataset_spec
 from candlewick.sources import bronze, drift
 from candlewick.sources.payloads import parse_market_chart
@@ -186,3 +186,16 @@ def test_shared_scratch_uses_the_session_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_scratch(spark, "x"), shared_scratch(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_store_settings_reach_the_session_and_the_footer_reader(spark):
+    from pyarrow.fs import S3FileSystem
+
+    cfg = LakeConfig(endpoint_url="http://store:9000", access_key="a", secret_key="b")
+    session = spark.newSession()
+    prepare_session(session, cfg)
+    hadoop = session._jsparkSession.sessionState().newHadoopConf()
+    assert hadoop.get("fs.s3a.endpoint") == "http://store:9000" and hadoop.get("fs.s3a.secret.key") == "b"
+    assert cfg.arrow_options()["endpoint_override"] == "store:9000"
+    S3FileSystem(**cfg.arrow_options())
+    assert LakeConfig().arrow_options() == {}

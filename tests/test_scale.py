@@ -14,6 +14,7 @@ from candlewick.sources import tables
 STORED = {  # queries that write and read files while they are built
     "bronze_roundtrip", "schema_drift_read", "serving_publish", "run_summary", "daily_run",
     "tick_parse_stream", "tick_publish_stream", "output_test_results", "mart_row_counts",
+    "gate_failures",
 }
 
 

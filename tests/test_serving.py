@@ -115,3 +115,11 @@ def test_jdbc_sink_arguments():
             "(SELECT count(*) AS n_rows FROM public.mart_price_analysis) AS counted", {"user": "u"},
         ),
     ]
+
+
+def test_the_kpi_row_of_an_empty_mart_fails(spark):
+    columns = "date_day date, symbol string, close double, fear_greed_value int, volatility_30d_pct double, latest_ingested_at timestamp"
+    empty = spark.createDataFrame([], columns)
+    with pytest.raises(Exception, match="price mart is empty"):
+        serving.kpi_latest(empty).collect()
+    assert serving.kpi_by_symbol(empty).count() == 0
