@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DoubleType,
     FloatType,
@@ -38,12 +38,28 @@ ERROR, WARN = "error", "warn"
 IMPLAUSIBLE = "close <= 0 OR volume < 0 OR quote_volume < 0"
 
 
+@dataclass(frozen=True)
+class Failure:
+    """A rule that was broken, and how often."""
+
+    source: str
+    dataset: str | None
+    rule: str
+    column: str
+    n_bad: int
+
+    def __str__(self) -> str:
+        checked = f"{self.source}/{self.dataset}" if self.dataset else self.source
+        return f"{checked} {self.rule}({self.column}) x {self.n_bad}"
+
+
 class QualityGateError(RuntimeError):
-    """Raised when a gate stops a run; ``sources`` names what failed."""
+    """Raised when a gate stops a run; ``failures`` are the broken rules, ``sources`` theirs."""
 
-    def __init__(self, message: str, sources: Sequence[str]):
-        super().__init__(message)
-        self.sources = list(sources)
+    def __init__(self, failures: Sequence[Failure]):
+        super().__init__("; ".join(sorted(map(str, failures))))
+        self.failures = tuple(failures)
+        self.sources = sorted({failure.source for failure in failures})
 
 
 @dataclass(frozen=True)
@@ -118,6 +134,28 @@ def at_least(column: str, other: str, severity: str = ERROR) -> Rule:
     return Rule("at_least", f"{column},{other}", violation, severity)
 
 
+def required(column: str) -> Rule:
+    """The column exists; every row counts where it does not."""
+    return Rule(
+        "required", column, lambda schema: str(column not in schema.names).lower()
+    )
+
+
+def timestamp(column: str) -> Rule:
+    """The column is a timestamp, or absent (then ``required`` is its rule)."""
+
+    def violation(schema: StructType) -> str:
+        return str(column in schema.names and not _is_timestamp(schema, column)).lower()
+
+    return Rule("timestamp", column, violation)
+
+
+def _is_timestamp(schema: StructType, column: str) -> bool:
+    return column in schema.names and isinstance(
+        schema[column].dataType, (TimestampType, TimestampNTZType)
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # Input suites (Bronze)
 # ---------------------------------------------------------------------------------------------
@@ -201,6 +239,13 @@ def _result(
     )
 
 
+def _bad_counts(schema: StructType, suite: Suite) -> list[Column]:
+    return [
+        F.expr(f"count_if({rule.violation(schema)}) AS bad_{i}")
+        for i, rule in enumerate(suite.rules)
+    ]
+
+
 def evaluate(
     rows: DataFrame, suite: Suite, dataset: str | None = None, path: str | None = None
 ) -> DataFrame:
@@ -208,11 +253,7 @@ def evaluate(
 
     ``dataset`` and ``path`` say what was checked; datasets of one source are told apart by them.
     """
-    schema = rows.schema
-    counts = [
-        F.expr(f"count_if({rule.violation(schema)}) AS bad_{i}")
-        for i, rule in enumerate(suite.rules)
-    ]
+    counts = _bad_counts(rows.schema, suite)
     results = [
         _result(suite.source, rule.name, rule.column, rule.severity, "total", f"bad_{i}", dataset, path)
         for i, rule in enumerate(suite.rules)
@@ -362,47 +403,40 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Profile:
-    """Counts of one dataset, from one aggregation."""
+    """Counts of one dataset and the rules of its spec that it breaks, from one aggregation."""
 
     row_count: int
     min_time: datetime | None
     max_time: datetime | None
-    errors: tuple[str, ...]
+    errors: tuple[Failure, ...]
 
     @property
     def status(self) -> str:
         return "FAIL" if self.errors else "PASS"
 
 
+def contract_suite(spec: DatasetSpec, present: Collection[str]) -> Suite:
+    """What rows with these columns must meet before they are stored."""
+    return Suite(spec.source, (
+        *(required(name) for name in spec.required),
+        *(not_null(name) for name in spec.non_null if name in present),
+        timestamp(spec.time_col),
+    ))
+
+
 def profile(rows: DataFrame, spec: DatasetSpec) -> Profile:
-    """Check a dataset against its spec: required columns, nulls, time type; count its rows."""
-    present = set(rows.columns)
-    nullable = [name for name in spec.non_null if name in present]
-    stats = [F.count(F.lit(1)).alias("_rows")]
-    stats += [
-        F.expr(f"count_if({_missing(rows.schema, name)}) AS _null_{name}") for name in nullable
+    """Check a dataset against its spec and count its rows; without rows only their number fails."""
+    suite = contract_suite(spec, rows.columns)
+    counts = [F.count(F.lit(1)).alias("total"), *_bad_counts(rows.schema, suite)]
+    if _is_timestamp(rows.schema, spec.time_col):
+        counts += [F.min(spec.time_col).alias("first"), F.max(spec.time_col).alias("last")]
+    found = rows.agg(*counts).first().asDict()
+    broken = [
+        (rule.name, rule.column, found[f"bad_{i}"]) for i, rule in enumerate(suite.rules)
     ]
-    if spec.time_col in present:
-        stats += [F.min(spec.time_col).alias("_min"), F.max(spec.time_col).alias("_max")]
-    found = rows.agg(*stats).first().asDict()
-
-    if found["_rows"] == 0:
-        return Profile(0, None, None, ("DataFrame is empty",))
-    errors = []
-    missing = [name for name in spec.required if name not in present]
-    if missing:
-        errors.append(f"Required columns are missing: {missing}")
-    errors += [
-        f"'{name}' is null in {found[f'_null_{name}']} row(s)"
-        for name in nullable if found[f"_null_{name}"]
-    ]
-    if spec.time_col in present:
-        kind = rows.schema[spec.time_col].dataType
-        if not isinstance(kind, (TimestampType, TimestampNTZType)):
-            errors.append(
-                f"'{spec.time_col}' must be a timestamp, not {kind.simpleString()}"
-            )
-    return Profile(found["_rows"], found.get("_min"), found.get("_max"), tuple(errors))
+    broken.insert(0, ("row_count", "*", max(0, suite.min_rows - found["total"])))
+    errors = tuple(Failure(spec.source, spec.dataset, *rule) for rule in broken if rule[-1])
+    return Profile(found["total"], found.get("first"), found.get("last"), errors)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -426,15 +460,14 @@ def outcomes(results: DataFrame) -> DataFrame:
 
 
 def enforce(results: DataFrame) -> None:
-    """Stop the run if any source has a failed error rule (one row per dataset reaches the driver)."""
-    rows = [row.asDict() for row in outcomes(results).filter(~F.col("success")).collect()]
-    if rows:
-        names = sorted(
-            f"{row['source']}/{row['dataset']}" if row.get("dataset") else row["source"] for row in rows
-        )
-        raise QualityGateError(
-            f"Data-quality checks failed for: {names}", sorted({row["source"] for row in rows})
-        )
+    """Stop the run if an error rule failed (only failed rules reach the driver)."""
+    failed = results.filter(~F.col("success") & (F.col("severity") == ERROR)).collect()
+    if failed:
+        rows = [row.asDict() for row in failed]
+        raise QualityGateError([
+            Failure(row["source"], row.get("dataset"), row["rule"], row["column"], row["n_bad"])
+            for row in rows
+        ])
 
 
 def gate(
@@ -451,7 +484,7 @@ def gate(
     """
     missing = sorted(name for name in suites if not written.get(name))
     if missing:
-        raise QualityGateError(f"No Bronze run was written for: {missing}", missing)
+        raise QualityGateError([Failure(name, None, "stored_run", "path", 1) for name in missing])
     results = reduce(
         DataFrame.unionByName,
         [

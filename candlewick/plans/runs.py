@@ -57,7 +57,8 @@ INGEST_LOG = (
 )
 SUMMARY = (
     "source STRING, dataset STRING, status STRING, row_count BIGINT, min_time TIMESTAMP, "
-    "max_time TIMESTAMP, path STRING, errors ARRAY<STRING>"
+    "max_time TIMESTAMP, path STRING, "
+    "errors ARRAY<STRUCT<rule: STRING, column: STRING, n_bad: BIGINT>>, problem STRING"
 )
 
 
@@ -294,7 +295,11 @@ def run_daily(
 
 @dataclass(frozen=True)
 class BackfillReport:
-    """One summary row per dataset; ``ok`` is false if any dataset did not pass."""
+    """One summary row per dataset; ``ok`` is false if any dataset did not pass.
+
+    ``errors`` are the broken rules of a dataset with status FAIL, ``problem`` says what stopped one
+    with status ERROR.
+    """
 
     summary: DataFrame
     ok: bool
@@ -311,11 +316,11 @@ def backfill_dataset(
         found = profile(rows, spec)
         receipt = None if found.errors else write_bronze(rows, cfg, spec, run_ts)
     except Exception as problem:  # one dataset must not stop the others
-        return (spec.source, spec.dataset, "ERROR", 0, None, None, None, [str(problem)]), None
+        return (spec.source, spec.dataset, "ERROR", 0, None, None, None, [], str(problem)), None
     path = receipt.path if receipt else None
     return (
         spec.source, spec.dataset, found.status, found.row_count, found.min_time, found.max_time,
-        path, list(found.errors),
+        path, [(error.rule, error.column, error.n_bad) for error in found.errors], None,
     ), receipt
 
 

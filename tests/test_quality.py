@@ -160,13 +160,19 @@ def test_profile(spark):
     spec = dataset_spec("market_chart")
     good = q.profile(chart(spark), spec)
     assert (good.status, good.row_count, good.min_time) == ("PASS", 2, datetime(2024, 1, 1))
-    assert q.profile(chart(spark).limit(0), spec).errors == ("DataFrame is empty",)
+    [empty] = q.profile(chart(spark).limit(0).drop("volume_usd"), spec).errors
+    assert empty == q.Failure("coingecko", "market_chart", "row_count", "*", 1)
     bad = chart(spark, price_usd=None).drop("volume_usd").withColumn("date", F.col("date").cast("string"))
-    assert q.profile(bad, spec).errors == (
-        "Required columns are missing: ['volume_usd']",
-        "'price_usd' is null in 1 row(s)",
-        "'date' must be a timestamp, not string",
-    )
+    found = q.profile(bad, spec)
+    assert [(e.rule, e.column, e.n_bad) for e in found.errors] == [
+        ("required", "volume_usd", 2), ("not_null", "price_usd", 1), ("timestamp", "date", 2),
+    ]
+    assert (found.status, found.row_count, found.min_time) == ("FAIL", 2, None)
+
+
+def test_profile_is_one_aggregation_without_the_time_column(spark):
+    found = q.profile(chart(spark).drop("date"), dataset_spec("market_chart"))
+    assert [(e.rule, e.column, e.n_bad) for e in found.errors] == [("required", "date", 2)]
 
 
 def test_freshness(spark):
