@@ -34,7 +34,8 @@ FEATURES = 1 << 18
 ROUNDS = 3
 #: Agreeing draws that a link has at least: below the threshold's mean by more than four deviations.
 MIN_AGREE = int(SAMPLES * 0.54)
-BLOCK = 4096  # shingles sampled at a time, so that memory doesn't grow with a text
+BLOCK = 1 << 17  # (seed, shingle) pairs sampled at a time, so that memory grows neither with a text nor with the seeds
+PAIRS = 4_000_000  # characters of the pairs verified at a time
 #: Larger buckets are paired in blocks of BLOCK_TEXTS texts with MORE_SAMPLES draws each.
 SMALL, BLOCK_TEXTS, MORE_SAMPLES = 50, 400, 448
 #: Of these draws, links have fewer with a chance of 1 in 10,000 at the threshold.
@@ -97,8 +98,9 @@ def sampled(hashes: np.ndarray, weights: np.ndarray, seeds: np.ndarray = SEEDS)
     best, chosen = np.full(len(seeds), np.inf, np.float32), np.zeros(len(seeds), np.uint64)
     log_w = np.log(weights).astype(np.float32)
     rows = np.arange(len(seeds))
-    for i in range(0, len(hashes), BLOCK):
-        h, lw = hashes[i : i + BLOCK], log_w[i : i + BLOCK]
+    step = max(1, BLOCK // len(seeds))
+    for i in range(0, len(hashes), step):
+        h, lw = hashes[i : i + step], log_w[i : i + step]
         x = _mixed(seeds[:, None] ^ h[None, :])
         spot = (x >> np.uint64(52)).astype(np.int32)
         part = ((x >> np.uint64(28)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
@@ -196,10 +198,13 @@ def verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = list(dict.fromkeys([*frame["a"], *frame["b"]]))
-            sets = {t: (h, n * idf.value[features(h)]) for t, (h, n) in zip(texts, shingled(texts), strict=True)}
-            same = [similarity(sets[a], sets[b]) >= THRESHOLD for a, b in zip(frame["a"], frame["b"], strict=True)]
-            yield frame.loc[same, ["u", "v"]]
+            # some pairs at a time, as sets take a multiple of their texts' memory
+            part = (frame["a"].str.len() + frame["b"].str.len()).cumsum() // PAIRS
+            for _, rows in frame.groupby(part):
+                texts = list(dict.fromkeys([*rows["a"], *rows["b"]]))
+                sets = {t: (h, n * idf.value[features(h)]) for t, (h, n) in zip(texts, shingled(texts), strict=True)}
+                same = [similarity(sets[a], sets[b]) >= THRESHOLD for a, b in zip(rows["a"], rows["b"], strict=True)]
+                yield rows.loc[same, ["u", "v"]]
 
     kind = dict(docs.dtypes)["doc_id"]
     return ship(joined).mapInPandas(check, f"u {kind}, v {kind}").distinct()
