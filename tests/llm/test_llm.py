@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -242,6 +243,16 @@ def test_license_blocks_match_brute_force(spark):
     assert [found[i] for i in range(7)] == ["MIT", "CC-BY-NC-4.0", None, "GPL-3.0", None, None, "Apache-2.0"]
 
 
+@pytest.mark.parametrize("width", [70, 75, 80])
+def test_wrapped_wordings_match_brute_force_on_whole_texts(spark, width):
+    wordings = [(name, w) for name, own in licenses.WORDINGS.items() for w in own]
+    made = ["int x;\n" + textwrap.fill(w, width) + "\nint main()\n{\n}" for _, w in wordings]
+    rows = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    found = sorted((r["doc_id"], r["line"], r["license"]) for r in licenses.license_blocks(rows).collect())
+    assert found == [(i, 1, name) for i, (name, _) in enumerate(wordings)]
+    assert [licenses.brute_force(t) for t in made] == [name for name, _ in wordings]
+
+
 def test_packing_is_an_exact_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
