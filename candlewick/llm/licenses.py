@@ -3,8 +3,9 @@
 Lines that speak of licensing, and what stands between near ones, form candidate blocks.  Wordings are
 sought in a block and as many words around it as a wording can span; a block grows to the lines of the
 wordings that it has.  It is compressed alone and with each license's wordings as a zstandard raw
-dictionary; the size reductions rank the licenses.  The best ones are confirmed by wording: the words of
-a known wording that the text lacks, and the words that it has instead, must not change which license it is.
+dictionary; the size reductions order the licenses.  All of them are sought by wording: the words of a
+known wording that the text lacks, and the words that it has instead, must not change which license it is.
+A block has every license that is confirmed in it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, read, whole_text
 
-# Public license notices, as their publishers word them.
+# Per license the lines that files commonly name it by, its SPDX tag, and the notice that its publisher words.
 WORDINGS = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -58,6 +59,9 @@ WORDINGS = {
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -69,6 +73,9 @@ WORDINGS = {
     "LGPL-3.0": (
         "This work is licensed under the GNU Lesser General Public License, version 3.",
         "SPDX-License-Identifier: LGPL-3.0-only",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) "
+        "any later version.",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -89,7 +96,7 @@ KEYWORDS = r"(?i)licen[sc]e|copyright|spdx|redistribut|permission[ \t\r\n]+is[ \
 #: Lines without a keyword that may stand between lines of one block.
 GAP = 2
 LOST = 1 << 20  # more words than any text part has
-LEVEL, CANDIDATES = 9, 3
+LEVEL = 9
 #: Share of a wording's words that a block must have, and words that never may differ.
 MIN_WORDS_SHARE = 0.9
 _TELLING = re.compile(
@@ -270,8 +277,8 @@ class Scanner:
             for f in found:
                 if a <= f[0] <= b:
                     best[f[2]] = min(best.get(f[2], f), f, key=lambda x: (len(x[3]) + len(x[4]), x[3], x[4]))
-            passed = [(a, name, ranked[0][1], r, *best[name][3:]) for r, name in ranked[:CANDIDATES] if name in best]
-            out += passed[:1] or [(a, None, ranked[0][1], ranked[0][0], [], [])]
+            passed = [(a, name, ranked[0][1], r, *best[name][3:]) for r, name in ranked if name in best]
+            out += passed or [(a, None, ranked[0][1], ranked[0][0], [], [])]
         return out
 
 
@@ -300,8 +307,8 @@ def scanner() -> Scanner:
 
 
 def license_blocks(docs: DataFrame) -> DataFrame:
-    """Per candidate block: doc_id, line, license (null if no wording is confirmed), best_by_size,
-    reduction, missing, added.
+    """Per candidate block and license confirmed in it (one row with null if none is): doc_id, line,
+    license, best_by_size, reduction, missing, added.
 
     Null and empty texts, and texts that don't speak of licensing, have no blocks; repeated rows are
     scanned each; other columns are ignored.  The first filter runs inside the scan of the table.

@@ -243,7 +243,7 @@ def test_license_blocks_match_brute_force(spark):
     assert [found[i] for i in range(7)] == ["MIT", "CC-BY-NC-4.0", None, "GPL-3.0", None, None, "Apache-2.0"]
 
 
-@pytest.mark.parametrize("width", [70, 75, 80])
+@pytest.mark.parametrize("width", [30, 70, 75, 80])
 def test_wrapped_wordings_match_brute_force_on_whole_texts(spark, width):
     wordings = [(name, w) for name, own in licenses.WORDINGS.items() for w in own]
     made = ["int x;\n" + textwrap.fill(w, width) + "\nint main()\n{\n}" for _, w in wordings]
@@ -253,6 +253,17 @@ def test_wrapped_wordings_match_brute_force_on_whole_texts(spark, width):
     assert [licenses.brute_force(t) for t in made] == [name for name, _ in wordings]
 
 
+def test_blocks_have_all_their_licenses(spark):
+    gpl2 = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    lgpl3 = gpl2.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 3")
+    made = ["Released under the MIT License.\nLicensed under the Apache License, Version 2.0.", textwrap.fill(gpl2, 75), textwrap.fill(lgpl3, 75)]
+    every = [own[0] for own in licenses.WORDINGS.values()]
+    rows = spark.createDataFrame(list(enumerate([*made, "\n".join(every)])), "doc_id long, text string")
+    found = licenses.license_blocks(rows).collect()
+    by_doc = [{r["license"] for r in found if r["doc_id"] == i} for i in range(4)]
+    assert by_doc == [{"MIT", "Apache-2.0"}, {"GPL-2.0"}, {"LGPL-3.0"}, set(licenses.WORDINGS)]
+
+
 def test_packing_is_an_exact_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
