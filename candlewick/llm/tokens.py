@@ -5,12 +5,13 @@ no piece crosses them.  Within a unit, the last token of each prefix is the one
 and may follow the last token of the prefix before t, so count(prefix) = count(prefix before t) + 1.
 A pair of tokens may follow each other if merging their joined text gives just these two.  Counts at
 every prefix of a unit are kept by prefix, so that words sharing a beginning share its work; counts at
-unit ends add up to counts at every prefix of a text.
+unit ends add up to counts at every prefix of a text, which a prefix table holds as runs of equal counts.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 from itertools import accumulate
 
@@ -51,6 +52,7 @@ class PrefixCounter:
         self.split: dict[str, tuple[str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, tuple[int, str]] = {"": (0, "")}
+        self.insides: dict[str, bytes] = {}
         counter = self
 
         class Words(dict):
@@ -178,6 +180,31 @@ class PrefixCounter:
         chars = np.fromiter(accumulate(map(len, units)), np.int64, len(units)) - 1
         return chars, np.fromiter(accumulate(map(self.unit, units)), np.int64, len(units))
 
+    def _inside(self, unit: str) -> bytes:
+        """Tokens of every prefix of a unit but the empty one, as 32-bit numbers."""
+        if len(unit) > LONG_UNIT:
+            return np.array(self.prefixes(unit)[1:], np.uint32).tobytes()
+        if len(self.insides) > MEMO_PREFIXES:
+            self.insides.clear()
+        self.unit(unit)  # puts every prefix into the memo
+        memo = self.memo
+        known = self.insides[unit] = array("I", [memo[unit[:i]][0] for i in range(1, len(unit) + 1)]).tobytes()
+        return known
+
+    def runs(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(characters of the last prefix, tokens) of each run of prefixes with equal counts: a count at
+        every prefix of the text, the empty one included."""
+        if not text:
+            return np.zeros(1, np.int64), np.zeros(1, np.int64)
+        units, insides = self.units(text), self.insides
+        counts = np.frombuffer(b"".join([insides.get(u) or self._inside(u) for u in units]), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        before = np.append(0, np.cumsum(counts[np.cumsum(sizes) - 1])[:-1])
+        counts += np.repeat(before, sizes)
+        counts[0] = 0  # the mark before the text is no prefix of it
+        ends = np.append(np.flatnonzero(np.diff(counts)), len(counts) - 1)
+        return ends, counts[ends]
+
     def at(self, text: str, n_chars: int) -> int:
         """Tokens of the text's first n_chars characters."""
         chars, tokens = self.ends(text)
@@ -191,19 +218,20 @@ class PrefixCounter:
 
     def cut(self, text: str, budget: int) -> int:
         """Characters of the longest prefix that takes at most budget tokens."""
-        units = self.units(text)
-        total, chars, best = 0, -1, 0
-        for unit in units:
-            here = self.prefixes(unit) if total + len(unit) * 4 > budget else None
-            if here:
-                best = max([best, *(chars + i for i, n in enumerate(here) if total + n <= budget)])
-            total += here[-1] if here else self.unit(unit)
-            chars += len(unit)
-            if total <= budget:
-                best = chars
-            elif total > budget + 4 * self.longest:
-                break
-        return max(0, best)
+        return self._fit(*self.runs(text), budget)
+
+    @staticmethod
+    def _fit(ends: np.ndarray, counts: np.ndarray, budget: int) -> int:
+        fit = np.flatnonzero(counts <= budget)
+        return int(ends[fit[-1]]) if len(fit) else 0
+
+    def counted(self, text: str, budget: int) -> tuple[int, int]:
+        """(tokens, characters that fit budget: all where the text does); long texts, which hardly fit, are encoded once."""
+        if len(text) <= 4 * budget and (n := self.count(text)) <= budget:
+            return n, len(text)
+        ends, counts = self.runs(text)
+        n = int(counts[-1])
+        return n, len(text) if n <= budget else self._fit(ends, counts, budget)
 
 
 @lru_cache(2)
@@ -219,41 +247,39 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = LIMIT) -> DataFr
 
     def row(texts: list[str]) -> dict:
         c = counter(model_path)
-        tokens = [c.count(t) for t in texts]
+        tokens, cuts = zip(*[c.counted(t, limit) for t in texts], strict=True)
         return {
             "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in texts],
-            "n_tokens": tokens,
+            "n_tokens": list(tokens),
             "over_limit": [n > limit for n in tokens],
-            "cut_chars": [c.cut(t, limit) if n > limit else len(t) for t, n in zip(texts, tokens, strict=True)],
+            "cut_chars": list(cuts),
         }
 
     return map_texts(docs, row, "n_bytes long, n_tokens long, over_limit boolean, cut_chars long")
 
 
 def prefix_table(docs: DataFrame, model_path: str) -> DataFrame:
-    """Per document the stored prefix counts: ends (characters) and counts (tokens) of its units.
-
-    count_at() and fits() answer from them for prefixes that end at a unit's end; PrefixCounter.at()
-    answers for any prefix.
+    """Per document the exact token count of every prefix, run by run: ends (characters of the last
+    prefix of each run of equal counts) and counts (tokens).  count_at() and fits() answer from them.
     """
 
     def row(texts: list[str]) -> dict:
-        both = [counter(model_path).ends(t) for t in texts]
+        both = [counter(model_path).runs(t) for t in texts]
         return {"ends": [a for a, _ in both], "counts": [b for _, b in both]}
 
     return map_texts(docs, row, "ends array<long>, counts array<long>")
 
 
 def count_at(n_chars: int):
-    """Tokens of the units that end within the first n_chars characters, from a prefix table."""
-    n = F.size(F.filter("ends", lambda e: e <= n_chars))
-    return F.when(n > 0, F.element_at("counts", n)).otherwise(0)
+    """Tokens of the first n_chars characters (of the whole text if it is shorter), from a prefix table."""
+    n = F.size(F.filter("ends", lambda e: e < n_chars))
+    return F.element_at("counts", F.least(n + 1, F.size("counts")))
 
 
 def fits(budget: int):
-    """Characters of the most whole units that take at most budget tokens, from a prefix table."""
-    n = F.size(F.filter("counts", lambda c: c <= budget))
-    return F.when(n > 0, F.element_at("ends", n)).otherwise(0)
+    """Characters of the longest prefix that takes at most budget tokens, from a prefix table."""
+    fit = F.filter(F.arrays_zip("ends", "counts"), lambda r: r["counts"] <= budget)
+    return F.when(F.size(fit) > 0, F.element_at(fit, -1)["ends"]).otherwise(0)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

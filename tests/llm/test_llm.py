@@ -307,6 +307,22 @@ def test_prefix_table_answers_budgets(spark):
     assert (got["n"], got["chars"]) == (2, 7)
 
 
+def test_prefix_table_is_exact_inside_units(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    made = ["aGVsbG8gd29ybGQhIHRoaXM=", "日本語の文章です。😀中文", "internationalization of words", " a  b ", "x" * 250, ""]
+    table = tokens.prefix_table(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"), path).orderBy("doc_id").cache()
+    at = [[len(library.encode(t[:i])) for i in range(31)] for t in made]
+    found = table.select(*[tokens.count_at(i).alias(f"n{i}") for i in range(31)]).collect()
+    assert [list(r) for r in found] == at
+    found = table.select(*[tokens.fits(b).alias(f"f{b}") for b in range(12)]).collect()
+    want = [[max(i for i in range(len(t) + 1) if len(library.encode(t[:i])) <= b) for b in range(12)] for t in made]
+    assert [list(r) for r in found] == want
+    assert [[tokens.counter(path).cut(t, b) for b in range(12)] for t in made] == want
+
+
 def test_pipeline_stages_keep_what_they_should(spark, texts):
     import corpus_pipeline as pipeline
 
