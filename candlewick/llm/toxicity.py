@@ -50,8 +50,10 @@ class Channel:
         every = np.arange(64**3, dtype=np.uint32)
         self.table = model.log_probability(every).astype(np.float32) if model else np.zeros(64**3, np.float32)
 
-    def decode(self, word: str) -> str:
+    def decode(self, word: str, breaks: bool = False) -> str:
+        """The likeliest reading of a word; of a run of words, parted by spaces, if it may have breaks."""
         states = {(0, 0): (0.0, "")}
+        inner = [i for i, c in enumerate(word) if c.isalnum()] or [0]
         for i, char in enumerate(word):
             options = [(letter, -SWAP) for letter in LOOK_ALIKES.get(char, "")]
             if char.isalpha():
@@ -61,7 +63,7 @@ class Channel:
             elif char.isdigit():
                 options.append((char, 0.0))
             else:
-                options.append(("", -(DROP_LOOK_ALIKE if options else DROP_MARK)))
+                options.append(("", -(DROP_LOOK_ALIKE if options and inner[0] < i < inner[-1] else DROP_MARK)))
             coded = [(letter, cost, int(symbols(letter)[0]) if letter else -1) for letter, cost in options]
             new: dict = {}
             for (a, b), (score, text) in states.items():
@@ -72,6 +74,11 @@ class Channel:
                         key, value = (b, c), score + cost + float(self.table[a << 12 | b << 6 | c])
                     if key not in new or value > new[key][0]:
                         new[key] = (value, text + letter)
+            if breaks and i < len(word) - 1:
+                for (a, b), (score, text) in list(new.items()):
+                    key, value = (b, 0), score + float(self.table[a << 12 | b << 6])
+                    if b and (key not in new or value > new[key][0]):
+                        new[key] = (value, text + " ")
             states = new
         return max((score + float(self.table[a << 12 | b << 6]), text) for (a, b), (score, text) in states.items())[1]
 
@@ -79,20 +86,38 @@ class Channel:
         """A word in lower case without marks at its ends, decoded if it is odd."""
         word = token.lower().strip(EDGES)
         plain = word.strip("!$@|+*#%&(-_/\\~^=<>")
-        if plain.isalpha() and not _TRIPLE.search(plain) and (plain == word or len(word) - len(plain) > 2 or word[: len(plain)] == plain):
-            return plain
+        if plain.isalpha() and not _TRIPLE.search(plain):
+            at = word.index(plain)
+            if not any(c in LOOK_ALIKES for c in word[:at] + word[at + len(plain) :]):
+                return plain
         if not any(c.isalpha() or c in LOOK_ALIKES for c in word):
             return ""
         return "".join(self.decode(word[i : i + LONGEST]) for i in range(0, len(word), LONGEST))
 
 
+    def words(self, token: str) -> list[str]:
+        """The words that a token is restored to: one, or those of a spelled-out run."""
+        if " " not in token:
+            return [self.restored(token)]
+        run = token.lower().replace(" ", "")
+        parts = (run[i : i + LONGEST] for i in range(0, len(run), LONGEST))
+        return [w for part in parts for w in self.decode(part, breaks=True).split()]
+
+    def features(self, token: str) -> list[str]:
+        """Features of a token's words; of a spelled-out run those that it hasn't as one word, which is a token too."""
+        found = [f for w in self.words(token) for f in word_features(w)]
+        joined = word_features(self.restored(token.replace(" ", ""))) if " " in token else []
+        return [f for f in found if f not in joined]
+
+
 def spelled_out(words: list[str]) -> list[str]:
-    """Words made of three or more single characters that stand one after the other."""
+    """Runs of three or more single characters that stand one after the other: as one word, and with
+    spaces, for a reading as several words."""
     out, run = [], []
     for i in [i for i, w in enumerate(words) if len(w) == 1] + [-2]:
         if run and i != run[-1] + 1:
             if len(run) > 2:
-                out.append("".join(words[j] for j in run))
+                out += ["".join(words[j] for j in run), " ".join(words[j] for j in run)]
             run = []
         run.append(i)
     return out
@@ -104,12 +129,12 @@ def tokens(text: str) -> set[str]:
 
 
 def word_features(word: str) -> list[str]:
-    return [word[:n] + "*" for n in PREFIXES if len(word) > n] + [word] if len(word) > 3 else []
+    return [word[:n] + "*" for n in PREFIXES if len(word) > n] + [word] if word else []
 
 
 def text_features(text: str, channel: Channel, wanted: set[str] | None = None) -> set[str]:
     """Features of the text's words; f#2 and f#3 where two or three different words have f."""
-    seen = Counter(f for w in map(channel.restored, tokens(text)) for f in word_features(w))
+    seen = Counter(f for token in tokens(text) for f in channel.features(token))
     found = {f for f in seen} | {f"{f}#{k}" for f, n in seen.items() for k in (2, 3) if n >= k}
     return found if wanted is None else found & wanted
 
@@ -126,7 +151,7 @@ class Cues:
         self.memo: dict[str, list[str]] = {}
 
     def stems(self, token: str) -> list[str]:
-        return [f for f in word_features(self.channel.restored(token)) if f in self.levels]
+        return [f for f in self.channel.features(token) if f in self.levels]
 
     def found(self, text: str) -> list[tuple[str, float]]:
         """Cues of a text, each with the weight of the highest level that it reaches."""
@@ -195,6 +220,11 @@ def learnt(docs: DataFrame, labels: DataFrame) -> Cues:
     return Cues(channel.value, weights, rest)
 
 
+def related(a: str, b: str) -> bool:
+    """Whether one is a beginning of the other; a short word is related to itself alone."""
+    return a == b if min(len(a), len(b)) < PREFIXES[0] else a.startswith(b) or b.startswith(a)
+
+
 def greedy_cover(texts: list[tuple[str, ...]], precision: dict[str, float], clean: dict[str, float]) -> dict[str, float]:
     """Features taken one by one, each the one that most texts with less than COVER cues hold; few clean
     texts and longer features first among equals.  Of a word and its beginnings only one is taken."""
@@ -215,7 +245,7 @@ def greedy_cover(texts: list[tuple[str, ...]], precision: dict[str, float], clea
         for i in covered:
             cues[i] += 1
         full = {i for i in covered if cues[i] >= COVER}
-        for f in [f for f in holders if f.startswith(stem) or stem.startswith(f.partition("#")[0].rstrip("*"))]:
+        for f in [f for f in holders if related(stem, f.partition("#")[0].rstrip("*"))]:
             del holders[f]
         if full:
             holders = {f: left for f, own in holders.items() if len(left := own - full) >= MIN_TEXTS}

@@ -200,6 +200,18 @@ def test_obfuscated_words_are_restored(docs):
     assert "idiot" in toxicity.tokens("an i d i o t here")
 
 
+def test_marks_at_ends_breaks_and_short_words_are_restored(spark):
+    rows = spark.createDataFrame([("you are a loser and an idiot scum worthless one",)] * 50, "text string")
+    counts = gram_counts(rows, order=3, fold=True).toPandas()
+    channel = toxicity.Channel(perplexity.KneserNey(counts["gram"].to_numpy(), counts["n"].to_numpy(), 3))
+    odd = {"idio+": "idiot", "worthle$$": "worthless", "$$cum$": "scum", "loser!!!": "loser", "*you*": "you", "a!": "a"}
+    assert {w: channel.restored(w) for w in odd} == odd
+    for text, want in {"so a l o s e r": {"a", "loser"}, "so i d i o t s c u m": {"idiot", "scum"}}.items():
+        assert want <= toxicity.text_features(text, channel)
+    assert toxicity.text_features("you a", channel) == {"you", "a"}
+    assert "idio*#2" not in toxicity.text_features("i d i o t s c u m", channel)
+
+
 def test_trees_reject_held_out_junk(spark):
     sf = SF.replace("0.001", "0.1")
     found = boosting.op6_quality_classifier(spark, sf).join(read(spark, sf, "labels"), "doc_id").where("held_out").toPandas()
