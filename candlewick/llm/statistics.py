@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 
 SPACES = " \t\n\r\x0b\x0c"  # what separates words: [\x20\x09-\x0D]
 SYMBOLS = "#*$%&|<>"
-_DIGITS, _UPPER = re.compile(r"[0-9]"), re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_DIGITS = re.compile(r"[0-9]")
+#: All code points that lower() changes.
+_UPPER = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.lower() != c) + "]")
 
 FEATURES = (
     "log_chars log_words word_length symbols_per_word pipes_per_word bangs_per_word digits_per_char upper_per_char "
@@ -63,9 +66,8 @@ def features(text: str) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     doubled, lines = duplicate_lines(text)
-    lower = text.lower()
     digits = sum(map(text.count, "0123456789"))
-    upper = sum(a != b for a, b in zip(text, lower, strict=False)) if chars < 2000 else len(_UPPER.findall(text))
+    upper = len(_UPPER.findall(text))
     return [
         np.log1p(chars), np.log1p(n), sum(map(len, words)) / n, sum(map(text.count, SYMBOLS)) / n, text.count("|") / n,
         text.count("!") / n, digits / chars, upper / chars, text.count(".") / n, text.count(",") / n,

@@ -243,6 +243,12 @@ def test_base_statistics_match_a_plain_reading(texts):
         }
 
 
+def test_capitals_count_alike_at_all_sizes():
+    at = statistics.FEATURES.index("upper_per_char")
+    for word, share in {"ΑΒγδ ": 0.4, "Žluť ": 0.2, "ŁÓDŹ ": 0.8, "Œuvr ": 0.2, "İab🙂 ": 0.2, "𐐀bcd ": 0.2}.items():
+        assert statistics.features(word * 10)[at] == statistics.features(word * 1000)[at] == share
+
+
 def test_license_blocks_match_brute_force(spark):
     lines = [
         "Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-ND 4.0.",
