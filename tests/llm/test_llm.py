@@ -15,6 +15,7 @@ from candlewick.llm import boosting, decontaminate, licenses, neardup, packing,
 from candlewick.llm.charmodel import gram_counts
 from candlewick.llm.common import read
 from candlewick.llm.oracles import ORACLES
+from candlewick.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SENTENCE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon "
@@ -97,9 +98,9 @@ def test_odd_rows_and_empty_tables(spark, odd, labels, name):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, name):
-    run = {"op2_pii": pii.op2_pii, "op7_decontamination": decontaminate.op7_decontamination}[name]
+    run = QUERIES[name]
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(ORACLES[name]).df()
     found = run(spark, SF).toPandas()[want.columns]
