@@ -138,4 +138,31 @@ GRAINS = {
     "mart_sentiment_correlation": ("symbol", "date_day"),
     "mart_volume_anomalies": ("symbol", "date_day"),
 }
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a versioned table is stored: its layer, partition keys, and the column that holds its day.
+
+    ``period`` among the keys is the day's year.  ``hidden`` columns are needed to merge the table with
+    later rows and are not shown.
+    """
+
+    layer: str
+    day: str
+    keys: tuple[str, ...] = ("period",)
+    hidden: tuple[str, ...] = ()
+
+
+# ``series_periods`` counts the rows of each symbol and period; it says how far frames reach.
+LAYOUTS = {
+    "silver_klines": Layout("silver", "open_time", ("interval", "period")),
+    "silver_market_chart": Layout("silver", "date_day", hidden=("observed_at",)),
+    "silver_sentiment": Layout("silver", "date_day"),
+    "daily_enriched": Layout("silver", "date_day"),
+    "series_periods": Layout("silver", "first_day"),
+    "mart_price_analysis": Layout("gold", "date_day"),
+    "mart_sentiment_correlation": Layout("gold", "date_day"),
+    "mart_volume_anomalies": Layout("gold", "date_day"),
+}
 MARTS = ("mart_price_analysis", "mart_volume_anomalies", "mart_sentiment_correlation")

@@ -7,16 +7,14 @@ called again with the same ``run_ts`` and replaces what it wrote before.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.config import LakeConfig, as_utc, prepare_session, run_partition, table_uri
-from candlewick.contracts import DATASETS, GRAINS, MARTS, DatasetSpec, dataset_spec
-from candlewick.operators.enrich import daily_enriched
+from candlewick.contracts import DATASETS, GRAINS, LAYOUTS, MARTS, DatasetSpec, dataset_spec
 from candlewick.operators.quality import (
     Suite,
     enforce,
@@ -27,9 +25,10 @@ from candlewick.operators.quality import (
     profile,
     sentiment_suite,
 )
-from candlewick.plans.gold import price_analysis, sentiment_correlation, volume_anomalies
+from candlewick.plans import models
+from candlewick.plans.models import BronzeReader, TableCheck, in_parallel
 from candlewick.plans.serving import publish
-from candlewick.plans.silver import silver_klines, silver_market_chart, silver_sentiment
+from candlewick.sources import versions
 from candlewick.sources.bronze import (
     WriteReceipt,
     kline_run_window,
@@ -44,16 +43,12 @@ from candlewick.sources.payloads import (
     parse_sentiment_index,
 )
 
-BronzeReader = Callable[[SparkSession, LakeConfig, DatasetSpec], DataFrame]
-# Called with all tables built so far and the names of the newest; it raises to stop a transform.
-TableCheck = Callable[[dict[str, DataFrame], Collection[str]], None]
 # A half-open span of fetch times.
 Span = tuple[datetime, datetime]
 FETCH_DATE = "fetch_date"
-# The daily models read one interval only and must not scan the hourly candles.
-TABLE_PARTITIONS = {"silver_klines": ("interval",)}
 INGEST_LOG = (
-    "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING"
+    "source STRING, dataset STRING, ingested_at TIMESTAMP, row_count BIGINT, path STRING, "
+    "written_at TIMESTAMP, min_time TIMESTAMP, max_time TIMESTAMP"
 )
 SUMMARY = (
     "source STRING, dataset STRING, status STRING, row_count BIGINT, min_time TIMESTAMP, "
@@ -100,14 +95,7 @@ def materialise_all(
     def rebuild(uri: str, rows: DataFrame) -> Callable[[], DataFrame]:
         return lambda: materialise(rows, uri, (partitions or {}).get(uri, ()))
 
-    return _in_parallel({uri: rebuild(uri, rows) for uri, rows in tables.items()})
-
-
-def _in_parallel(tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
-    """Submit independent Spark jobs together; results under their names."""
-    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
-        futures = {name: pool.submit(task) for name, task in tasks.items()}
-        return {name: future.result() for name, future in futures.items()}
+    return in_parallel({uri: rebuild(uri, rows) for uri, rows in tables.items()})
 
 
 def materialise(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -128,61 +116,25 @@ def transform(
     coin_of_symbol: DataFrame | None = None,
     reader: BronzeReader = read_bronze,
     check: TableCheck | None = None,
+    run_ts: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild Silver, the enriched table and the marts from all of Bronze.
 
-    ``check`` sees each step's tables before the next step replaces anything.
+    The tables are written as a new version: ``check`` sees each step's tables, and only when it has let
+    all of them pass are they made visible.
     ``reader`` is ``read_bronze`` for trees written here; use ``drift.read_drifted`` for trees that
     (also) hold files of other writers.
     """
-    prepare_session(spark, cfg)
-
-    def bronze(dataset: str) -> DataFrame:
-        return reader(spark, cfg, dataset_spec(dataset))
-
-    tables: dict[str, DataFrame] = {}
-
-    def rebuild(layer: str, **frames: DataFrame) -> None:
-        uris = {name: table_uri(cfg, layer, name) for name in frames}
-        stored = materialise_all(
-            {uris[name]: rows for name, rows in frames.items()},
-            {uris[name]: TABLE_PARTITIONS.get(name, ()) for name in frames},
-        )
-        tables.update({name: stored[uri] for name, uri in uris.items()})
-        if check is not None:
-            check(tables, list(frames))
-
-    rebuild(
-        "silver",
-        silver_klines=silver_klines(bronze("klines_1d"), bronze("klines_1h")),
-        silver_market_chart=silver_market_chart(bronze("market_chart")),
-        silver_sentiment=silver_sentiment(bronze("index")),
-    )
-    rebuild(
-        "silver",
-        daily_enriched=daily_enriched(
-            tables["silver_klines"], tables["silver_market_chart"], tables["silver_sentiment"],
-            coin_of_symbol,
-        ),
-    )
-    rebuild("gold", mart_price_analysis=price_analysis(tables["daily_enriched"]))
-    price = tables["mart_price_analysis"]
-    rebuild(
-        "gold",
-        mart_sentiment_correlation=sentiment_correlation(price),
-        mart_volume_anomalies=volume_anomalies(price),
-    )
-    return tables
+    run_ts = run_ts or datetime.now(timezone.utc)
+    return models.rebuild(spark, cfg, run_ts, coin_of_symbol, reader, check)
 
 
 def stored_tables(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
-    """The Silver and Gold tables of the last transform, as stored."""
-    prepare_session(spark, cfg)
+    """The visible Silver and Gold tables; none before the first transform."""
+    snapshot = versions.current(spark, cfg)
     return {
-        name: spark.read.parquet(
-            table_uri(cfg, "gold" if name.startswith("mart_") else "silver", name)
-        )
-        for name in GRAINS
+        name: versions.read_version(spark, cfg, name, snapshot.tables[name]).drop(*LAYOUTS[name].hidden)
+        for name in (GRAINS if snapshot else ())
     }
 
 
@@ -223,7 +175,7 @@ def ingest_day(
         rows = daily_slice(documents, spec.dataset, as_utc(run_ts).date())
         return lambda: write_bronze_if_any(rows, cfg, spec, run_ts)
 
-    receipts = _in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
+    receipts = in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
     log_ingest(spark, cfg, receipts, run_ts)
     return {name: receipt.path if receipt else "" for name, receipt in receipts.items()}
 
@@ -235,13 +187,19 @@ def log_ingest(
     run_ts: datetime,
 ) -> None:
     """Keep what a run stored (source, dataset, time, rows, path) in the ``ingest_log`` table."""
+    now = datetime.now(timezone.utc)
     rows = [
-        (dataset_spec(name).source, name, as_utc(run_ts), receipt.row_count, receipt.path)
+        (
+            dataset_spec(name).source, name, as_utc(run_ts), receipt.row_count, receipt.path, now,
+            receipt.min_time, receipt.max_time,
+        )
         for name, receipt in receipts.items() if receipt
     ]
     if rows:
-        uri = run_partition(table_uri(cfg, "quality", "ingest_log"), run_ts)
-        materialise(spark.createDataFrame(rows, INGEST_LOG).coalesce(1), uri)
+        # other datasets' lines of the same run stay
+        spark.createDataFrame(rows, INGEST_LOG).coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("dataset").parquet(run_partition(table_uri(cfg, "quality", "ingest_log"), run_ts))
 
 
 def run_daily(
@@ -256,11 +214,13 @@ def run_daily(
     reader: BronzeReader = read_bronze,
     fetched: Span | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest one date, gate it, rebuild the models, test them and publish the marts.
+    """Ingest one date, gate it, bring the models up to date, test them and publish the marts.
 
-    A failing gate raises before any model is touched.  Each step's tables are tested before the
-    next step: a failing Silver test leaves Gold and the serving store as they were.  Both leave
-    their results in the quality tables.  ``fetched`` limits the run to the documents of a span.
+    Models take in the runs that they do not hold yet (``models.refresh``); with another ``reader`` they are
+    rebuilt from all of Bronze.  A failing gate raises before any model is touched.  Each step's tables are
+    tested as they are built, and a failing test leaves all visible tables and the serving store as they
+    were.  Both leave their results in the quality tables.  ``fetched`` limits the run to the documents of a
+    span.
     """
     prepare_session(spark, cfg)
     written = ingest_day(spark, landing, cfg, run_ts, fetched)
@@ -281,7 +241,10 @@ def run_daily(
         steps.append(kept.filter(F.col("step") == len(steps)).drop("run_ts", "step"))
         enforce(steps[-1])
 
-    tables = transform(spark, cfg, coin_of_symbol, reader, check)
+    if reader is read_bronze:
+        tables = models.refresh(spark, cfg, run_ts, coin_of_symbol, check)
+    else:
+        tables = transform(spark, cfg, coin_of_symbol, reader, check, run_ts)
     output_results = reduce(DataFrame.unionByName, steps)
     if sink is not None:
         publish({name: tables[name] for name in MARTS}, sink)
@@ -335,7 +298,7 @@ def run_backfill(
     """Write the full history of every dataset under the run date; Silver absorbs the overlap."""
     prepare_session(spark, cfg)
     starts = since or {}
-    outcome = _in_parallel({
+    outcome = in_parallel({
         spec.dataset: (
             lambda spec=spec: backfill_dataset(
                 landing, cfg, spec, run_ts, starts.get(spec.dataset)

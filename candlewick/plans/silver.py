@@ -39,11 +39,14 @@ def typed_klines(bronze: DataFrame) -> DataFrame:
     )
 
 
+def latest_klines(typed: DataFrame) -> DataFrame:
+    """One row per (symbol, interval, open_time), latest ingest wins."""
+    return latest_by(typed, ["symbol", "interval", "open_time"], ["ingested_at"])
+
+
 def silver_klines(*bronze: DataFrame) -> DataFrame:
     """Candles of all intervals, one row per (symbol, interval, open_time), latest ingest wins."""
-    return latest_by(
-        typed_klines(union_intervals(*bronze)), ["symbol", "interval", "open_time"], ["ingested_at"]
-    )
+    return latest_klines(typed_klines(union_intervals(*bronze)))
 
 
 def typed_market_chart(bronze: DataFrame) -> DataFrame:
@@ -57,11 +60,14 @@ def typed_market_chart(bronze: DataFrame) -> DataFrame:
     )
 
 
+def latest_market_chart(typed: DataFrame) -> DataFrame:
+    """One row per (coin, day), with the time of its point: what later points are compared with."""
+    return latest_by(typed, ["coin_id", "date_day"], ["observed_at", "ingested_at"])
+
+
 def silver_market_chart(bronze: DataFrame) -> DataFrame:
     """One row per (coin, day): the latest point observed in the day, then the latest ingest."""
-    return latest_by(
-        typed_market_chart(bronze), ["coin_id", "date_day"], ["observed_at", "ingested_at"]
-    ).drop("observed_at").select(
+    return latest_market_chart(typed_market_chart(bronze)).select(
         "date_day", "coin_id", "price_usd", "market_cap_usd", "volume_usd", "ingested_at",
         "partition_year", "partition_month", "partition_day",
     )
@@ -76,6 +82,10 @@ def typed_sentiment(bronze: DataFrame) -> DataFrame:
     )
 
 
+def latest_sentiment_day(typed: DataFrame) -> DataFrame:
+    return latest_by(typed, ["date_day"], ["ingested_at"])
+
+
 def silver_sentiment(bronze: DataFrame) -> DataFrame:
     """One row per day, latest ingest wins."""
-    return latest_by(typed_sentiment(bronze), ["date_day"], ["ingested_at"])
+    return latest_sentiment_day(typed_sentiment(bronze))

@@ -92,10 +92,15 @@ def _bounds(df: DataFrame, time_col: str, start: date, end: date) -> tuple[Colum
     return F.lit(start.isoformat()).cast(sql_type), F.lit(end.isoformat()).cast(sql_type)
 
 
+def time_span(df: DataFrame, start: date, end: date, time_col: str = "date") -> DataFrame:
+    """Rows from the start of one UTC day to that of another, as a range that pushes down."""
+    low, high = _bounds(df, time_col, start, end)
+    return df.filter((F.col(time_col) >= low) & (F.col(time_col) < high))
+
+
 def logical_date_slice(df: DataFrame, day: date, time_col: str = "date") -> DataFrame:
     """Rows of one UTC day, as a half-open range (pushes down, unlike ``to_date(col) = day``)."""
-    start, end = _bounds(df, time_col, day, day + timedelta(days=1))
-    return df.filter((F.col(time_col) >= start) & (F.col(time_col) < end))
+    return time_span(df, day, day + timedelta(days=1), time_col)
 
 
 def kline_run_window(df: DataFrame, day: date, time_col: str = "open_time") -> DataFrame:

@@ -54,7 +54,7 @@ def test_daily_run_slices_gates_builds_and_publishes(spark, cfg):
 
 def test_running_a_date_twice_changes_nothing(spark, cfg):
     runs.run_daily(spark, cfg, all_payloads(spark), RUN)
-    first = spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis")).collect()
+    first = runs.stored_tables(spark, cfg)["mart_price_analysis"].collect()
     tables = runs.stored_tables(spark, cfg)
     serving.register_views(tables, {"mart_price_analysis": "prices"})
     assert spark.sql("SELECT * FROM prices ORDER BY date_day").collect() == first
@@ -62,7 +62,7 @@ def test_running_a_date_twice_changes_nothing(spark, cfg):
     daily = spark.table("silver_klines").filter("interval = '1d'").select("close")
     assert "PartitionFilters: [isnotnull(interval" in plan_of(daily) and daily.count() == 1
     runs.run_daily(spark, cfg, all_payloads(spark), RUN)
-    second = spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis")).collect()
+    second = runs.stored_tables(spark, cfg)["mart_price_analysis"].collect()
     assert first == second
     assert bronze.read_bronze(spark, cfg, dataset_spec("klines_1h")).count() == 3
 
@@ -82,8 +82,7 @@ def test_failing_gate_blocks_the_transform(spark, cfg):
     with pytest.raises(QualityGateError) as stop:
         runs.run_daily(spark, cfg, all_payloads(spark, index=broken), RUN)
     assert stop.value.sources == ["feargreed"]
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(table_uri(cfg, "gold", "mart_price_analysis"))
+    assert runs.stored_tables(spark, cfg) == {}
 
 
 def test_a_date_without_rows_is_a_missing_path(spark, cfg):
@@ -161,15 +160,17 @@ def test_silver_absorbs_a_correction(spark, cfg):
 def test_failing_silver_tests_leave_gold_and_serving_alone(spark, cfg):
     sink = serving.parquet_sink(spark, f"{cfg.root}/serving")
     runs.run_daily(spark, cfg, all_payloads(spark), RUN, sink=sink)
-    uri = table_uri(cfg, "gold", "mart_price_analysis")
-    files = sorted(spark.read.parquet(uri).inputFiles())
+    def visible():
+        return {name: sorted(rows.inputFiles()) for name, rows in runs.stored_tables(spark, cfg).items()}
+
+    files = visible()
     served = sorted(spark.read.parquet(f"{cfg.root}/serving/mart_price_analysis").inputFiles())
     broken = {"data": [{**INDEX["data"][0], "value": "150"}]}
     lax = {name: Suite(name, ()) for name in runs.default_suites()}
     with pytest.raises(QualityGateError) as stop:
         runs.run_daily(spark, cfg, all_payloads(spark, index=broken), RUN, suites=lax, sink=sink)
     assert stop.value.sources == ["silver_sentiment"]
-    assert sorted(spark.read.parquet(uri).inputFiles()) == files
+    assert visible() == files
     assert sorted(spark.read.parquet(f"{cfg.root}/serving/mart_price_analysis").inputFiles()) == served
     kept = spark.read.parquet(table_uri(cfg, "quality", "output_results"))
     assert {r["source"] for r in kept.select("source").distinct().collect()} == {
