@@ -405,6 +405,15 @@ _RUN_TABLES = {
     "mood": _fetched("base_mood", "", "date", "month"),
 }
 
+_R = "rolling_30d_sentiment_return_corr"
+# Ticks that the staged streams take in, and bars that are out at their end: the held-back ticks come when
+# all of theirs are out, and a bar is out once the newest tick is two hours beyond its end.
+_CUT = "TIMESTAMP '2024-01-20'"
+_HELD_BACK = "trade_id % 10 = 0 AND event_at < TIMESTAMP '2024-01-10'"
+_ON_TIME = f"SELECT * FROM ({_TICKS}) WHERE NOT ({_HELD_BACK})"
+_CLOSED = """date_trunc('hour', event_at) + INTERVAL 1 HOUR
+    <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+
 ORACLES: dict[str, str] = {
     "price_analysis": with_tables("price", f"SELECT {PRICE_OUT} FROM price"),
     "price_analysis_many_symbols": with_tables(
@@ -653,4 +662,44 @@ ORACLES: dict[str, str] = {
         SELECT symbol AS key, symbol, price, quantity, {_ISO} AS event_time, trade_id,
                is_buyer_maker
         FROM ({_TICKS})""",
+    "unique_ticks_stream": f"SELECT * EXCLUDE (event_at), event_at AS event_time FROM ({_ON_TIME})",
+    "tick_bars_stream": f"""
+        SELECT symbol, date_trunc('hour', event_at) AS open_time,
+               date_trunc('hour', event_at) + INTERVAL 1 HOUR AS close_time,
+               arg_min(price, (event_at, trade_id)) AS open, max(price) AS high, min(price) AS low,
+               arg_max(price, (event_at, trade_id)) AS close, sum(quantity) AS volume,
+               count(*) AS num_trades, sum(CASE WHEN is_buyer_maker THEN 0 ELSE quantity END) AS taker_buy_base_vol
+        FROM ({_ON_TIME}) WHERE {_CLOSED} GROUP BY symbol, date_trunc('hour', event_at)""",
+    "late_ticks_stream": f"""
+        SELECT symbol, date_trunc('hour', event_at) AS open_time, CAST(sum(n_lost) AS BIGINT) AS n_late
+        FROM (SELECT *, CASE WHEN {_HELD_BACK} THEN 1 WHEN event_at < {_CUT} AND trade_id % 7 = 0 THEN 1 ELSE 0 END
+                  AS n_lost FROM ({_TICKS}))
+        WHERE {_CLOSED} GROUP BY symbol, date_trunc('hour', event_at) HAVING sum(n_lost) > 0""",
+    "incremental_marts": with_tables(
+        "base_candles base_chart base_mood mood_corr anomalies",
+        f"""SELECT * REPLACE (CAST(num_trades AS INTEGER) AS num_trades,
+                CAST(fear_greed_value AS INTEGER) AS fear_greed_value)
+            FROM (SELECT {PRICE_OUT} FROM price)
+            LEFT JOIN (SELECT date_day, symbol, CAST(sentiment_change AS INTEGER) AS sentiment_change,
+                              next_day_return_pct, round(CASE WHEN isnan({_R}) THEN NULL ELSE {_R} END, 6) AS {_R},
+                              isnan({_R}) AS undefined FROM mood_corr) USING (date_day, symbol)
+            LEFT JOIN (SELECT date_day, symbol, volume_ma30, round(volume_z_score, 4) AS volume_z_score,
+                              is_volume_anomaly FROM anomalies) USING (date_day, symbol)""",
+        base_candles=_CTES["candles"],
+        candles="""SELECT * REPLACE (CASE WHEN fixed THEN close + 11 ELSE close END AS close,
+                CASE WHEN fixed THEN volume * 3 ELSE volume END AS volume,
+                CASE WHEN fixed THEN TIMESTAMP '2002-01-04' ELSE ingested_at END AS ingested_at)
+            FROM (SELECT *, CAST(open_time AS DATE) IN (DATE '1995-03-15', DATE '1996-08-02') AS fixed
+                  FROM base_candles)""",
+        base_chart=_CTES["chart"],
+        chart="""SELECT * REPLACE (CASE WHEN fixed THEN 1 ELSE market_cap_usd END AS market_cap_usd,
+                CASE WHEN fixed THEN TIMESTAMP '2002-01-05' ELSE ingested_at END AS ingested_at)
+            FROM (SELECT *, date_day = DATE '1993-02-01' AS fixed FROM base_chart)""",
+        base_mood=_CTES["mood"],
+        mood="""SELECT * REPLACE (CASE WHEN fixed THEN 7 ELSE fear_greed_value END AS fear_greed_value,
+                CASE WHEN fixed THEN TIMESTAMP '2002-01-04' ELSE ingested_at END AS ingested_at)
+            FROM (SELECT *, date_day BETWEEN DATE '1994-05-05' AND DATE '1994-05-10' AS fixed FROM base_mood)""",
+    ).replace("undefined FROM", "corr_is_nan FROM").replace(
+        "SELECT * REPLACE (CAST(num_trades", "SELECT * REPLACE (coalesce(corr_is_nan, FALSE) AS corr_is_nan, CAST(num_trades", 1
+    ),
 }

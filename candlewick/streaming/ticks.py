@@ -1,7 +1,8 @@
-"""Trade ticks: raw messages to typed rows, and a keyed JSON publish.
+"""Trade ticks: raw messages to typed rows, a keyed JSON publish, unique ticks and bars.
 
-Both are stateless projections, so they run the same on batch and streaming DataFrames and need
-neither a shuffle nor a watermark.  Source and sink formats are the caller's (Kafka, files, ...).
+Parsing and publishing are stateless projections, so they run the same on batch and streaming DataFrames
+and need neither a shuffle nor a watermark.  Unique ticks and bars are stateful, with state that a watermark
+bounds.  Source and sink formats are the caller's (Kafka, files, ...).
 """
 
 from __future__ import annotations
@@ -78,3 +79,102 @@ def publish_ticks(
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+# ---------------------------------------------------------------------------------------------
+# Stateful operators: repeated ticks, bars, late ticks
+# ---------------------------------------------------------------------------------------------
+
+
+def unique_ticks(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Ticks without repeated trades (symbol, trade_id), which feeds deliver again after a reconnect.
+
+    A stream keeps a trade's key until the watermark is ``delay`` beyond it, so the state is bounded by
+    the ticks of that span; ticks that come later than the watermark are dropped with it.  A batch has no
+    watermark and drops all repeated trades.
+    """
+    return ticks.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["symbol", "trade_id"])
+
+
+def tick_bars(ticks: DataFrame, width: str = "1 minute", delay: str | None = "10 minutes") -> DataFrame:
+    """OHLCV bars of complete ticks per symbol and event-time window.
+
+    Time, then trade id decide which tick opens and closes a bar, in whatever order ticks arrive.  A stream
+    in append mode emits a bar once, when the watermark has passed its end; a tick whose bar is out by then
+    is late (``late_ticks`` counts them).  Partial bars are built before the shuffle, so a hot symbol sends
+    one row per window and map task; state is one fixed-width row per symbol and open window.  Without a
+    ``delay`` the ticks have their watermark already (as ``unique_ticks`` gives them).
+    """
+    timed = ticks if delay is None else ticks.withWatermark("event_time", delay)
+    order = F.struct("event_time", "trade_id")
+    bought = F.when(F.col("is_buyer_maker"), 0.0).otherwise(F.col("quantity"))
+    return (
+        timed.groupBy(F.window("event_time", width), "symbol")
+        .agg(
+            F.min_by("price", order).alias("open"),
+            F.max("price").alias("high"),
+            F.min("price").alias("low"),
+            F.max_by("price", order).alias("close"),
+            F.sum("quantity").alias("volume"),
+            F.sum(F.col("price") * F.col("quantity")).alias("quote_volume"),
+            F.count(F.lit(1)).alias("num_trades"),
+            F.sum(bought).alias("taker_buy_base_vol"),
+        )
+        .select(
+            "symbol", F.col("window.start").alias("open_time"), F.col("window.end").alias("close_time"),
+            "open", "high", "low", "close", "volume", "quote_volume", "num_trades", "taker_buy_base_vol",
+        )
+    )
+
+
+def write_bars(
+    ticks: DataFrame, uri: str, checkpoint: str, width: str = "1 minute", delay: str | None = "10 minutes",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append finished bars to a Parquet table, whose log holds each micro-batch once whatever restarts."""
+    writer = (
+        tick_bars(complete_ticks(ticks), width, delay)
+        .writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start(uri)
+
+
+def write_seen(
+    ticks: DataFrame, uri: str, checkpoint: str, width: str = "1 minute", available_now: bool = False
+) -> StreamingQuery:
+    """Store how many complete ticks each micro-batch brought per symbol and window, however late.
+
+    A micro-batch owns its partition, so running it again after a failure replaces what it wrote.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy("symbol", F.window("event_time", width).alias("span")).agg(
+            F.count(F.lit(1)).alias("n_seen"), F.max("event_time").alias("last_time")
+        )
+        counted.select(
+            "symbol", F.col("span.start").alias("open_time"), F.col("span.end").alias("close_time"), "n_seen", "last_time"
+        ).write.mode("overwrite").parquet(f"{uri}/batch={batch_id}")
+
+    writer = complete_ticks(ticks).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+SEEN = "symbol STRING, open_time TIMESTAMP, close_time TIMESTAMP, n_seen BIGINT, last_time TIMESTAMP"
+
+
+def late_ticks(seen: DataFrame, bars: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """(symbol, open_time, n_late): ticks that came after their bar was out, from both streams' tables.
+
+    Bars that the watermark has not passed are still open and not compared.  Counts per window move, not
+    ticks.
+    """
+    totals = seen.groupBy("symbol", "open_time", "close_time").agg(F.sum("n_seen").alias("n_seen"))
+    newest = seen.agg((F.max("last_time") - F.expr(f"INTERVAL {delay}")).alias("watermark"))
+    closed = totals.join(F.broadcast(newest), F.col("close_time") <= F.col("watermark"))  # one row
+    built = bars.select("symbol", "open_time", "num_trades")
+    missing = F.col("n_seen") - F.coalesce("num_trades", F.lit(0))
+    return (
+        closed.join(built, ["symbol", "open_time"], "left")
+        .select("symbol", "open_time", missing.alias("n_late"))
+        .filter(F.col("n_late") > 0)
+    )
