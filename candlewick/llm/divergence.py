@@ -31,8 +31,8 @@ SCALE = 1_000_000_000
 TOP = 200
 #: Terms of one transducer; bytes of transducers that tasks hold at a time (more need more passes over texts).
 SHARD_TERMS, PASS_BYTES = 200_000, 64 * 2**20
-#: Entries and bytes that a task adds up before it hands them on.
-FLUSH_ENTRIES, FLUSH_BYTES = 300_000, 32 * 2**20
+#: Words and bytes of different terms (with what Python needs for one) that a task holds before it adds up.
+FLUSH_WORDS, FLUSH_BYTES, TERM_BYTES = 4_000_000, 96 * 2**20, 100
 #: Terms of a block and sources of a chunk whose values one task adds up.
 BLOCK_TERMS, CHUNK_SOURCES = 4096, 256
 CELLS = 1 << 20  # numbers in a task's matrix of shares
@@ -57,29 +57,46 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(*(F.coalesce(name, F.lit("")).alias(name) for name in ("lang", "source")), whole_text().alias("text"))
 
 
-class Sums:
-    """Counts by key and term, handed on whenever they have grown."""
+class Terms(dict):
+    """Terms numbered as they come."""
 
-    def __init__(self, rows: Callable[[dict[tuple, Counter]], pa.RecordBatch]):
-        self.counts: dict[tuple, Counter] = defaultdict(Counter)
-        self._rows, self._bytes, self._words = rows, 0, 0
+    n_bytes = 0
 
-    def add(self, key: tuple, terms: list[bytes] | set[bytes]) -> Iterator[pa.RecordBatch]:
-        self.counts[key].update(terms)
-        self._words += len(terms)
-        self._bytes += sum(map(len, terms))
-        # what was added bounds what is held; only then the entries themselves are counted
-        if self._words > FLUSH_ENTRIES or self._bytes > FLUSH_BYTES:
-            self._words = sum(map(len, self.counts.values()))
-            self._bytes = sum(len(term) for counter in self.counts.values() for term in counter)
-            if self._words > FLUSH_ENTRIES // 2 or self._bytes > FLUSH_BYTES // 2:
-                yield from self.flush()
+    def __missing__(self, term: bytes) -> int:
+        self.n_bytes += len(term) + TERM_BYTES
+        number = self[term] = len(self)
+        return number
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.counts:
-            yield self._rows(self.counts)
-        self.counts.clear()
-        self._bytes = self._words = 0
+
+class Tally:
+    """Terms of rows by (lang, source), as numbers, until they are many; then they are added up."""
+
+    def __init__(self):
+        self.terms: dict[str, Terms] = defaultdict(Terms)
+        self._held: dict[tuple[str, str], list[np.ndarray]] = defaultdict(list)
+        self._words = 0
+
+    def add(self, lang: str, source: str, words: list[bytes] | set[bytes]) -> bool:
+        """Take a row's terms in; whether it is time to add up."""
+        terms = self.terms[lang]
+        self._held[lang, source].append(np.fromiter(map(terms.__getitem__, words), np.int32, len(words)))
+        self._words += len(words) + 1
+        return self._words > FLUSH_WORDS or sum(t.n_bytes for t in self.terms.values()) > FLUSH_BYTES
+
+    def numbers(self) -> Iterator[tuple[str, str, np.ndarray]]:
+        """What is held, which is then let go."""
+        for (lang, source), held in self._held.items():
+            yield lang, source, np.concatenate(held)
+        self._held.clear()
+        self.terms.clear()
+        self._words = 0
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    """Arrays and single values, which are repeated, as rows."""
+    n = max(len(value) for value in columns.values() if not isinstance(value, str))
+    arrays = [pa.repeat(pa.scalar(v), n) if isinstance(v, str) else v for v in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(a) if isinstance(a, np.ndarray) else a for a in arrays], names=list(columns))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -90,18 +107,18 @@ class Sums:
 def kept_terms(texts: DataFrame) -> DataFrame:
     """(lang, term) of the terms in at least MIN_DOCS documents of a language, stored."""
 
-    def rows(counts: dict[tuple, Counter]) -> pa.RecordBatch:
-        found = [(lang, term.decode(), n) for (lang,), counter in counts.items() for term, n in counter.items()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([row[i] for row in found], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))],
-            names=["lang", "term", "n_docs"],
-        )
+    def summed(tally: Tally) -> Iterator[pa.RecordBatch]:
+        terms = {lang: pa.array(list(known), pa.binary()).cast(pa.string()) for lang, known in tally.terms.items()}
+        for lang, _, numbers in tally.numbers():
+            if len(terms[lang]):
+                yield _batch(lang=lang, term=terms[lang], n_docs=np.bincount(numbers, minlength=len(terms[lang])))
 
     def documents(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums(rows)
-        for lang, _, terms in _worded(parts):
-            yield from sums.add((lang,), set(terms))
-        yield from sums.flush()
+        tally = Tally()
+        for lang, _, words in _worded(parts):
+            if tally.add(lang, "", set(words)):
+                yield from summed(tally)
+        yield from summed(tally)
 
     found = ship(texts).mapInArrow(documents, "lang string, term string, n_docs bigint")
     kept = found.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= MIN_DOCS)
@@ -184,12 +201,19 @@ class Shards:
             rows = self._table.filter(wanted).toLocalIterator()
             yield {(r["lang"], r["first"].encode()): bytes(r["data"]) for r in rows}
 
-    def apply(self, rows: DataFrame, run: Callable, schema: str, name: str, limit: int) -> DataFrame | None:
-        """run(batches, vocabulary) over rows, once for each pass; the stored results together."""
+    def apply(
+        self, rows: DataFrame, run: Callable, schema: str, name: str, limit: int,
+        finish: Callable[[DataFrame], DataFrame] = lambda found: found,
+    ) -> DataFrame | None:
+        """finish(run(batches, vocabulary)) over rows, once for each pass; the stored results together.
+
+        A term belongs to one pass, so what finish adds up by term is complete.
+        """
         context, whole = rows.sparkSession.sparkContext, None
         for held in self.passes(limit):
             sent = context.broadcast((self.order, held))
-            found = stored(ship(rows).mapInArrow(lambda parts, sent=sent: run(parts, Vocabulary(*sent.value)), schema), name)
+            mapped = ship(rows).mapInArrow(lambda parts, sent=sent: run(parts, Vocabulary(*sent.value)), schema)
+            found = stored(finish(mapped), name)
             sent.destroy()
             whole = found if whole is None else whole.unionByName(found)
         return whole
@@ -199,26 +223,24 @@ def recounted(texts: DataFrame, shards: Shards, limit: int = PASS_BYTES) -> Data
     """(lang, source, ordinal, n): kept terms counted by the transducers; None without any shard."""
 
     def counted(parts: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-        def rows(counts: dict[tuple, Counter]) -> pa.RecordBatch:
-            columns: list[list] = [[], [], [], []]
-            for (lang, source), counter in counts.items():
-                places = vocabulary.ordinals(lang, list(counter))
-                kept = places >= 0
-                n = int(kept.sum())
-                numbers = np.fromiter(counter.values(), np.int64, len(counter))[kept]
-                for column, values in zip(columns, ([lang] * n, [source] * n, places[kept].tolist(), numbers.tolist())):
-                    column.extend(values)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-            arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "ordinal", "n"])
-
-        sums = Sums(rows)
-        for lang, source, terms in _worded(parts):
-            yield from sums.add((lang, source), terms)
-        yield from sums.flush()
-
-    found = shards.apply(texts, counted, "lang string, source string, ordinal bigint, n bigint", "term-counts", limit)
-    return found and stored(found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "term-sums")
+        def summed(tally: Tally) -> Iterator[pa.RecordBatch]:
+            places = {lang: vocabulary.ordinals(lang, list(known)) for lang, known in tally.terms.items()}
+            for lang, source, numbers in tally.numbers():
+                found = places[lang][numbers]
+                ordinals, n = np.unique(found[found >= 0], return_counts=True)
+                if len(ordinals):
+                    yield _batch(lang=lang, source=source, ordinal=ordinals, n=n)
+
+        tally = Tally()
+        for lang, source, words in _worded(parts):
+            if tally.add(lang, source, words):
+                yield from summed(tally)
+        yield from summed(tally)
+
+    def added(found: DataFrame) -> DataFrame:
+        return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+
+    return shards.apply(texts, counted, "lang string, source string, ordinal bigint, n bigint", "term-counts", limit, added)
 
 
 # ---------------------------------------------------------------------------------------------

@@ -77,7 +77,7 @@ def test_divergence_of_odd_rows_matches_duckdb(spark, odd, monkeypatch, shard_te
     """Also with many transducers, one a pass, tiny blocks and chunks, and sums handed on all the time."""
     monkeypatch.setattr(divergence, "SHARD_TERMS", shard_terms)
     if limit == 1:
-        for name, value in dict(BLOCK_TERMS=3, FLUSH_ENTRIES=4, FLUSH_BYTES=50).items():
+        for name, value in dict(BLOCK_TERMS=3, FLUSH_WORDS=40, FLUSH_BYTES=800, CHUNK_SOURCES=2, CELLS=4).items():
             monkeypatch.setattr(divergence, name, value)
     found = divergence.audited(cluttered(odd), limit=limit)
     assert oracle.differences(found, tables(documents=odd), DIVERGENCE) == ""
