@@ -23,6 +23,7 @@ from .common import read, stored, whole_text
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT, MAX_CAPITALS = 200, 50, 3  # words, percent of words, percent of characters
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SALTS = 16  # tasks that share the rows of one text
 ALL = "all"  # the table that every row is in
 COUNTS = ("n", "good", "toxic")
 
@@ -54,11 +55,14 @@ def facts(docs: DataFrame) -> DataFrame:
 def repeats(rows: DataFrame) -> DataFrame:
     """The numbers of rows whose text a smaller doc_id has: a left-semi join with each text's least id.
 
-    Only texts that two different ids have are joined; a text that very many rows share is one row there.
+    Only texts that two different ids have are joined.  The rows of a text are dealt over SALTS tasks, each
+    of which has the text's least id, so copies of one text do not meet in one task.
     """
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = least.filter("least < most").select(F.col("digest").alias("text"), "least")
-    again = (F.col("digest") == F.col("text")) & (F.col("doc_id") > F.col("least"))
+    shared = least.filter("least < most").select(
+        F.col("digest").alias("text"), "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    again = (F.col("digest") == F.col("text")) & (F.col("row") % SALTS == F.col("salt")) & (F.col("doc_id") > F.col("least"))
     return rows.join(shared, again, "left_semi").select("row")
 
 
