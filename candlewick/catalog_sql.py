@@ -509,7 +509,10 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, n_bars < 24 OR last_close >= TIMESTAMP '2024-01-30 00:00:00' AS is_last
               FROM pages) p"""),
     "parse_market_chart_payload": with_tables(
-        "chart", f"SELECT {_CHART_ROWS} FROM {_ONE_CHART_A_MONTH}"
+        "chart",
+        f"""SELECT {_CHART_ROWS} FROM {_ONE_CHART_A_MONTH} UNION ALL
+        SELECT * REPLACE (price_usd + 1 AS price_usd) FROM (SELECT {_CHART_ROWS} FROM {_ONE_CHART_A_MONTH})
+        WHERE month(date) = 6 AND day(date) = 1""",
     ),
     "parse_ohlc_payload": with_tables(
         "candles",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from candlewick.contracts import SENTIMENT_RANGES, UNKNOWN_SENTIMENT, VALID_INTERVALS
+from candlewick.contracts import SENTIMENT_RANGES, UNKNOWN_SENTIMENT
 
 
 def pct_change(current: Column, previous: Column) -> Column:
@@ -41,15 +41,6 @@ def sentiment_bucket(value: str) -> Column:
     return F.expr(bucket_case(f"`{value}`"))
 
 
-def known_interval(interval: Column) -> Column:
-    """A filter that every row passes; an interval the exchange does not know fails the query.
-
-    A filter, as an unused column would be dropped together with its check.
-    """
-    complaint = F.concat(F.lit("Invalid interval: "), F.coalesce(interval, F.lit("null")))
-    return F.when(interval.isin(*VALID_INTERVALS), True).otherwise(F.raise_error(complaint).cast("boolean"))
-
-
 def millis_to_timestamp(ms: Column) -> Column:
     return F.timestamp_millis(ms.cast("bigint"))
 

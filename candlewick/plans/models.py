@@ -22,7 +22,7 @@ from candlewick.config import LakeConfig, dataset_uri, prepare_session, table_ur
 from candlewick.contracts import GRAINS, LAYOUTS, DatasetSpec, dataset_spec
 from candlewick.operators.enrich import daily_enriched
 from candlewick.plans import gold, silver
-from candlewick.sources import versions
+from candlewick.sources import files, versions
 from candlewick.sources.bronze import read_bronze, time_span, with_run_partitions
 from candlewick.sources.versions import PERIOD, Part, Snapshot, TableState
 
@@ -81,7 +81,7 @@ class LoggedRun:
 def logged_runs(spark: SparkSession, cfg: LakeConfig) -> list[LoggedRun]:
     """The runs of the ingest log (one small row each)."""
     uri = table_uri(cfg, "quality", "ingest_log")
-    if not versions.exists(spark, uri):
+    if not files.exists(spark, uri):
         return []
     rows = prepare_session(spark, cfg).read.parquet(uri).collect()
 
@@ -159,7 +159,7 @@ class Build:
         """Switch the pointer to what was built; the tables."""
         self.snapshot = replace(self.snapshot, absorbed=dict(absorbed))
         versions.switch(self.spark, self.cfg, self.snapshot)
-        versions.remove(self.spark, self._work)
+        files.remove(self.spark, self._work)
         return {name: self.shown(name) for name in GRAINS}
 
 

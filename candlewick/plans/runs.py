@@ -11,18 +11,21 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from candlewick.config import LakeConfig, as_utc, prepare_session, run_partition, table_uri
 from candlewick.contracts import DATASETS, GRAINS, LAYOUTS, MARTS, DatasetSpec, dataset_spec
 from candlewick.operators.quality import (
+    DocumentCount,
     Suite,
+    document_results,
     enforce,
     gate,
     klines_suite,
     market_chart_suite,
     output_tests,
-    profile,
+    profile_measures,
+    profile_of,
     sentiment_suite,
 )
 from candlewick.plans import models
@@ -34,14 +37,11 @@ from candlewick.sources.bronze import (
     kline_run_window,
     logical_date_slice,
     read_bronze,
-    write_bronze,
+    stage_bronze,
     write_bronze_if_any,
 )
-from candlewick.sources.payloads import (
-    parse_klines,
-    parse_market_chart,
-    parse_sentiment_index,
-)
+from candlewick.sources.files import remove
+from candlewick.sources.payloads import rejected, tolerant_rows
 
 # A half-open span of fetch times.
 Span = tuple[datetime, datetime]
@@ -57,12 +57,6 @@ SUMMARY = (
 )
 
 
-def _parser(dataset: str) -> Callable[[DataFrame], DataFrame]:
-    if dataset == "market_chart":
-        return parse_market_chart
-    return parse_sentiment_index if dataset == "index" else parse_klines
-
-
 def _payloads(landing: DataFrame, spec: DatasetSpec) -> DataFrame:
     return landing.filter((F.col("source") == spec.source) & (F.col("dataset") == spec.dataset))
 
@@ -83,10 +77,6 @@ def fetched_within(landing: DataFrame, span: Span | None) -> DataFrame:
     return chosen
 
 
-def parse_dataset(landing: DataFrame, dataset: str) -> DataFrame:
-    return _parser(dataset)(_payloads(landing, dataset_spec(dataset)))
-
-
 def materialise_all(
     tables: Mapping[str, DataFrame], partitions: Mapping[str, Sequence[str]] | None = None
 ) -> dict[str, DataFrame]:
@@ -153,12 +143,38 @@ def default_suites() -> dict[str, Suite]:
     }
 
 
-def daily_slice(landing: DataFrame, dataset: str, day: date) -> DataFrame:
-    """What one logical date takes from the payloads of a dataset."""
-    spec = dataset_spec(dataset)
-    if dataset.startswith("klines"):
-        return kline_run_window(parse_dataset(landing, dataset), day, spec.time_col)
-    return logical_date_slice(parse_dataset(landing, dataset), day, spec.time_col)
+def daily_slice(rows: DataFrame, dataset: str, day: date) -> DataFrame:
+    """What one logical date takes from the rows of a dataset."""
+    take = kline_run_window if dataset.startswith("klines") else logical_date_slice
+    return take(rows, day, dataset_spec(dataset).time_col)
+
+
+@dataclass(frozen=True)
+class Ingest:
+    """What a run took in: the path of each dataset ("" where it has no rows) and its documents."""
+
+    written: dict[str, str]
+    documents: tuple[DocumentCount, ...]
+
+
+def _counted(spec: DatasetSpec, seen: Observation) -> DocumentCount:
+    return DocumentCount(spec.source, spec.dataset, seen.get["n_documents"], seen.get["n_rejected"])
+
+
+def quarantine(
+    spark: SparkSession, cfg: LakeConfig, documents: DataFrame, counts: Collection[DocumentCount], run_ts: datetime
+) -> None:
+    """Keep a run's faulty documents with their reasons in the ``quarantine`` table, by run and dataset.
+
+    Only datasets that have any are read again; what an earlier try of the run left is replaced.
+    """
+    for count in counts:
+        uri = run_partition(table_uri(cfg, "quality", "quarantine"), run_ts) + f"/dataset={count.dataset}"
+        if count.n_rejected:
+            faulty = rejected(_payloads(documents, dataset_spec(count.dataset)), count.dataset)
+            faulty.drop("dataset").write.mode("overwrite").parquet(uri)
+        else:
+            remove(spark, uri)
 
 
 def ingest_day(
@@ -167,17 +183,27 @@ def ingest_day(
     cfg: LakeConfig,
     run_ts: datetime,
     fetched: Span | None = None,
-) -> dict[str, str]:
-    """Write one logical date of every dataset; the path is "" where the date has no rows."""
+) -> Ingest:
+    """Write one logical date of every dataset; faulty documents are set apart.
+
+    Documents are parsed once: rows, times and faulty documents are counted while the run is written.
+    """
     documents = fetched_within(landing, fetched)
 
-    def ingest(spec: DatasetSpec) -> Callable[[], WriteReceipt | None]:
-        rows = daily_slice(documents, spec.dataset, as_utc(run_ts).date())
-        return lambda: write_bronze_if_any(rows, cfg, spec, run_ts)
+    def ingest(spec: DatasetSpec) -> Callable[[], tuple[WriteReceipt | None, DocumentCount]]:
+        def task() -> tuple[WriteReceipt | None, DocumentCount]:
+            seen = Observation()
+            rows = tolerant_rows(_payloads(documents, spec), spec.dataset, seen)
+            receipt = write_bronze_if_any(daily_slice(rows, spec.dataset, as_utc(run_ts).date()), cfg, spec, run_ts)
+            return receipt, _counted(spec, seen)
 
-    receipts = in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
-    log_ingest(spark, cfg, receipts, run_ts)
-    return {name: receipt.path if receipt else "" for name, receipt in receipts.items()}
+        return task
+
+    outcome = in_parallel({spec.dataset: ingest(spec) for spec in DATASETS})
+    counts = tuple(count for _, count in outcome.values())
+    quarantine(spark, cfg, documents, counts, run_ts)
+    log_ingest(spark, cfg, {name: receipt for name, (receipt, _) in outcome.items()}, run_ts)
+    return Ingest({name: receipt.path if receipt else "" for name, (receipt, _) in outcome.items()}, counts)
 
 
 def log_ingest(
@@ -213,6 +239,7 @@ def run_daily(
     as_of: date | None = None,
     reader: BronzeReader = read_bronze,
     fetched: Span | None = None,
+    max_rejected: int = 0,
 ) -> dict[str, DataFrame]:
     """Ingest one date, gate it, bring the models up to date, test them and publish the marts.
 
@@ -220,13 +247,15 @@ def run_daily(
     rebuilt from all of Bronze.  A failing gate raises before any model is touched.  Each step's tables are
     tested as they are built, and a failing test leaves all visible tables and the serving store as they
     were.  Both leave their results in the quality tables.  ``fetched`` limits the run to the documents of a
-    span.
+    span.  Faulty documents go to the ``quarantine`` table; more than ``max_rejected`` in a dataset fail the
+    gate, after the sound ones were stored.
     """
     prepare_session(spark, cfg)
-    written = ingest_day(spark, landing, cfg, run_ts, fetched)
+    taken = ingest_day(spark, landing, cfg, run_ts, fetched)
     input_results = gate(
-        spark, written, dict(suites or default_suites()),
+        spark, taken.written, dict(suites or default_suites()),
         table_uri(cfg, "quality", "input_results"), run_ts,
+        document_results(spark, taken.documents, max_rejected),
     )
     results_uri = run_partition(table_uri(cfg, "quality", "output_results"), run_ts)
     steps: list[DataFrame] = []
@@ -268,23 +297,43 @@ class BackfillReport:
     ok: bool
 
 
+@dataclass(frozen=True)
+class DatasetBackfill:
+    """One dataset's summary row, what it stored, and its documents (None where an error came first)."""
+
+    row: tuple
+    receipt: WriteReceipt | None = None
+    documents: DocumentCount | None = None
+
+
 def backfill_dataset(
-    landing: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime, since: date | None
-) -> tuple[tuple, WriteReceipt | None]:
-    """Validate and write one dataset's whole history; any error becomes its summary row."""
+    landing: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime, since: date | None,
+    max_rejected: int = 0,
+) -> DatasetBackfill:
+    """Write, validate and publish one dataset's whole history; any error becomes its summary row.
+
+    Documents are parsed once: the run is staged while its rules are counted, then put in place or dropped.
+    """
     try:
-        rows = parse_dataset(landing, spec.dataset)
+        seen = Observation()
+        rows = tolerant_rows(_payloads(landing, spec), spec.dataset, seen)
         if since is not None:
             rows = rows.filter(F.col(spec.time_col) >= F.lit(since.isoformat()).cast("timestamp"))
-        found = profile(rows, spec)
-        receipt = None if found.errors else write_bronze(rows, cfg, spec, run_ts)
+        staged = stage_bronze(rows, cfg, spec, run_ts, profile_measures(rows.schema, spec))
+        found, documents = profile_of(staged.counts, rows.schema, spec), _counted(spec, seen)
+        errors = [*found.errors, *filter(None, [documents.failure(max_rejected)])]
+        receipt = None
+        if errors:
+            staged.drop()
+        else:
+            receipt = staged.publish()
     except Exception as problem:  # one dataset must not stop the others
-        return (spec.source, spec.dataset, "ERROR", 0, None, None, None, [], str(problem)), None
-    path = receipt.path if receipt else None
-    return (
-        spec.source, spec.dataset, found.status, found.row_count, found.min_time, found.max_time,
-        path, [(error.rule, error.column, error.n_bad) for error in found.errors], None,
-    ), receipt
+        return DatasetBackfill((spec.source, spec.dataset, "ERROR", 0, None, None, None, [], str(problem)))
+    row = (
+        spec.source, spec.dataset, "FAIL" if errors else "PASS", found.row_count, found.min_time, found.max_time,
+        receipt.path if receipt else None, [(error.rule, error.column, error.n_bad) for error in errors], None,
+    )
+    return DatasetBackfill(row, receipt, documents)
 
 
 def run_backfill(
@@ -294,20 +343,27 @@ def run_backfill(
     run_ts: datetime,
     since: Mapping[str, date] | None = None,
     specs: Sequence[DatasetSpec] = DATASETS,
+    max_rejected: int = 0,
 ) -> BackfillReport:
-    """Write the full history of every dataset under the run date; Silver absorbs the overlap."""
+    """Write the full history of every dataset under the run date; Silver absorbs the overlap.
+
+    A dataset with more than ``max_rejected`` faulty documents fails and stores nothing; they are kept in the
+    ``quarantine`` table.
+    """
     prepare_session(spark, cfg)
     starts = since or {}
     outcome = in_parallel({
         spec.dataset: (
             lambda spec=spec: backfill_dataset(
-                landing, cfg, spec, run_ts, starts.get(spec.dataset)
+                landing, cfg, spec, run_ts, starts.get(spec.dataset), max_rejected
             )
         )
         for spec in specs
     })
-    log_ingest(spark, cfg, {name: receipt for name, (_, receipt) in outcome.items()}, run_ts)
-    rows = [row for row, _ in outcome.values()]
+    counts = [done.documents for done in outcome.values() if done.documents]
+    quarantine(spark, cfg, landing, counts, run_ts)
+    log_ingest(spark, cfg, {name: done.receipt for name, done in outcome.items()}, run_ts)
+    rows = [done.row for done in outcome.values()]
     return BackfillReport(
         spark.createDataFrame(rows, SUMMARY), all(row[2] == "PASS" for row in rows)
     )

@@ -7,6 +7,8 @@ all rows of a run go to the same partition.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -15,6 +17,7 @@ from pyspark.sql.types import DateType, IntegerType, StructType, TimestampNTZTyp
 
 from candlewick.config import LakeConfig, dataset_uri, prepare_session, run_uri
 from candlewick.contracts import RUN_PARTITIONS, DatasetSpec
+from candlewick.sources.files import move, remove
 
 
 @dataclass(frozen=True)
@@ -49,11 +52,46 @@ def write_bronze(
     return WriteReceipt(path, counts["n_rows"], counts["min_time"], counts["max_time"])
 
 
+@dataclass(frozen=True)
+class StagedRun:
+    """A run that is written but not part of its dataset yet, with what was measured while writing it."""
+
+    spark: SparkSession
+    draft: str
+    path: str
+    counts: Mapping[str, object]
+
+    def publish(self) -> WriteReceipt:
+        """Put the run in its place, instead of an earlier try's."""
+        move(self.spark, self.draft, self.path)
+        return WriteReceipt(self.path, self.counts["n_rows"], self.counts["min_time"], self.counts["max_time"])
+
+    def drop(self) -> None:
+        remove(self.spark, self.draft)
+
+
+def stage_bronze(
+    df: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime, measures: Sequence[Column] = ()
+) -> StagedRun:
+    """Write a run beside its dataset and take ``measures`` of its rows in the same pass."""
+    seen = Observation()
+    times = [F.min(spec.time_col), F.max(spec.time_col)] if spec.time_col in df.columns else [F.lit(None)] * 2
+    own = [F.count(F.lit(1)).alias("n_rows"), times[0].alias("min_time"), times[1].alias("max_time")]
+    spark = prepare_session(df.sparkSession, cfg)
+    draft = f"{cfg.root}/staging/{spec.source}/{spec.dataset}/{uuid.uuid4().hex}"
+    df.observe(seen, *own, *measures).write.mode("overwrite").parquet(draft)
+    return StagedRun(spark, draft, run_uri(cfg, spec.source, spec.dataset, run_ts), seen.get)
+
+
 def write_bronze_if_any(
     df: DataFrame, cfg: LakeConfig, spec: DatasetSpec, run_ts: datetime
 ) -> WriteReceipt | None:
-    """Store a run unless it has no rows (then nothing is written)."""
-    return None if df.isEmpty() else write_bronze(df, cfg, spec, run_ts)
+    """Store a run unless it has no rows; they are computed once."""
+    staged = stage_bronze(df, cfg, spec, run_ts)
+    if staged.counts["n_rows"]:
+        return staged.publish()
+    staged.drop()
+    return None
 
 
 def with_run_partitions(schema: StructType) -> StructType:

@@ -284,14 +284,15 @@ def kline_payloads(candles: DataFrame, interval: str, page_unit: str) -> DataFra
     )
 
 
-def chart_payloads(chart: DataFrame) -> DataFrame:
+def chart_payloads(chart: DataFrame, repeat_month: int | None = None) -> DataFrame:
     """Market-chart documents per coin and month.
 
-    Documents of odd months lack the first day's market cap, so those lists do not line up.
+    Documents of odd months lack the first day's market cap, so those lists do not line up.  Those of
+    ``repeat_month`` end with the first day's price again, one unit higher.
     """
 
     def points(value: str) -> Column:
-        return _array(F.array(_ms("date"), F.col(value).cast("string")))
+        return _array(F.array(_ms("date"), F.expr(value).cast("string")))
 
     month = F.date_trunc("month", "date")
     docs = chart.groupBy(F.col("coin_id").alias("entity"), month.alias("page")).agg(
@@ -301,6 +302,7 @@ def chart_payloads(chart: DataFrame) -> DataFrame:
                 F.struct(
                     "date",
                     points("price_usd").alias("price"),
+                    points("price_usd + 1").alias("price_again"),
                     points("market_cap_usd").alias("cap"),
                     points("volume_usd").alias("volume"),
                 )
@@ -310,8 +312,12 @@ def chart_payloads(chart: DataFrame) -> DataFrame:
     caps = F.when(
         F.month("page") % 2 == 1, F.filter(F.col("points"), lambda p: F.dayofmonth(p["date"]) != 1)
     ).otherwise(F.col("points"))
+    again = F.filter(
+        F.col("points"), lambda p: (F.dayofmonth(p["date"]) == 1) & F.lit(repeat_month).eqNullSafe(F.month("page"))
+    )
+    prices = F.concat(F.col("points.price"), F.transform(again, lambda p: p["price_again"]))
     body = F.concat(
-        F.lit('{"prices":'), _array(F.col("points.price")),
+        F.lit('{"prices":'), _array(prices),
         F.lit(',"market_caps":'), _array(F.transform(caps, lambda p: p["cap"])),
         F.lit(',"total_volumes":'), _array(F.col("points.volume")),
         F.lit("}"),

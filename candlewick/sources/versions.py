@@ -20,6 +20,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from candlewick.config import LakeConfig, as_utc, prepare_session, table_uri
 from candlewick.contracts import LAYOUTS, Layout
+from candlewick.sources.files import folders, read_text, remove, replace_text
 
 VERSION = "version"
 PERIOD = "period"
@@ -65,57 +66,6 @@ def pointer_uri(cfg: LakeConfig) -> str:
     return f"{cfg.root}/models/current.json"
 
 
-def _file_system(spark: SparkSession, uri: str):
-    """Hadoop's file system and path of a URI, under the session's settings."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    path = jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(conf), path
-
-
-def exists(spark: SparkSession, uri: str) -> bool:
-    fs, path = _file_system(spark, uri)
-    return fs.exists(path)
-
-
-def read_text(spark: SparkSession, uri: str) -> str | None:
-    """A small file's text; None if there is no such file."""
-    fs, path = _file_system(spark, uri)
-    if not fs.exists(path):
-        return None
-    stream = fs.open(path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def replace_text(spark: SparkSession, uri: str, text: str) -> None:
-    """Replace a small file in one step: readers see the old text or the new one, never a part.
-
-    The draft is renamed over the file.  That is one step in HDFS and local file systems; object stores
-    put the renamed file as a whole.
-    """
-    fs, path = _file_system(spark, uri)
-    fs.mkdirs(path.getParent())
-    draft = _file_system(spark, f"{uri}.{uuid.uuid4().hex}.draft")[1]
-    stream = fs.create(draft, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    context = hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf())
-    context.rename(context.makeQualified(draft), context.makeQualified(path), options)
-
-
-def remove(spark: SparkSession, uri: str) -> None:
-    """Remove a directory or file, if it is there."""
-    fs, path = _file_system(spark, uri)
-    fs.delete(path, True)
-
-
 def current(spark: SparkSession, cfg: LakeConfig) -> Snapshot | None:
     """The visible snapshot; None before the first one."""
     text = read_text(prepare_session(spark, cfg), pointer_uri(cfg))
@@ -214,10 +164,9 @@ def vacuum(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     for name in LAYOUTS if snapshot else ():
         state = snapshot.tables.get(name)
         held = {version for _, version in state.parts} if state else set()
-        fs, path = _file_system(spark, _uri(cfg, name))
-        for found in fs.listStatus(path) if fs.exists(path) else ():
-            folder = found.getPath()
-            if folder.getName().startswith(f"{VERSION}=") and folder.getName()[len(VERSION) + 1 :] not in held:
-                fs.delete(folder, True)
-                removed.append(folder.toString())
+        for folder in folders(spark, _uri(cfg, name)):
+            key, _, version = folder.rpartition("/")[2].partition("=")
+            if key == VERSION and version not in held:
+                remove(spark, folder)
+                removed.append(folder)
     return removed

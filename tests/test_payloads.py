@@ -1,8 +1,10 @@
-from datetime import date, datetime
+import random
+from collections import Counter
+from datetime import date, datetime, timezone
 
 import pytest
 from helpers import DAY1, DAY2, FETCHED, chart_doc, kline, landing, plan_of
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from candlewick.sources import payloads
 
@@ -55,10 +57,71 @@ def test_market_chart_keeps_null_values_of_matched_timestamps(spark):
     ]
 
 
-def test_market_chart_parses_each_body_once_per_way(spark, tmp_path):
+def test_market_chart_takes_one_scan_one_parse_and_no_shuffle(spark, tmp_path):
     landing(spark, chart_doc()).write.parquet(str(tmp_path / "l"))
-    df = payloads.parse_market_chart(spark.read.parquet(str(tmp_path / "l")))
-    assert plan_of(df).count("from_json") == 2
+    plan = plan_of(payloads.parse_market_chart(spark.read.parquet(str(tmp_path / "l"))))
+    assert (plan.count("from_json"), plan.count("FileScan"), plan.count("Exchange")) == (1, 1, 0)
+    assert plan.count("array_sort") == 1
+
+
+def test_ragged_market_charts_equal_a_plain_join(spark):
+    """Missing, repeated, null and unordered timestamps, empty lists; every document by itself."""
+    pick = random.Random(4)
+
+    def points():
+        days = [pick.choice([None, *range(6)]) for _ in range(pick.randint(0, 7))]
+        return [[None if day is None else DAY1 + day * 86_400_000, pick.choice([None, pick.randint(1, 9)])] for day in days]
+
+    docs = [dict(prices=points(), market_caps=points(), total_volumes=points()) for _ in range(150)]
+    docs.append(chart_doc(days=[DAY1 + i * 60_000 for i in range(20_000)], caps=[DAY1 + i * 60_000 for i in range(1, 20_001)]))
+    want = Counter(
+        (datetime.fromtimestamp(t / 1000, timezone.utc).replace(tzinfo=None), p, c, v)
+        for doc in docs[:-1]
+        for t, p in doc["prices"] if t is not None
+        for t2, c in doc["market_caps"] if t2 == t
+        for t3, v in doc["total_volumes"] if t3 == t
+    )
+    columns = ["date", "price_usd", "market_cap_usd", "volume_usd"]
+    found = payloads.parse_market_chart(landing(spark, *docs[:-1])).select(*columns).collect()
+    assert want.total() > 50 and Counter(map(tuple, found)) == want
+    assert payloads.parse_market_chart(landing(spark, docs[-1])).count() == 19_999
+
+
+def test_faulty_documents_are_set_apart_with_their_reason(spark):
+    good = [kline(DAY1), kline(DAY2)]
+    bodies = {
+        "p0": good, "p1": "not json", "p2": '[["1", "2"', "p3": "", "p4": "null", "p5": {"no": "list"}, "p6": [good[0][:8]],
+        "p7": [good[0], ["x", *good[0][1:]]], "p8": [[10**18, *good[0][1:]]], "p9": [[*good[0][:9], "1,5", *good[0][10:]]],
+        "p10": [], "p11": [[good[0][0], None, *good[0][2:]]],
+    }
+    docs = klines(spark, *bodies.values()).unionByName(klines(spark, good, interval="7d", start=20))
+    docs = docs.unionByName(klines(spark, good, start=30).withColumn("body", F.lit(None).cast("string")))
+    seen = Observation()
+    rows = payloads.tolerant_rows(docs, "klines_1d", seen)
+    assert rows.columns == payloads.parse_klines(docs).columns and len(rows.collect()) == 2 + 0 + 1
+    reasons = {r["payload_id"]: r["reason"] for r in payloads.rejected(docs, "klines_1d").collect()}
+    malformed = dict.fromkeys(["p1", "p2", "p3", "p4", "p5", "p30"], "Malformed body")
+    assert reasons == malformed | {
+        "p6": "Short bar", "p7": "Bad number", "p8": "Bad number", "p9": "Bad number", "p20": "Invalid interval: 7d",
+    }
+    assert seen.get == {"n_documents": 14, "n_rejected": len(reasons)}
+    kept = payloads.rejected(docs, "klines_1d").filter("payload_id = 'p1'").first()
+    assert (kept["body"], kept["entity"], kept["interval"], kept["fetched_at"]) == ("not json", "BTCUSDT", "1d", FETCHED)
+
+    charts = landing(
+        spark, chart_doc(), {"prices": []}, {**chart_doc(), "prices": [["x", 1]]}, {**chart_doc(), "prices": [[DAY1]]},
+        {**chart_doc(), "total_volumes": [[1e18, 2.0]]},
+    )
+    assert payloads.tolerant_rows(charts, "market_chart", Observation()).count() == 2
+    reasons = [r["reason"] for r in payloads.rejected(charts, "market_chart").orderBy("payload_id").collect()]
+    assert reasons == ["Missing key 'market_caps'", "Malformed body", "Short point", "Bad time"]
+
+    entry = INDEX["data"][0]
+    index = landing(spark, INDEX, {"error": "x"}, {"data": [{**entry, "value": "n/a"}]}, dataset="index")
+    assert payloads.tolerant_rows(index, "index", Observation()).count() == 2
+    assert [r["reason"] for r in payloads.rejected(index, "index").orderBy("payload_id").collect()] == [
+        "Missing key 'data'", "Bad number",
+    ]
 
 
 def test_market_chart_without_a_list_fails(spark):

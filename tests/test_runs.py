@@ -10,7 +10,7 @@ from candlewick.config import dataset_uri, table_uri
 from candlewick.contracts import MARTS, dataset_spec
 from candlewick.operators.quality import QualityGateError, Suite
 from candlewick.plans import runs, serving
-from candlewick.sources import bronze
+from candlewick.sources import bronze, files
 from candlewick.sources.drift import read_drifted
 
 RUN = datetime(2024, 1, 2, 8, 30)
@@ -44,7 +44,7 @@ def test_daily_run_slices_gates_builds_and_publishes(spark, cfg):
     assert (row["date_day"], row["symbol"], row["close"]) == (date(2024, 1, 2), "BTCUSDT", 43_000.0)
     assert (row["market_cap_usd"], row["fear_greed_value"]) == (8.2e11, 72)
     assert result["output_results"].count() == 38
-    assert result["input_results"].count() == 9 + 12 + 12 + 6
+    assert result["input_results"].count() == 9 + 12 + 12 + 6 + 4
     assert all(sink[1](name) == 1 for name in MARTS)
     log = spark.read.parquet(table_uri(cfg, "quality", "ingest_log"))
     assert {(r["dataset"], r["row_count"]) for r in log.collect()} == {
@@ -95,8 +95,10 @@ def test_backfill_datasets_are_independent(spark, cfg):
     report = runs.run_backfill(spark, cfg, payloads, RUN, since={"index": date(2024, 1, 2)})
     rows = {r["dataset"]: r for r in report.summary.collect()}
     assert not report.ok
-    assert rows["market_chart"]["status"] == "ERROR" and rows["market_chart"]["path"] is None
-    assert "market_caps" in rows["market_chart"]["problem"]
+    assert rows["market_chart"]["status"] == "FAIL" and rows["market_chart"]["path"] is None
+    assert rows["market_chart"]["errors"] == [("row_count", "*", 1), ("malformed", "body", 1)]
+    kept = spark.read.parquet(table_uri(cfg, "quality", "quarantine")).collect()
+    assert [(r["dataset"], r["reason"]) for r in kept] == [("market_chart", "Missing key 'market_caps'")]
     assert rows["klines_1d"]["status"] == "FAIL"
     assert rows["klines_1d"]["errors"] == [("row_count", "*", 1)]
     assert rows["klines_1h"]["status"] == "PASS" and rows["klines_1h"]["row_count"] == 3
@@ -192,3 +194,49 @@ def test_a_run_reads_only_the_documents_of_its_span(spark, cfg, tmp_path):
     assert result["mart_price_analysis"].count() == 1
     with pytest.raises(Exception, match="(?i)malformed"):
         runs.run_daily(spark, cfg, stored, RUN)
+
+
+def test_faulty_documents_are_quarantined_and_counted(spark, cfg):
+    """The sound documents are stored; beyond the limit the gate fails, up to it the run goes on."""
+    faulty = landing(spark, "{", "[[1]]", source="binance", dataset="klines_1d", entity="X", interval="1d", start=50)
+    payloads = all_payloads(spark).unionByName(faulty)
+    with pytest.raises(QualityGateError, match="binance/klines_1d malformed\\(body\\) x 2"):
+        runs.run_daily(spark, cfg, payloads, RUN)
+    assert runs.stored_tables(spark, cfg) == {}
+    assert bronze.read_bronze(spark, cfg, dataset_spec("klines_1d")).count() == 1
+    table = table_uri(cfg, "quality", "quarantine")
+    kept = spark.read.parquet(table).orderBy("payload_id").collect()
+    assert [(r["payload_id"], r["body"], r["reason"]) for r in kept] == [("p50", "{", "Malformed body"), ("p51", "[[1]]", "Short bar")]
+    result = runs.run_daily(spark, cfg, payloads, RUN, max_rejected=2)
+    assert result["mart_price_analysis"].count() == 1
+    counted = result["input_results"].filter("rule = 'malformed' AND n_bad > 0").collect()
+    assert [(r["dataset"], r["n_rows"], r["n_bad"], r["success"]) for r in counted] == [("klines_1d", 3, 2, True)]
+    runs.run_daily(spark, cfg, all_payloads(spark), RUN)  # mended: nothing is left of the earlier try
+    assert files.folders(spark, f"{table}/run=20240102_083000") == []
+
+
+def test_only_faulty_documents_stop_the_run_with_their_rule(spark, cfg):
+    faulty = landing(spark, "nothing", source="binance", dataset="klines_1d", entity="X", interval="1d", start=50)
+    payloads = all_payloads(spark).filter("dataset != 'klines_1d'").unionByName(faulty)
+    with pytest.raises(QualityGateError, match="malformed"):
+        runs.run_daily(spark, cfg, payloads, RUN)
+    kept = spark.read.parquet(table_uri(cfg, "quality", "input_results"))
+    assert kept.filter("rule = 'malformed' AND NOT success").count() == 1
+
+
+def test_a_backfill_parses_each_document_once(spark, cfg, tmp_path):
+    """Every document passes an accumulator on its way to the parser; a failed dataset leaves no draft."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            passed.add(part.num_rows)
+            yield part
+
+    payloads = all_payloads(spark).mapInArrow(count, all_payloads(spark).schema)
+    report = runs.run_backfill(spark, cfg, payloads, RUN)
+    assert report.ok and passed.value == 4 * 4  # each dataset filters the four documents of all
+    broken = all_payloads(spark, daily=[]).filter("dataset = 'klines_1d'")
+    assert not runs.run_backfill(spark, cfg, broken, datetime(2024, 1, 9)).ok
+    for source, dataset in (("binance", "klines_1d"), ("coingecko", "market_chart"), ("feargreed", "index")):
+        assert files.folders(spark, f"{cfg.root}/staging/{source}/{dataset}") == []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.contracts import GRAINS, dataset_spec
 from candlewick.plans import models, runs
-from candlewick.sources import bronze, versions
+from candlewick.sources import bronze, files, versions
 
 START = datetime(2023, 10, 20)
 
@@ -79,14 +79,14 @@ def test_pointer_is_replaced_as_a_whole(spark, cfg):
     assert versions.current(spark, cfg) == first
     versions.switch(spark, cfg, versions.Snapshot("v2"))
     assert versions.current(spark, cfg) == versions.Snapshot("v2")
-    fs, path = versions._file_system(spark, f"{cfg.root}/models")
-    assert [f.getPath().getName() for f in fs.listStatus(path) if not f.getPath().getName().startswith(".")] == ["current.json"]
+    names = [found.rpartition("/")[2] for found in files.folders(spark, f"{cfg.root}/models")]
+    assert [name for name in names if not name.startswith(".")] == ["current.json"]
 
 
 def test_a_killed_or_failing_build_changes_nothing_visible(spark, cfg, monkeypatch):
     store(spark, cfg, START, [candle(d) for d in days(40)], HOUR, [point(d) for d in days(40)], [mood(d) for d in days(40)])
     before = contents(models.refresh(spark, cfg, START))
-    pointer = versions.read_text(spark, versions.pointer_uri(cfg))
+    pointer = files.read_text(spark, versions.pointer_uri(cfg))
     later = START + timedelta(days=50)
     store(spark, cfg, later, [candle(days(40)[3], close=99.0, ingested=later)])
 
@@ -98,7 +98,7 @@ def test_a_killed_or_failing_build_changes_nothing_visible(spark, cfg, monkeypat
 
         with pytest.raises(RuntimeError, match="found wanting"):
             models.refresh(spark, cfg, later, check=check)
-        assert versions.read_text(spark, versions.pointer_uri(cfg)) == pointer
+        assert files.read_text(spark, versions.pointer_uri(cfg)) == pointer
         assert contents(runs.stored_tables(spark, cfg)) == before
 
     whole = versions.write_version
@@ -192,7 +192,7 @@ def test_reads_of_some_periods_list_only_those(spark, cfg):
     rows = versions.read_version(spark, cfg, "mart_price_analysis", state, parts)
     assert len(rows.inputFiles()) == 2 and {r["date_day"].year for r in rows.collect()} == {2020, 2021}
     assert "InMemoryFileIndex(2 paths)" in plan_of(rows)
-    assert json.loads(versions.read_text(spark, versions.pointer_uri(cfg)))["absorbed"]
+    assert json.loads(files.read_text(spark, versions.pointer_uri(cfg)))["absorbed"]
 
 
 def test_periods_that_a_change_reaches(spark):
