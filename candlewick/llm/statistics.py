@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import re
 import sys
 
 import numpy as np
 
 SPACES = " \t\n\r\x0b\x0c"  # what separates words: [\x20\x09-\x0D]
 SYMBOLS = "#*$%&|<>"
-_DIGITS = re.compile(r"[0-9]")
-#: All code points that lower() changes.
-_UPPER = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.lower() != c) + "]")
+#: Whether lower() changes a code point.
+_IS_UPPER = np.fromiter((c.lower() != c for c in map(chr, range(sys.maxunicode + 1))), bool, sys.maxunicode + 1)
 
 FEATURES = (
     "log_chars log_words word_length symbols_per_word pipes_per_word bangs_per_word digits_per_char upper_per_char "
@@ -67,7 +65,7 @@ def features(text: str) -> list[float]:
         return [0.0] * len(FEATURES)
     doubled, lines = duplicate_lines(text)
     digits = sum(map(text.count, "0123456789"))
-    upper = len(_UPPER.findall(text))
+    upper = int(_IS_UPPER[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].sum())
     return [
         np.log1p(chars), np.log1p(n), sum(map(len, words)) / n, sum(map(text.count, SYMBOLS)) / n, text.count("|") / n,
         text.count("!") / n, digits / chars, upper / chars, text.count(".") / n, text.count(",") / n,
