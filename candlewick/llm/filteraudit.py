@@ -13,6 +13,7 @@ several label rows of an id any that says 1 counts.  Other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -85,25 +86,30 @@ def id_tables(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(own.unionByName(again), "filter-rows", partition_by=("filter",))
 
 
+def spread(rows: DataFrame, tables: DataFrame, names: str) -> DataFrame:
+    """Rows (with the set that they outlived, ``before``), and those that outlive each set of names as well."""
+    branches = [rows]
+    for name in names:
+        failing = tables.filter(F.col("filter") == name).select("row")
+        branches += [
+            outlived.filter(F.col("filter") != name).join(failing, "row", "left_anti")
+            .withColumn("before", F.concat("before", F.lit(name)))
+            for outlived in branches
+        ]
+    return reduce(DataFrame.unionByName, branches)
+
+
 def after_sets(tables: DataFrame) -> DataFrame:
     """(filter, before, part, n, good, toxic): what each filter removes after each set of other filters.
 
-    ``before`` holds the set's letters in order; the rows of ALL are the survivors of the set.  Every round
-    adds one filter to all sets so far by one left-anti join, for all filters' rows at once.
+    ``before`` holds the set's letters in order; the rows of ALL are the survivors of the set.  Every filter
+    is added to all sets so far by left-anti joins, for all filters' rows at once.  The sets of the first
+    filters are stored, which keeps plans small.
     """
-    branches = {"": tables}
-    for name in FILTERS:
-        failing = tables.filter(F.col("filter") == name).select("row")
-        for before, rows in list(branches.items()):
-            others = rows.filter(F.col("filter") != name)
-            branches[before + name] = others.join(failing, "row", "left_anti")
-    counted = None
-    for before, rows in branches.items():
-        counts = rows.groupBy("filter", "part").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")
-        ).withColumn("before", F.lit(before))
-        counted = counts if counted is None else counted.unionByName(counts)
-    return counted
+    first = stored(spread(tables.withColumn("before", F.lit("")), tables, FILTERS[:2]), "filter-sets")
+    return spread(first, tables, FILTERS[2:]).groupBy("filter", "before", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")
+    )
 
 
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
