@@ -469,10 +469,9 @@ def gate_failures(spark, sf_dir):
     return kept.withColumn("path", F.regexp_extract("path", "bronze/.*", 0))
 
 
-@query
-def output_test_results(spark, sf_dir):
-    """All 38 output tests; the tables are stored first, as the tests read each of them often."""
-    scratch = shared_scratch(spark, "output-tests")
+def _model_tables(spark: SparkSession, sf_dir: str, purpose: str) -> dict[str, DataFrame]:
+    """Silver, enriched and mart tables, stored, as the output tests read each of them often."""
+    scratch = shared_scratch(spark, purpose)
 
     def stored(**frames: DataFrame) -> list[DataFrame]:
         return list(
@@ -492,18 +491,47 @@ def output_test_results(spark, sf_dir):
     correlation, anomalies = stored(
         correlation=gold.sentiment_correlation(price), anomalies=gold.volume_anomalies(price)
     )
-    return quality.output_tests(
-        {
-            "silver_klines": klines,
-            "silver_market_chart": chart,
-            "silver_sentiment": mood,
-            "daily_enriched": enriched,
-            "mart_price_analysis": price,
-            "mart_sentiment_correlation": correlation,
-            "mart_volume_anomalies": anomalies,
-        },
-        AS_OF,
-    )
+    return {
+        "silver_klines": klines,
+        "silver_market_chart": chart,
+        "silver_sentiment": mood,
+        "daily_enriched": enriched,
+        "mart_price_analysis": price,
+        "mart_sentiment_correlation": correlation,
+        "mart_volume_anomalies": anomalies,
+    }
+
+
+@query
+def output_test_results(spark, sf_dir):
+    """All 38 output tests over sound tables."""
+    return quality.output_tests(_model_tables(spark, sf_dir, "output-tests"), AS_OF)
+
+
+@query
+def output_test_failures(spark, sf_dir):
+    """All 38 output tests over tables in which each of them finds something."""
+    sound = _model_tables(spark, sf_dir, "faulty-tables")
+    return quality.output_tests({name: tables.faulty(name, rows) for name, rows in sound.items()}, AS_OF)
+
+
+@query
+def suite_lookup(spark, sf_dir):
+    """The input suites by the name of their source, over the tables that they are made for."""
+    checked = {
+        "binance": (tables.candle_ingests(spark, sf_dir), {"symbols": ("1", "2", "3")}),
+        "coingecko": (tables.coin_charts(spark, sf_dir), {"coins": ("A", "N")}),
+        "feargreed": (_shifted_sentiment(spark, sf_dir), {}),
+    }
+    # charts by day have the day alone
+    checked["coingecko"] = (checked["coingecko"][0].withColumn("date", F.col("date_day")), checked["coingecko"][1])
+    first, *others = [
+        quality.evaluate(rows, quality.suite_for(source, **parameters)).drop("dataset", "path")
+        for source, (rows, parameters) in checked.items()
+    ]
+    for other in others:
+        first = first.unionByName(other)
+    return first
 
 
 # ---------------------------------------------------------------------------------------------
@@ -611,8 +639,8 @@ def serving_publish(spark, sf_dir):
     return serving.row_counts({name: spark.read.parquet(f"{uri}/{name}") for name in marts})
 
 
-def _landing_table(spark: SparkSession, sf_dir: str, uri: str) -> DataFrame:
-    """All datasets' payload documents, stored once and partitioned by dataset."""
+def _landing_table(spark: SparkSession, sf_dir: str, uri: str, faulty: bool = False) -> DataFrame:
+    """All datasets' payload documents, stored once, partitioned by dataset and date of fetching."""
     days = _stored_days(spark, sf_dir)
     landing = (
         tables.chart_payloads(tables.market_chart(days))
@@ -626,8 +654,26 @@ def _landing_table(spark: SparkSession, sf_dir: str, uri: str) -> DataFrame:
         )
         .unionByName(tables.index_payloads(tables.sentiment_index(days)))
     )
-    landing.write.mode("overwrite").partitionBy("dataset").parquet(uri)
-    return spark.read.schema(landing.schema).parquet(uri)
+    if faulty:
+        landing = tables.faulty_payloads(landing)
+    dated = landing.withColumn(runs.FETCH_DATE, F.to_date("fetched_at"))
+    keys = ["dataset", runs.FETCH_DATE]
+    dated.repartition(*keys).write.mode("overwrite").partitionBy(*keys).parquet(uri)
+    return spark.read.schema(dated.schema).parquet(uri)
+
+
+@query
+def quarantined_documents(spark, sf_dir):
+    """Faulty documents of a backfill by dataset and reason, and what the sound ones gave."""
+    cfg = LakeConfig(data_dir=shared_scratch(spark, "quarantine"))
+    landing = _landing_table(spark, sf_dir, f"{cfg.root}/landing", faulty=True)
+    # all of a dataset's documents may be faulty
+    report = runs.run_backfill(spark, cfg, landing, datetime(2002, 1, 2, 3, 4, 5), max_rejected=landing.count())
+    kept = spark.read.parquet(f"{cfg.root}/quality/quarantine")
+    reasons = kept.groupBy("dataset", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return reasons.unionByName(
+        report.summary.select("dataset", F.lit("stored").alias("reason"), F.col("row_count").alias("n_rows"))
+    )
 
 
 @query
@@ -644,7 +690,8 @@ def run_summary(spark, sf_dir):
 
 @query
 def daily_run(spark, sf_dir):
-    """Backfill all history, then run one day again: gate, rebuild, test, publish."""
+    """Backfill all history, then run one day again from the documents fetched when its month was over: gate,
+    merge, test, publish."""
     cfg = LakeConfig(data_dir=shared_scratch(spark, "daily-run"))
     landing = _landing_table(spark, sf_dir, f"{cfg.root}/landing")
     runs.run_backfill(spark, cfg, landing, datetime(2002, 1, 2, 3, 4, 5))
@@ -658,6 +705,7 @@ def daily_run(spark, sf_dir):
     result = runs.run_daily(
         spark, cfg, landing, datetime(1998, 3, 9, 8, 30), suites,
         sink=serving.parquet_sink(spark, f"{cfg.root}/serving"),
+        fetched=(datetime(1998, 3, 10), datetime(1998, 4, 2)),
     )
     return result["mart_price_analysis"]
 

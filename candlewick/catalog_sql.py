@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from candlewick.contracts import SENTIMENT_RANGES
+from candlewick.sources.tables import FAULTS
 
 
 def _bucket(value: str) -> str:
@@ -340,7 +343,7 @@ _OUTPUT_TESTS = " UNION ALL ".join([
     _model("mart_price_analysis", "price", _nulls("date_day symbol close")),
     _model("mart_sentiment_correlation", "mood_corr", _nulls("date_day symbol")),
     _model("mart_volume_anomalies", "anomalies", _nulls("date_day symbol is_volume_anomaly")),
-    _set_check("silver_sentiment", "unique", "date_day", _repeats("mood", "date_day")),
+    _set_check("silver_sentiment", "unique", "date_day", _repeats("mood WHERE date_day IS NOT NULL", "date_day")),
     _set_check("silver_klines", "grain", "symbol,interval,open_time",
                _repeats("silver_klines", "symbol,interval,open_time")),
     _set_check("silver_market_chart", "grain", "coin_id,date_day",
@@ -357,6 +360,37 @@ _OUTPUT_TESTS = " UNION ALL ".join([
                "WHERE d < DATE '2001-12-31' - 3", "warn"),
 ])
 
+# The tables of the output tests with the faults that ``tables.FAULTS`` describes.
+_FAULTY_TABLES = {
+    "silver_market_chart": "chart", "silver_klines": "silver_klines", "silver_sentiment": "mood",
+    "daily_enriched": "enriched", "mart_price_analysis": "price", "mart_sentiment_correlation": "mood_corr",
+    "mart_volume_anomalies": "anomalies",
+}
+_MORE_FAULTS = {
+    "silver_sentiment": {"fear_greed_value": "WHEN nth = 3 THEN 150", "sentiment_bucket": "WHEN nth = 6 THEN 'Odd'"},
+    "silver_klines": {"interval": "WHEN nth = 4 THEN '9x'", "volume": "WHEN nth = 7 THEN NULL"},
+}
+
+
+def _faulty(name: str) -> str:
+    day, wrong, repeated, removed = FAULTS[name]
+    rows = f"SELECT *, date_part('day', {day}) AS nth FROM {_FAULTY_TABLES[name]}"
+    if removed is not None:
+        rows = f"SELECT * FROM ({rows}) WHERE nth <> {removed}"
+    if repeated is not None:
+        rows = f"SELECT * FROM ({rows}) UNION ALL SELECT * FROM ({rows}) WHERE nth = {repeated}"
+    more = _MORE_FAULTS.get(name, {})
+    replaced = ", ".join(
+        f'CASE WHEN nth = {n} THEN {value.rstrip("D")} {more.get(c, "")} ELSE "{c}" END AS "{c}"'
+        for c, (n, value) in wrong.items()
+    )
+    return f"SELECT * REPLACE ({replaced}) FROM ({rows})"
+
+
+_OUTPUT_FAILURES = re.sub(
+    rf"\bFROM ({'|'.join(sorted(_FAULTY_TABLES.values(), key=len, reverse=True))})\b", r"FROM faulty_\1", _OUTPUT_TESTS
+)
+
 _KPI = """
     '$' || format('{:,.0f}', close) AS latest_close,
     coalesce(format('{:.0f}', CAST(fear_greed_value AS DOUBLE)), 'n/a') AS fear_greed,
@@ -592,6 +626,40 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (NOT success AND severity = 'error') AS n_failed,
                count(*) FILTER (NOT success AND severity = 'warn') AS n_warned
         FROM ({_SUITES}) GROUP BY source, dataset""", shifted=_SHIFTED),
+    "output_test_failures": with_tables(
+        "candles event_1h silver_klines mood_corr anomalies " + " ".join(f"faulty_{t}" for t in _FAULTY_TABLES.values()),
+        f"SELECT *, n_bad = 0 AS success FROM ({_OUTPUT_FAILURES})",
+        silver_klines=_SILVER_KLINES,
+        **{f"faulty_{table}": _faulty(name) for name, table in _FAULTY_TABLES.items()},
+    ),
+    "suite_lookup": with_tables(
+        "candle_ingests coin_charts mood_ingests shifted",
+        "SELECT *, n_bad = 0 AS success FROM ("
+        + _kline_suite("candle_ingests", "'1', '2', '3'", "1d")
+        + " UNION ALL " + _CHART_SUITE.replace("FROM chart", "FROM coin_charts").replace("('basket')", "('A', 'N')")
+        + " UNION ALL " + _MOOD_SUITE + ")",
+        shifted=_SHIFTED,
+        coin_charts="""
+            SELECT date_day, date_day AS date, coin_id, floor(turnover / quantity) AS price_usd,
+                   turnover AS market_cap_usd, quantity AS volume_usd
+            FROM (SELECT CAST(l_shipdate AS DATE) AS date_day, l_returnflag AS coin_id, sum(l_quantity) AS quantity,
+                         sum(floor(l_extendedprice + 0.5)) AS turnover FROM lineitem GROUP BY ALL)""",
+    ),
+    "quarantined_documents": with_tables("candles candles_1h chart mood", """
+        SELECT 'klines_1d' AS dataset, 'stored' AS reason, count(*) AS n_rows FROM candles
+        WHERE month(open_time) NOT IN (4, 5, 6)
+        UNION ALL SELECT 'klines_1d', CASE month(open_time) WHEN 4 THEN 'Malformed body'
+            WHEN 5 THEN 'Invalid interval: 7d' ELSE 'Short bar' END,
+            count(DISTINCT (symbol, date_trunc('month', open_time)))
+        FROM candles WHERE month(open_time) IN (4, 5, 6) GROUP BY month(open_time)
+        UNION ALL SELECT 'klines_1h', 'stored', count(*) FROM candles_1h
+        UNION ALL SELECT 'market_chart', 'stored', count(*) FROM chart
+        WHERE month(date) <> 2 AND NOT (month(date) % 2 = 1 AND day(date) = 1)
+        UNION ALL SELECT 'market_chart', 'Missing key ' || chr(39) || 'market_caps' || chr(39),
+            count(DISTINCT date_trunc('month', date)) FROM chart WHERE month(date) = 2
+        UNION ALL SELECT 'index', 'stored', count(*) FROM mood WHERE month(date) NOT IN (7, 8)
+        UNION ALL SELECT 'index', CASE month(date) WHEN 7 THEN 'Bad number' ELSE 'Malformed body' END,
+            count(DISTINCT date_trunc('month', date)) FROM mood WHERE month(date) IN (7, 8) GROUP BY month(date)"""),
     "output_test_results": with_tables(
         "mood_corr anomalies event_1h silver_klines",
         f"SELECT *, n_bad = 0 AS success FROM ({_OUTPUT_TESTS})",

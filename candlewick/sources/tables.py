@@ -399,3 +399,66 @@ def trade_messages(events: DataFrame) -> DataFrame:
                   '","q":"', user_id / 8, '","T":', unix_millis(ts), ',"t":', event_id,
                   ',"m":', user_id % 2 = 0, '}') AS value"""
     )
+
+
+# Faults planted into model tables, by day of the month: the table's day column, columns with their day and
+# wrong value (SQL), the day whose rows are repeated, and the day whose rows are left out.
+FAULTS: dict[str, tuple[str, dict[str, tuple[int, str]], int | None, int | None]] = {
+    "silver_market_chart": (
+        "date_day",
+        {"coin_id": (2, "NULL"), "price_usd": (3, "NULL"), "volume_usd": (4, "NULL"), "date_day": (1, "NULL")}, 5, None,
+    ),
+    "silver_klines": (
+        "open_time",
+        {"symbol": (2, "NULL"), "interval": (3, "NULL"), "close": (6, "NULL"), "volume": (8, "-1D"),
+         "quote_volume": (9, "-1D"), "open_time": (1, "NULL")}, 10, None,
+    ),
+    "silver_sentiment": (
+        "date_day",
+        {"fear_greed_value": (2, "NULL"), "sentiment_label": (4, "NULL"), "sentiment_bucket": (5, "NULL"),
+         "date_day": (1, "NULL")}, 7, None,
+    ),
+    "daily_enriched": (
+        "date_day", {"symbol": (2, "NULL"), "close": (3, "NULL"), "date_day": (1, "NULL")}, 4, 5,
+    ),
+    "mart_price_analysis": (
+        "date_day", {"symbol": (2, "NULL"), "close": (3, "NULL"), "date_day": (1, "NULL")}, 4, 6,
+    ),
+    "mart_sentiment_correlation": ("date_day", {"symbol": (2, "NULL"), "date_day": (1, "NULL")}, None, None),
+    "mart_volume_anomalies": (
+        "date_day", {"symbol": (2, "NULL"), "is_volume_anomaly": (3, "NULL"), "date_day": (1, "NULL")}, None, None,
+    ),
+}
+
+
+def faulty(name: str, rows: DataFrame) -> DataFrame:
+    """A model table with its planted faults."""
+    day, wrong, repeated, removed = FAULTS[name]
+    if name == "silver_sentiment":  # a value off the scale and a label of its own, too
+        rows = rows.withColumns({
+            "fear_greed_value": F.expr(f"if(day({day}) = 3, 150, fear_greed_value)"),
+            "sentiment_bucket": F.expr(f"if(day({day}) = 6, 'Odd', sentiment_bucket)"),
+        })
+    if name == "silver_klines":
+        rows = rows.withColumn("interval", F.expr(f"if(day({day}) = 4, '9x', interval)"))
+        rows = rows.withColumn("volume", F.expr(f"if(day({day}) = 7, NULL, volume)"))
+    if removed is not None:
+        rows = rows.filter(f"day({day}) != {removed}")
+    if repeated is not None:
+        rows = rows.unionByName(rows.filter(f"day({day}) = {repeated}"))
+    return rows.withColumns({c: F.expr(f"if(day({day}) = {n}, {value}, {c})") for c, (n, value) in wrong.items()})
+
+
+def faulty_payloads(landing: DataFrame) -> DataFrame:
+    """Payload documents of which those of some months cannot be used, each month in its own way."""
+    month = "month(to_timestamp(element_at(split(payload_id, '/'), 3)))"
+    return landing.withColumns({
+        "interval": F.expr(f"if(dataset = 'klines_1d' AND {month} = 5, '7d', interval)"),
+        "body": F.expr(f"""CASE
+            WHEN dataset = 'klines_1d' AND {month} = 4 THEN left(body, length(body) - 5)
+            WHEN dataset = 'klines_1d' AND {month} = 6 THEN regexp_replace(body, ',"[^"]*","0".', ']')
+            WHEN dataset = 'market_chart' AND {month} = 2 THEN replace(body, 'market_caps', 'caps')
+            WHEN dataset = 'index' AND {month} = 7 THEN regexp_replace(body, '"value":"[0-9]+"', '"value":"n/a"')
+            WHEN dataset = 'index' AND {month} = 8 THEN NULL
+            ELSE body END"""),
+    })
