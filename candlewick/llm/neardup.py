@@ -331,15 +331,24 @@ def _possible() -> Column:
     return ratio & (_agree("draws", "vd") >= MIN_AGREE)
 
 
+def _kept(docs: DataFrame) -> DataFrame:
+    found = near_duplicates(docs).where("kept AND doc_id IS NOT NULL")
+    return sized(stored(found.select("doc_id").distinct(), "kept"))
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with the first document of each class; of repeated rows with one id, one stays."""
-    classes = stored(near_duplicates(docs), "duplicates")
-    kept = classes.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("__n"))
-    repeated = kept.agg(F.max("__n")).first()[0]
-    out = docs.join(sized(stored(kept, "kept")), "doc_id").drop("__n").select(*docs.columns)
-    if repeated and repeated > 1:
-        out = out.dropDuplicates(["doc_id"])
-    return out.unionByName(docs.where(F.col("doc_id").isNull()))
+    """docs with the first document of each class; rows without an id stay.
+
+    Of rows with one id and one text, one stays.  Where an id has several texts, each of them is a document
+    of its own: rows are numbered, and the first of each class by number stays.
+    """
+    known, nameless = docs.where(F.col("doc_id").isNotNull()), docs.where(F.col("doc_id").isNull())
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return known.join(_kept(known), "doc_id", "left_semi").select(*docs.columns).unionByName(nameless)
+    number = "_" + max(docs.columns, key=len)  # longer than any column's name
+    rows = stored(known.dropDuplicates(["doc_id", "text"]).withColumn(number, F.monotonically_increasing_id()), "rows")
+    kept = _kept(rows.select(F.col(number).alias("doc_id"), "text")).withColumnRenamed("doc_id", number)
+    return rows.join(kept, number, "left_semi").select(*docs.columns).unionByName(nameless)
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import oracle
 import pytest
-from candlewick.llm import divergence, filteraudit, urls
+from candlewick.llm import divergence, filteraudit, neardup, urls
 from candlewick.llm.oracles import DIVERGENCE, FILTER_AUDIT, ORACLES
 from candlewick.llm.transducer import Transducer, build
 from pyspark.sql import functions as F
@@ -192,3 +192,17 @@ def test_torn_entries_fail(spark):
     with pytest.raises(Exception, match="Both allowed and blocked"):
         urls.listed_files(urls.entry_table(spark, torn))
     assert urls.listed_files(urls.entry_table(spark, torn[:1], torn[1:]))[2] == 5
+
+
+def test_no_text_is_lost_where_ids_repeat(spark):
+    """An id with two texts, one of which has a near copy; the same row twice; names that helpers might use."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "quite another text of its own kind"), (1, long), (3, long + " more"), (4, "alone here in this row"), (4, "alone here in this row"), (None, long)]
+    docs = cluttered(spark.createDataFrame(rows, "doc_id long, text string")).withColumns({"__n": F.lit(1), "_source": F.lit(2)})
+    found = neardup.deduplicated(docs)
+    assert found.columns == docs.columns
+    texts = Counter((r["doc_id"], r["text"]) for r in found.collect())
+    assert texts.pop((1, long), 0) + texts.pop((3, long + " more"), 0) == 1
+    assert texts == {rows[0]: 1, rows[3]: 1, rows[5]: 1}
+    once = docs.filter("doc_id = 3 OR text LIKE 'alone%'").dropDuplicates(["doc_id"])
+    assert neardup.deduplicated(once).count() == 2
