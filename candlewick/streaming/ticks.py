@@ -93,7 +93,10 @@ def unique_ticks(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     the ticks of that span; ticks that come later than the watermark are dropped with it.  A batch has no
     watermark and drops all repeated trades.
     """
-    return ticks.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["symbol", "trade_id"])
+    trade = ["symbol", "trade_id"]
+    if not ticks.isStreaming:
+        return ticks.dropDuplicates(trade)
+    return ticks.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(trade)
 
 
 def tick_bars(ticks: DataFrame, width: str = "1 minute", delay: str | None = "10 minutes") -> DataFrame:
