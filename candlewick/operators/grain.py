@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from candlewick.functions.rolling import series
 
@@ -30,18 +30,38 @@ def orphan_values(
     return values.join(known, column, "left_anti")
 
 
-def missing_days(
-    daily: DataFrame, entity: str = "symbol", day: str = "date_day"
-) -> DataFrame:
-    """Calendar days between an entity's first and last row that have no row.
+def day_spans(daily: DataFrame, entity: str = "symbol", day: str = "date_day") -> DataFrame:
+    """The days of daily rows as spans: (entity, first_day, last_day, n_rows) per run of calendar days."""
+    return merged_spans(
+        daily.select(entity, F.col(day).alias("first_day"), F.col(day).alias("last_day"), F.lit(1).cast("bigint").alias("n_rows")),
+        entity,
+    )
+
 
-    Compares each row with the next one and expands only the holes, rather than building the whole
-    calendar of every entity and anti-joining it.
+def merged_spans(spans: DataFrame, entity: str = "symbol") -> DataFrame:
+    """Spans that overlap or follow each other without a gap, as one.
+
+    Stored spans and those of a new day merge like any others, so coverage is kept up to date from a few
+    rows per entity.  One exchange, by entity: daily rows of an entity are bounded by the calendar.  Rows
+    without a day count to the entity's last span.
     """
-    pairs = daily.select(
+    before = series(entity, "first_day").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max("last_day").over(before)
+    starts = F.coalesce(F.col("first_day") > F.date_add(reached, 1), F.lit(False)).cast("int")
+    numbered = spans.withColumn("_starts", starts).withColumn(
+        "_span", F.sum("_starts").over(series(entity, "first_day").rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return numbered.groupBy(entity, "_span").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.sum("n_rows").alias("n_rows")
+    ).drop("_span")
+
+
+def span_gaps(spans: DataFrame, entity: str = "symbol", day: str = "date_day") -> DataFrame:
+    """The calendar days between an entity's merged spans; only the holes are expanded."""
+    pairs = spans.select(
         entity,
-        F.col(day).alias("_from"),
-        F.lead(day).over(series(entity, day)).alias("_to"),
+        F.col("last_day").alias("_from"),
+        F.lead("first_day").over(series(entity, "first_day")).alias("_to"),
     )
     holes = pairs.filter(F.datediff("_to", "_from") > 1)
     return holes.select(
@@ -50,17 +70,27 @@ def missing_days(
     )
 
 
+def span_coverage(spans: DataFrame, entity: str = "symbol") -> DataFrame:
+    """Per entity: first and last day, rows and missing days, from its merged spans."""
+    covered = F.sum(F.datediff("last_day", "first_day") + 1)
+    return spans.groupBy(entity).agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.sum("n_rows").alias("n_rows"),
+        covered.alias("_covered"),
+    ).select(
+        entity, "first_day", "last_day", "n_rows",
+        (F.datediff("last_day", "first_day") + 1 - F.col("_covered")).alias("n_missing"),
+    )
+
+
+def missing_days(
+    daily: DataFrame, entity: str = "symbol", day: str = "date_day"
+) -> DataFrame:
+    """Calendar days between an entity's first and last row that have no row."""
+    return span_gaps(day_spans(daily, entity, day), entity, day)
+
+
 def series_coverage(
     daily: DataFrame, entity: str = "symbol", day: str = "date_day"
 ) -> DataFrame:
     """Per entity: first and last day, rows and missing days."""
-    span = daily.groupBy(entity).agg(
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.col(day)).alias("n_days"),
-    )
-    return span.select(
-        entity, "first_day", "last_day", "n_rows",
-        (F.datediff("last_day", "first_day") + 1 - F.col("n_days")).alias("n_missing"),
-    )
+    return span_coverage(day_spans(daily, entity, day), entity)

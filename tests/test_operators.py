@@ -196,3 +196,22 @@ def test_duplicates_and_orphans(spark):
     assert [tuple(r) for r in grain.orphan_values(child, "date_day", parent).collect()] == [
         (date(2024, 1, 1), 3)
     ]
+
+
+def test_spans_merge_with_those_of_new_days(spark):
+    """Any split of an entity's days into stored and new ones gives the spans of all of them, with one exchange."""
+    first = date(2024, 1, 1)
+    offsets = [0, 1, 2, 2, 5, 6, 9, 20, 21, 22, 23]
+    rows = [(s, first + timedelta(days=d)) for s in "ab" for d in offsets] + [("a", None), ("c", None)]
+    daily = spark.createDataFrame(rows, "symbol string, date_day date")
+    whole = grain.day_spans(daily)
+    spans = {(r["symbol"], r["first_day"] and (r["first_day"] - first).days, r["n_rows"]) for r in whole.collect()}
+    assert spans == {("b", 0, 4), ("b", 5, 2), ("b", 9, 1), ("b", 20, 4), ("a", 0, 4), ("a", 5, 2), ("a", 9, 1), ("a", 20, 5), ("c", None, 1)}
+    for cut in (1, 6, 20):
+        parts = [grain.day_spans(spark.createDataFrame(part, daily.schema)) for part in (rows[:cut], rows[cut:])]
+        merged = grain.merged_spans(parts[0].unionByName(parts[1]))
+        assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    gaps = {(r["symbol"], (r["date_day"] - first).days) for r in grain.span_gaps(whole).collect()}
+    assert gaps == {(s, d) for s in "ab" for d in (3, 4, 7, 8, *range(10, 20))}
+    for made in (grain.series_coverage(daily), grain.missing_days(daily)):
+        assert plan_of(made).count("Exchange") == 1
