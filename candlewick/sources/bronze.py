@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, IntegerType, StructType, TimestampNTZTyp
 
 from candlewick.config import LakeConfig, dataset_uri, prepare_session, run_uri
 from candlewick.contracts import RUN_PARTITIONS, DatasetSpec
-from candlewick.sources.files import move, remove
+from candlewick.sources.files import move, remove, remove_if_empty
 
 
 @dataclass(frozen=True)
@@ -67,7 +67,13 @@ class StagedRun:
         return WriteReceipt(self.path, self.counts["n_rows"], self.counts["min_time"], self.counts["max_time"])
 
     def drop(self) -> None:
+        """Remove the run, and the directories that were made for it alone."""
         remove(self.spark, self.draft)
+        folder = self.draft
+        for _ in range(4):  # dataset, source, staging, root
+            folder = folder.rpartition("/")[0]
+            if not remove_if_empty(self.spark, folder):
+                break
 
 
 def stage_bronze(

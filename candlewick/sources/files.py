@@ -74,3 +74,9 @@ def remove(spark: SparkSession, uri: str) -> None:
     """Remove a directory or file, if it is there."""
     fs, path = _file_system(spark, uri)
     fs.delete(path, True)
+
+
+def remove_if_empty(spark: SparkSession, uri: str) -> bool:
+    """Remove a directory that holds nothing; whether it is gone."""
+    fs, path = _file_system(spark, uri)
+    return not fs.exists(path) or (not fs.listStatus(path) and fs.delete(path, False))

@@ -172,8 +172,8 @@ def late_ticks(seen: DataFrame, bars: DataFrame, delay: str = "10 minutes") -> D
     ticks.
     """
     totals = seen.groupBy("symbol", "open_time", "close_time").agg(F.sum("n_seen").alias("n_seen"))
-    newest = seen.agg((F.max("last_time") - F.expr(f"INTERVAL {delay}")).alias("watermark"))
-    closed = totals.join(F.broadcast(newest), F.col("close_time") <= F.col("watermark"))  # one row
+    watermark = seen.agg((F.max("last_time") - F.expr(f"INTERVAL {delay}")).alias("watermark")).scalar()
+    closed = totals.filter(F.col("close_time") <= watermark)
     built = bars.select("symbol", "open_time", "num_trades")
     missing = F.col("n_seen") - F.coalesce("num_trades", F.lit(0))
     return (
