@@ -2,8 +2,8 @@
 
 STAGES are (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's docs.  All but the last return the columns of
-documents.  ORACLE_SQL is None: learnt scores and token ids have no SQL form; the tests hold every stage
-against a brute-force version.
+documents.  ORACLE_SQL is None: learnt scores and token ids have no SQL form; the tests check what each stage
+keeps and drops on small tables.
 """
 
 from __future__ import annotations
