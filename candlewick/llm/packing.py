@@ -23,64 +23,86 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read, ship, whole_text
+from .common import read, ship, tidied, whole_text
 
 CAPACITY, END_ID = 4096, 2
 #: The shortest reciprocal slot; a shorter tail is at most 1/64 of a bin, and so is a bin's padding.
 FINEST = 64
-#: Words whose ids a Python worker remembers; beyond them it starts anew (a cache size).
-MEMO_WORDS = 600_000
+#: Words, and characters of them, whose ids a task remembers; beyond them it starts anew (cache sizes).
+MEMO_WORDS, MEMO_CHARS = 400_000, 8_000_000
 ROWS = 50_000  # pieces in a batch of results
 # White space of the tokenizer's pattern \s; str.split() would also split at \x1c to \x1f.
 SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+# Bytes that stand for themselves in the tokenizer's byte alphabet; the others follow from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_ALPHABET = {b: b for b in PRINTABLE} | {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*PRINTABLE}))}
 SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
 
 
-def plain(word: str) -> tuple[str, ...]:
-    """Parts with the same ids as a word: a full stop or comma after a letter is a token of its own, and
-    the tokenizer folds case, so words that differ in these are encoded once."""
-    if "A" <= word[:1] <= "Z":
-        word = word[0].lower() + word[1:]
-    # letters below U+0130 stay one letter when they are composed and folded
-    ends = word[-1:] in (".", ",") and word[-2:-1].isalpha() and word[-2] < "\u0130"
-    return (word[:-1], word[-1]) if ends else (word,)
-
-
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit numbers")
 
 
+@lru_cache(2)
+def tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
-    """Ids as little-endian 32-bit bytes.  No token crosses white space, so words are encoded once."""
+    """Ids as little-endian 32-bit bytes.  No token crosses white space, so words are encoded once.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    Words of letters below U+0130 are composed, are one part of the tokenizer's pattern and have simple
+    lower-case forms, so its model gets them directly, spelled in its byte alphabet, and once for all
+    their cases; a full stop or comma after them is a token of its own.  All others take the whole way.
+    An encoder and what it remembers belong to one task.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.ends = {c: self._whole([c])[0] for c in ".,"}
         self.memo: dict[str, bytes] = {}
+        self.held = 0
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: dict[str, None]) -> None:
+        """Adds the ids of words to the memo."""
+        memo, tokenize, odd = self.memo, self.model.tokenize, []
+        for word in words:
+            stem = word[:-1] if word[-1] in ".," else word
+            if not (stem.isalpha() and (stem.isascii() or max(stem) < "\u0130")):
+                odd.append(word)
+                continue
+            stem = stem.lower()
+            ids = memo.get(stem)
+            if ids is None:
+                spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTE_ALPHABET)
+                ids = memo[stem] = array("I", [token.id for token in tokenize(spelled)]).tobytes()
+            memo[word] = ids if len(stem) == len(word) else ids + self.ends[word[-1]]
+        memo.update(zip(odd, self._whole(odd), strict=True))
+        self.held += sum(map(len, words))
 
     def encode(self, text: str) -> bytes:
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        words = SPACES.split(text) if odd else text.split()
+        words = [w for w in SPACES.split(text) if w] if odd else text.split()
         memo = self.memo
         parts = list(map(memo.get, words))
         if None in parts:
-            if len(memo) > MEMO_WORDS:
+            if len(memo) > MEMO_WORDS or self.held > MEMO_CHARS:
                 memo.clear()
-            new = {w: plain(w) for w, ids in zip(words, parts, strict=True) if ids is None}
-            stems = list(dict.fromkeys(s for own in new.values() for s in own if s not in memo))
-            for stem, coded in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False), strict=True):
-                memo[stem] = array("I", coded.ids).tobytes()
-            for word, own in new.items():
-                memo[word] = b"".join([memo[s] for s in own])
-            parts = [memo[w] if ids is None else ids for w, ids in zip(words, parts, strict=True)]
+                self.held = 0
+                parts = [None] * len(words)
+            self._learn(dict.fromkeys(w for w, ids in zip(words, parts, strict=True) if ids is None))
+            parts = list(map(memo.__getitem__, words))
         return b"".join(parts)
 
 
-@lru_cache(2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(tokenizer(path))
 
 
 def slots(n: int, capacity: int = CAPACITY, finest: int = FINEST) -> Iterator[tuple[int, int]]:
@@ -176,7 +198,7 @@ def pack(
 
     chosen = ship(docs).select("doc_id", whole_text().alias("__text"))
     schema = SCHEMA.format(dict(docs.dtypes)["doc_id"])
-    return chosen.mapInPandas(batches, schema + ", ids binary" * with_ids)
+    return chosen.mapInPandas(tidied(batches), schema + ", ids binary" * with_ids)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
