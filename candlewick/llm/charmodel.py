@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, whole_text
+from .common import ship, tidied, whole_text
 
 BITS, ORDER = 6, 4
 #: Characters counted at a time, so that memory doesn't grow with a text or a batch.
@@ -121,5 +121,5 @@ def gram_counts(docs: DataFrame, order: int = ORDER, fold: bool = False) -> Data
         for i in range(0, len(keys), 100_000):
             yield pd.DataFrame({"gram": keys[i : i + 100_000].astype(np.int64), "n": values[i : i + 100_000]})
 
-    counted = ship(docs).select(whole_text().alias("__text")).mapInPandas(count, "gram long, n long")
+    counted = ship(docs).select(whole_text().alias("__text")).mapInPandas(tidied(count), "gram long, n long")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))

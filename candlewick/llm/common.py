@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import importlib.util
 import shutil
 import tempfile
@@ -11,6 +13,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,10 +68,44 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+@lru_cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # not in every C library
+        return lambda _: 0
+
+
+def tidied(
+    task: Callable[..., Iterator[pd.DataFrame]], done: Callable[[], None] | None = None
+) -> Callable[..., Iterator[pd.DataFrame]]:
+    """task, a generator function over a partition's frames, that gives its memory back when it ends, after done().
+
+    Python workers serve many tasks; what the C library and Arrow keep for reuse would add up to the
+    largest task of every stage.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from task(frames)
+        finally:
+            if done:
+                done()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return run
+
+
 def map_texts(
-    docs: DataFrame, row: Callable[[list[str]], dict[str, Iterable]], schema: str, keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame,
+    row: Callable[[list[str]], dict[str, Iterable]],
+    schema: str,
+    keep: tuple[str, ...] = ("doc_id",),
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Columns that row() computes from batches of whole texts, beside the kept columns."""
+    """Columns that row() computes from batches of whole texts, beside the kept columns; a task ends with done()."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -81,7 +118,7 @@ def map_texts(
     chosen = ship(docs).select(*keep, whole_text().alias("__text"))
     types = dict(docs.dtypes)
     head = [f"`{c}` {types[c]}" for c in keep]
-    return chosen.mapInPandas(batches, ", ".join([*head, schema]))
+    return chosen.mapInPandas(tidied(batches, done), ", ".join([*head, schema]))
 
 
 def held_out(modulus: int, remainder: int) -> Column:

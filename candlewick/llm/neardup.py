@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .charmodel import blocks
-from .common import map_texts, read, ship, sized, stored, whole_text
+from .common import map_texts, read, ship, sized, stored, tidied, whole_text
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS_PER_BAND, BANDS = 4, 12
@@ -137,7 +137,7 @@ def inverse_shares(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"feature": np.append(at, -1), "n": np.append(total[at], n)})
 
-    parts = ship(docs).select(whole_text().alias("__text")).mapInPandas(count, "feature long, n long")
+    parts = ship(docs).select(whole_text().alias("__text")).mapInPandas(tidied(count), "feature long, n long")
     rows = parts.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()  # FEATURES rows at most
     n = int(rows.loc[rows["feature"] < 0, "n"].sum())
     share = np.zeros(FEATURES)
@@ -207,7 +207,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
                 yield rows.loc[same, ["u", "v"]]
 
     kind = dict(docs.dtypes)["doc_id"]
-    return ship(joined).mapInPandas(check, f"u {kind}, v {kind}").distinct()
+    return ship(joined).mapInPandas(tidied(check), f"u {kind}, v {kind}").distinct()
 
 
 def _agree(a: str, b: str) -> Column:
@@ -316,6 +316,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not pairs.isEmpty():
         joined(pairs)
 
+    idf.unpersist()
     class_of = texts.select("key", F.col("id").alias("copy_of")).join(
         classes.select(F.col("id").alias("copy_of"), F.col("class").alias("class_id")), "copy_of", "left"
     )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .charmodel import gram_counts, symbols
-from .common import held_out, map_texts, read, ship, whole_text
+from .common import held_out, map_texts, read, ship, tidied, whole_text
 from .perplexity import KneserNey
 
 THRESHOLD = 0.3
@@ -30,7 +30,7 @@ CANDIDATES, MIN_TEXTS, MIN_PRECISION = 60_000, 3, 0.55
 #: Cues that are sought for each toxic text, so that one is left where a text has only some of them.
 COVER = 4
 PREFIXES = (4, 5, 6, 7)
-MEMO_WORDS = 400_000  # a cache size
+MEMO_WORDS, MEMO_CHARS = 200_000, 32  # words that a task remembers, and their length (cache sizes)
 
 # Letters that look like a digit or mark.
 LOOK_ALIKES = {
@@ -148,10 +148,13 @@ class Cues:
         for cue, weight in weights.items():
             stem, _, level = cue.partition("#")
             self.levels.setdefault(stem, []).append((int(level or 1), weight))
-        self.memo: dict[str, list[str]] = {}
+        self.memo: dict[str, tuple[str, ...]] = {}
 
-    def stems(self, token: str) -> list[str]:
-        return [f for f in self.channel.features(token) if f in self.levels]
+    def forget(self) -> None:
+        self.memo.clear()
+
+    def stems(self, token: str) -> tuple[str, ...]:
+        return tuple(f for f in self.channel.features(token) if f in self.levels)
 
     def found(self, text: str) -> list[tuple[str, float]]:
         """Cues of a text, each with the weight of the highest level that it reaches."""
@@ -160,7 +163,9 @@ class Cues:
             memo.clear()
         for token in tokens(text):
             if (stems := memo.get(token)) is None:
-                stems = memo[token] = self.stems(token)
+                stems = self.stems(token)
+                if len(token) <= MEMO_CHARS:
+                    memo[token] = stems
             if stems:
                 seen.update(stems)
         reached = {f: [w for level, w in self.levels[f] if n >= level] for f, n in seen.items()}
@@ -181,7 +186,7 @@ def _counts(texts: DataFrame, channel, name: str, wanted=None) -> DataFrame:
         if total:
             yield pd.DataFrame({"feature": list(total), "n": list(total.values())})
 
-    return ship(texts).mapInPandas(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
+    return ship(texts).mapInPandas(tidied(count), "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
 
 
 def learnt(docs: DataFrame, labels: DataFrame) -> Cues:
@@ -217,6 +222,8 @@ def learnt(docs: DataFrame, labels: DataFrame) -> Cues:
     covered = sum(any(f in weights for f in t) for t in rows)
     missed = (len(rows) - covered) * share[1]
     rest = min(0.2, (missed + 0.5) / (missed + n.get(0, 0) + 1))
+    for used in (channel, wanted, chosen):
+        used.unpersist()
     return Cues(channel.value, weights, rest)
 
 
@@ -263,7 +270,7 @@ def score(docs: DataFrame, cues: Cues) -> DataFrame:
     def row(texts: list[str]) -> dict:
         return {"score": [sent.value.score(t) for t in texts]}
 
-    scored = map_texts(docs, row, "score double")
+    scored = map_texts(docs, row, "score double", done=lambda: sent.value.forget())
     predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", predicted)
 
@@ -279,7 +286,7 @@ def without_toxic(docs: DataFrame, cues: Cues) -> DataFrame:
             if len(passed):
                 yield passed
 
-    return ship(docs).mapInPandas(clean, docs.schema)
+    return ship(docs).mapInPandas(tidied(clean, lambda: sent.value.forget()), docs.schema)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
