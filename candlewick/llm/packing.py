@@ -29,7 +29,7 @@ CAPACITY, END_ID = 4096, 2
 #: The shortest reciprocal slot; a shorter tail is at most 1/64 of a bin, and so is a bin's padding.
 FINEST = 64
 #: Words, and characters of them, whose ids a task remembers; beyond them it starts anew (cache sizes).
-MEMO_WORDS, MEMO_CHARS = 400_000, 8_000_000
+MEMO_WORDS, MEMO_CHARS = 800_000, 12_000_000
 ROWS = 50_000  # pieces in a batch of results
 # White space of the tokenizer's pattern \s; str.split() would also split at \x1c to \x1f.
 SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
