@@ -359,3 +359,32 @@ def test_pipeline_stages_keep_what_they_should(spark, texts):
     assert all("@mail" not in r["text"] for r in outs[3].collect())
     final = pipeline.run(spark, SF)
     assert final.count() == outs[4].count()
+
+
+def test_packing_words_match_the_library_for_every_kind_of_letter():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = packing.tokenizer(path)
+    chars = [chr(i) for i in range(0x600)]
+    for text in (
+        " ".join(chars),
+        " ".join(f"a{c}b {c}C. d{c}, {c}. {c}" for c in chars),
+        " ".join(f"{c.upper()}A, {c.lower()}a é{c}" for c in chars),
+        "..., ., a., b.. C, ,. .\x1c a\x1d. it's IT'S. <|endoftext|>,",
+    ):
+        coded = packing.encoder(path)
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert expected == list(np.frombuffer(coded.encode(text), "<u4"))
+        assert expected == list(np.frombuffer(coded.encode(text), "<u4"))  # from memory
+
+
+def test_packing_starts_anew_beyond_its_memory(monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "MEMO_WORDS", 3)
+    coded = packing.encoder(path)
+    for text in ("one two three four", "two five. six", "", "one two seven"):
+        expected = packing.tokenizer(path).encode(text, add_special_tokens=False).ids
+        assert expected == list(np.frombuffer(coded.encode(text), "<u4"))
