@@ -30,7 +30,7 @@ CANDIDATES, MIN_TEXTS, MIN_PRECISION = 60_000, 3, 0.55
 #: Cues that are sought for each toxic text, so that one is left where a text has only some of them.
 COVER = 4
 PREFIXES = (4, 5, 6, 7)
-MEMO_WORDS, MEMO_CHARS = 200_000, 32  # words that a task remembers, and their length (cache sizes)
+MEMO_WORDS, MEMO_CHARS = 400_000, 32  # words that a task remembers, and their length (cache sizes)
 
 # Letters that look like a digit or mark.
 LOOK_ALIKES = {
