@@ -1,4 +1,6 @@
-"""Character n-grams over a fixed alphabet of 64 symbols, counted over whole corpora.
+"""Character n-grams over a fixed alphabet of 64 symbols, counted over whole corpora, for restoring words.
+
+Documents are scored over real code points instead: see pointmodel.
 
 Symbols: 0 white space and text borders, 1-26 letters a-z, 27 digits, 28 '.', 29 ',', 30 - and ', 31 other
 ASCII marks, 32 capital letters, 33-63 everything else by code point.  An n-gram of up to four symbols is

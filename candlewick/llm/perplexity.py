@@ -1,9 +1,10 @@
 """Quality rules: perplexity of whole texts under a modified Kneser-Ney model of character n-grams.
 
-Spark counts the n-grams of every text.  From the counts of the highest order come the continuation
-counts of the lower ones (distinct symbols before an n-gram), three discounts per order from the counts
-of counts, and interpolated probabilities.  The model is sorted arrays of n-gram numbers with
-log-probabilities, and of contexts with back-off weights; a lookup is a binary search.  Per language,
+Spark counts the n-grams of every text, over real code points (see pointmodel).  From the counts of the
+highest order come the continuation counts of the lower ones (distinct symbols before an n-gram), three
+discounts per order from the counts of counts, and interpolated probabilities.  The model is sorted
+arrays of n-grams and contexts; a lookup is a binary search.  KneserNey is the same model over the folded
+alphabet of charmodel, for words that toxicity restores; it scores no document here.  Per language,
 documents are rejected whose log-perplexity lies outside the median plus or minus BAND times the spread
 (the median distance from it, at least MIN_SPREAD).
 """
@@ -15,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import statistics
-from .charmodel import BITS, ORDER, blocks, gram_counts, grams, stream
+from .charmodel import BITS, ORDER, blocks, grams, stream
 from .common import map_texts, read, stored
+from .pointmodel import Model, trained
 
 BAND, MIN_SPREAD = 8.0, 0.04
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -90,19 +92,12 @@ class KneserNey:
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def trained(docs: DataFrame) -> KneserNey | None:
-    """The model of all texts; none without documents.  At most 2**24 rows come to the driver."""
-    counts = gram_counts(docs).toPandas()
-    return KneserNey(counts["gram"].to_numpy(), counts["n"].to_numpy()) if len(counts) else None
-
-
-def measured(docs: DataFrame, model: KneserNey | None) -> DataFrame:
+def measured(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, lang, the base counts and log_perplexity."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see charmodel
 
     def row(texts: list[str]) -> dict:
         base = [statistics.base(t) for t in texts]
-        return {k: [b[k] for b in base] for k in base[0]} | {"log_perplexity": sent.value.log_perplexity(texts)}
+        return {k: [b[k] for b in base] for k in base[0]} | {"log_perplexity": model.log_perplexity(texts)}
 
     schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
     return map_texts(docs, row, schema, ("doc_id", "lang"))
