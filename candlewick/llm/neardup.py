@@ -41,6 +41,8 @@ SMALL, BLOCK_TEXTS, MORE_SAMPLES = 50, 400, 448
 #: Of these draws, links have fewer with a chance of 1 in 10,000 at the threshold.
 MORE_AGREE = int(MORE_SAMPLES * 0.73)
 _KNOTS = 4096
+#: More than rounding can put a value below its bound.
+SLACK = np.float32(1e-2)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,18 +76,23 @@ def shingled(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         split = [t.split() for t in group]
         flat = [w for words in split for w in words]
         hashes = pd.util.hash_array(np.array(flat, object), categorize=False) if flat else np.zeros(0, np.uint64)
+        full = _windows(hashes, WORDS)  # across texts as well; those are left out
         at = 0
         for n in map(len, split):
-            own = hashes[at : at + n]
+            h = full[at : at + n - WORDS + 1] if n >= WORDS else _windows(hashes[at : at + n], n)
             at += n
-            size = min(n, WORDS)
-            h = np.full(max(0, n - size + 1) if n else 0, size, np.uint64)
-            with np.errstate(over="ignore"):
-                for i in range(size):
-                    h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(h)])
             yield np.unique(h, return_counts=True)
 
 
+def _windows(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every size words in a row."""
+    h = np.full(max(0, len(words) - size + 1) if size else 0, size, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(h)])
+    return h
+
+
 def features(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) & (FEATURES - 1)
 
@@ -101,22 +108,51 @@ def sampled(hashes: np.ndarray, weights: np.ndarray, seeds: np.ndarray = SEEDS)
     step = max(1, BLOCK // len(seeds))
     for i in range(0, len(hashes), step):
         h, lw = hashes[i : i + step], log_w[i : i + step]
-        x = _mixed(seeds[:, None] ^ h[None, :])
-        spot = (x >> np.uint64(52)).astype(np.int32)
-        part = ((x >> np.uint64(28)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
-        low = LOG_C[spot]
-        log_c = low + part * (LOG_C[spot + 1] - low)
-        other = (x & np.uint64(_KNOTS - 1)).astype(np.int32)
-        t = np.floor(lw[None, :] * INVERSE_R[other] + BETA[other])
-        a = log_c - R[other] * (t + 1 - BETA[other])
-        at = a.argmin(axis=1)
-        value = a[rows, at]
-        better = value < best
-        best[better] = value[better]
-        chosen[better] = _mixed(h[at] + t[rows, at].astype(np.int64).view(np.uint64))[better]
+        x = _mixed_here(seeds[:, None] ^ h[None, :])
+        # no value is below log_c - lw - r; only elements that may be the least are looked at closely
+        least = LOG_C.take((x >> np.uint64(52)).view(np.int64), mode="wrap")
+        least -= R.take((x & np.uint64(_KNOTS - 1)).view(np.int64), mode="wrap")
+        least -= lw
+        first = least.argmin(axis=1)
+        value, _ = _values(x[rows, first], lw[first])
+        near = np.flatnonzero(least <= (np.minimum(value, best) + SLACK)[:, None])
+        if not len(near):
+            continue
+        row, at = np.divmod(near, len(h))
+        value, t = _values(x.ravel()[near], lw[at])
+        begins = np.flatnonzero(np.diff(row, prepend=-1))
+        smallest = np.minimum.reduceat(value, begins)
+        own = np.flatnonzero(value == np.repeat(smallest, np.diff(begins, append=len(row))))
+        own = own[np.flatnonzero(np.diff(row[own], prepend=-1))]  # the first of equal ones
+        own = own[value[own] < best[row[own]]]
+        best[row[own]] = value[own]
+        chosen[row[own]] = _mixed(h[at[own]] + t[own].astype(np.int64).view(np.uint64))
     return chosen
 
 
+def _mixed_here(x: np.ndarray) -> np.ndarray:
+    """_mixed in x's own memory."""
+    y = x >> np.uint64(30)
+    x ^= y
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=y)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=y)
+    return x
+
+
+def _values(x: np.ndarray, lw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the sampling takes the least of, and the quantized weight, by (seed, element) hash and log-weight."""
+    spot = (x >> np.uint64(52)).view(np.int64)
+    part = ((x >> np.uint64(28)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
+    low = LOG_C[spot]
+    log_c = low + part * (LOG_C[spot + 1] - low)
+    other = (x & np.uint64(_KNOTS - 1)).view(np.int64)
+    beta = BETA[other]
+    t = np.floor(lw * INVERSE_R[other] + beta)
+    return log_c - R[other] * (t + 1 - beta), t
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two weighted sets with sorted elements."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -133,7 +169,7 @@ def inverse_shares(docs: DataFrame) -> np.ndarray:
         for frame in frames:
             n += len(frame)
             for h, _ in shingled(frame["__text"].tolist()):
-                total[np.unique(features(h))] += 1
+                total[features(h)] += 1  # once a feature, however often it is among them
         at = np.flatnonzero(total)
         yield pd.DataFrame({"feature": np.append(at, -1), "n": np.append(total[at], n)})
 
